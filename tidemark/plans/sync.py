@@ -20,7 +20,8 @@ from tidemark.operators.render import render_documents
 from tidemark.operators.skew import hot_keys, last_by, rows_with_keys
 from tidemark.operators.summary import delta_totals, run_summary
 from tidemark.schemas import SUMMARY
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, spread
+from tidemark.session import staged as staged_table
 from tidemark.sources.chunk_table import Sink, table_sink
 from tidemark.sources.corpus import corpus_delta, corpus_hashes, write_corpus
 from tidemark.sources.runlog import write_run_log
@@ -61,9 +62,15 @@ class RunOptions:
         return not (self.dry_run or self.scrape_only)
 
 
+def _rendered(articles: DataFrame, options: RunOptions) -> DataFrame:
+    return render_documents(
+        spread(articles), options.renderer, options.max_tokens, options.overlap
+    )
+
+
 def preview(articles: DataFrame, snapshot: DataFrame, options: RunOptions) -> DataFrame:
     """The summary row of a run without writing anything."""
-    documents = render_documents(articles, options.renderer, options.max_tokens, options.overlap)
+    documents = _rendered(articles, options)
     classified = classify(
         documents.select(NARROW),
         snapshot,
@@ -93,10 +100,10 @@ def run(
     if options.dry_run:
         return preview(articles, snapshot, options)
 
-    staged_path = scratch_path(spark, "documents")
-    rendered = render_documents(articles, options.renderer, options.max_tokens, options.overlap)
     # The only pass over the HTML. What follows reads back the columns it
     # needs, which leaves document text out of every shuffle but the writes'.
+    staged_path = scratch_path(spark, "documents")
+    rendered = _rendered(articles, options)
     rendered.write.parquet(staged_path)
     staged = spark.read.schema(rendered.schema).parquet(staged_path)
     classified = classify(
@@ -120,7 +127,7 @@ def run(
                 workspace.chunks, version, options.max_tokens, options.overlap
             )
             try:
-                results = _store_changed(spark, staged, classified, n_rows, store)
+                results = _store_changed(staged, classified, n_rows, store)
                 recorded = align_results(changed(classified), results)
                 stored = results.agg(F.count("file_id")).first()[0]
             except Exception as failure:  # noqa: BLE001 - a sink may fail in any way
@@ -149,7 +156,7 @@ def _store_corpus(spark, staged, classified, n_rows, workspace, version):
     keys.unpersist()
 
 
-def _store_changed(spark, staged, classified, n_rows, store) -> DataFrame:
+def _store_changed(staged, classified, n_rows, store) -> DataFrame:
     """Hand the changed documents to the sink; gives what it stored.
 
     The sink's result is written down at once, so that reading it again never
@@ -162,11 +169,11 @@ def _store_changed(spark, staged, classified, n_rows, store) -> DataFrame:
     others = classified.select(PLACE).join(last, PLACE, "left_anti")
     documents = rows_with_keys(staged, last, PLACE, last.count(), n_rows, others)
     replaced = last.filter(F.col("replaced").isNotNull())
-    results = store(documents, replaced.select("id", F.col("replaced").alias("file_id")))
-    path = scratch_path(spark, "stored")
-    results.write.parquet(path)
+    results = staged_table(
+        store(documents, replaced.select("id", F.col("replaced").alias("file_id"))), "stored"
+    )
     last.unpersist()
-    return spark.read.schema(results.schema).parquet(path)
+    return results
 
 
 def _store_snapshot(snapshot, recorded, workspace, version):

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "tidemark", cores: int | str = "*", memory: str = "8g") -> SparkSession:
@@ -66,3 +66,21 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch root."""
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the scratch folder and read back: computed once, however
+    often it is used, and still there when an executor is lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give an input of fewer partitions than cores one per core.
+
+    A small file is one partition, and rendering it would keep one core busy.
+    Large inputs have more partitions than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

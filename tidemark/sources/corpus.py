@@ -15,11 +15,8 @@ def read_markdown_files(spark: SparkSession, path: str, extension: str = "md") -
     """One row per file below `path`; a missing folder has none."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], "filename string, md_text string")
-    files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*.{extension}")
-        .text(path)
+    files = spark.read.text(
+        path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*.{extension}"
     )
     return files.select(
         F.col("_metadata.file_name").alias("filename"), F.col("value").alias("md_text")

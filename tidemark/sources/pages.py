@@ -41,8 +41,12 @@ def followed_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     return followed if max_pages is None else first_pages(followed, max_pages)
 
 
+def within_pages(max_pages: int) -> Column:
+    return F.col("page_no") < max_pages
+
+
 def first_pages(rows: DataFrame, max_pages: int) -> DataFrame:
-    return rows.filter(F.col("page_no") < max_pages)
+    return rows.filter(within_pages(max_pages))
 
 
 def flatten_pages(pages: DataFrame) -> DataFrame:

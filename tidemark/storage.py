@@ -7,7 +7,7 @@ never read, and a replayed run overwrites its own folder and no other.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -66,7 +66,8 @@ def read_all(
     """All committed versions, with the column `version`."""
     found = versions(spark, root, before)
     if not found:
-        return spark.createDataFrame([], StructType(schema.fields).add("version", "integer"))
+        versioned = StructType([*schema.fields, StructField("version", IntegerType())])
+        return spark.createDataFrame([], versioned)
     return (
         spark.read.schema(schema)
         .option("basePath", root)
