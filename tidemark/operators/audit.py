@@ -130,17 +130,18 @@ def _in_order(item: Column) -> Column:
     return F.transform(listed, lambda entry: entry["item"])
 
 
-def gate_summary(checks: DataFrame) -> DataFrame:
-    """One status line: verdict, then `name=ok` or `name=x` of required checks."""
+def gate_summary(checks: DataFrame, documents: DataFrame) -> DataFrame:
+    """One status line: verdict, corpus size, and `name=ok` or `name=x` of each
+    required check."""
     unmet = F.count_if(F.col("required") & ~F.col("ok"))
     verdict = F.when(unmet == 0, "PASS").otherwise(
         F.concat(F.lit("FAIL ("), unmet.cast("string"), F.lit(" unmet)"))
     )
     flag = F.concat(F.col("name"), F.lit("="), F.when(F.col("ok"), "ok").otherwise("x"))
     flags = F.array_compact(_in_order(F.when(F.col("required"), flag)))
-    return checks.agg(
-        F.concat(F.lit("[gate] "), verdict, F.lit(" | "), F.concat_ws(", ", flags)).alias("line")
-    )
+    size = F.concat(F.lit("articles="), corpus_count(documents).scalar().cast("string"))
+    parts = F.concat_ws(" | ", verdict, size, F.concat_ws(", ", flags))
+    return checks.agg(F.concat(F.lit("[gate] "), parts).alias("line"))
 
 
 def gate_json(checks: DataFrame) -> DataFrame:

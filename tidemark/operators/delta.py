@@ -19,9 +19,10 @@ def classify(
     *,
     upload: bool,
     sequential: bool = False,
+    track_embedded: bool = False,
     hot_ids: list | None = None,
 ) -> DataFrame:
-    """Add `status` and `prior_file_id`.
+    """Add `status` and the snapshot's `prior_file_id`, `prior_embedded_hash`.
 
     `documents` needs `id, hash, page_no, pos`, `snapshot` one row per id. Pass
     only narrow columns: the rows are shuffled by id.
@@ -29,12 +30,15 @@ def classify(
     `upload`: an unchanged document that was never uploaded counts as added.
     `sequential`: a repeated id is compared with its previous occurrence in
     this run, otherwise every occurrence with the snapshot.
+    `track_embedded`: an unchanged document whose upload holds older text counts
+    as updated. Otherwise a scrape-only run hides a change from later uploads.
     """
     known = snapshot.select(
         "id",
         F.col("hash").alias("_known_hash"),
         F.col("file_id").alias("prior_file_id"),
         F.lit(True).alias("_known"),
+        F.col("embedded_hash").alias("prior_embedded_hash"),
     )
     if sequential:
         documents = with_previous(documents, "id", "page_no", "pos", "hash", "_previous")
@@ -48,6 +52,8 @@ def classify(
     status = F.when(~seen, ADDED).when(~unchanged, UPDATED)
     if upload:
         status = status.when(F.col("prior_file_id").isNull(), ADDED)
+    if upload and track_embedded:
+        status = status.when(~F.col("prior_embedded_hash").eqNullSafe(F.col("hash")), UPDATED)
     return joined.withColumn("status", status.otherwise(SKIPPED)).drop(
         "_previous", "_known_hash", "_known"
     )

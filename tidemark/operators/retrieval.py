@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.words import distinct_words, word_counts
 from tidemark.operators.skew import SALTS
 from tidemark.schemas import RESPONSE
+from tidemark.session import staged
 
 # Fixed value: sources a reply may cite.
 MAX_CITATIONS = 3
@@ -45,18 +46,19 @@ def lexical_scores(items: DataFrame, questions: DataFrame) -> DataFrame:
     chunks), `questions` has `question_id, text`. Words that all items hold
     weigh nothing and match nothing.
 
-    Each text is reduced to its word counts inside its row. What is shuffled,
-    by document, is only the words that some question asks for; scores are
-    then added up without moving them again.
+    Each text is read once and reduced to its word counts inside its row. Only
+    words that some question asks for go on: to a scratch table, from which
+    word frequencies and scores both read, and through one shuffle by document,
+    after which scores are added up without moving them again.
     """
     asked = questions.select("question_id", F.explode(distinct_words(F.col("text"))).alias("term"))
     small = asked.limit(BROADCAST_QUESTION_WORDS + 1).count() <= BROADCAST_QUESTION_WORDS
     vocabulary = asked.select("term").distinct()
 
     bags = items.select("doc_id", "item_id", F.inline(word_counts(F.col("text"))))
-    matched = bags.join(F.broadcast(vocabulary) if small else vocabulary, "term", "left_semi")
-    if small:
-        matched = matched.repartition("doc_id")
+    matched = staged(
+        bags.join(F.broadcast(vocabulary) if small else vocabulary, "term", "left_semi"), "words"
+    )
 
     n_items = items.agg(F.count("*")).scalar()
     frequency = matched.groupBy("term").agg(F.count("*").alias("df"))
@@ -67,7 +69,7 @@ def lexical_scores(items: DataFrame, questions: DataFrame) -> DataFrame:
         .filter(F.col("idf") > 0)
     )
     if small:
-        contributions = matched.join(F.broadcast(weights), "term")
+        contributions = matched.repartition("doc_id").join(F.broadcast(weights), "term")
     else:
         # Common words meet many items: spread each word over several tasks.
         salt = F.pmod(F.hash("doc_id", "item_id"), F.lit(SALTS)).alias("_salt")

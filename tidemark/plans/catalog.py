@@ -208,7 +208,7 @@ def document_key(spark, sf_dir):
 
 @query
 def strip_elements(spark, sf_dir):
-    source = inputs.table(spark, sf_dir, "pages")
+    source = spread(inputs.table(spark, sf_dir, "pages"))
     stripped = source.select("page_id", hx.strip_elements(F.col("html")).alias("text"))
     return stripped.select("page_id", *_text_key("text"))
 
@@ -231,7 +231,7 @@ def markdown_flat(spark, sf_dir):
 @query
 def markdown_links(spark, sf_dir):
     """The flat rules on the link lists that cleaning would drop."""
-    source = inputs.table(spark, sf_dir, "pages")
+    source = spread(inputs.table(spark, sf_dir, "pages"))
     text = tx.tidy_body(hx.flat_markdown(F.col("html")))
     return source.select("page_id", text.alias("text")).select("page_id", *_text_key("text"))
 
@@ -412,7 +412,8 @@ def _uploaded(classified: DataFrame, before: DataFrame) -> DataFrame:
     """Changed documents as an upload records them."""
     changed = delta.changed(classified)
     new_id = F.concat(F.lit("new_"), F.col("id").cast("string"))
-    return changed.withColumn("file_id", new_id).select(*before.columns, "page_no", "pos")
+    recorded = changed.withColumn("file_id", new_id).withColumn("embedded_hash", F.col("hash"))
+    return recorded.select(*before.columns, "page_no", "pos")
 
 
 @query
@@ -578,7 +579,7 @@ def gate_verdict(spark, sf_dir):
 
 @query
 def gate_summary(spark, sf_dir):
-    return audit.gate_summary(_checks(spark, sf_dir))
+    return audit.gate_summary(_checks(spark, sf_dir), inputs.files(spark, sf_dir))
 
 
 @query
@@ -617,7 +618,7 @@ def vector_top_k(spark, sf_dir):
 
 
 def _items(spark, sf_dir) -> DataFrame:
-    return inputs.table(spark, sf_dir, "documents").select(
+    return spread(inputs.table(spark, sf_dir, "documents")).select(
         "doc_id", F.col("doc_id").alias("item_id"), "text"
     )
 
@@ -670,7 +671,7 @@ def cited_files(spark, sf_dir):
 @query
 def render_full(spark, sf_dir):
     """Element-by-element Markdown of every page."""
-    source = spread(inputs.hinted_pages(spark, sf_dir))
+    source = inputs.hinted_pages(spark, sf_dir)
     body = tx.tidy_body(full_markdown(F.col("html")))
     return source.select("page_id", body.alias("text")).select("page_id", *_text_key("text"))
 

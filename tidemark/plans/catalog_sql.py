@@ -356,7 +356,7 @@ ORACLES: dict[str, str] = {
     "corpus_source": _sql(
         "docs articles", "SELECT id, title, html_url AS url, hash FROM docs JOIN articles USING (id)"
     ),
-    "snapshot_source": _sql("base", "SELECT * FROM base"),
+    "snapshot_source": _sql("base", "SELECT id, hash, slug, updated_at, file_id FROM base"),
     "snapshot_sink": _sql("upserted", "SELECT id, hash, slug, file_id FROM upserted"),
     "run_log_sink": _sql(
         "totals",
@@ -546,9 +546,10 @@ ORACLES: dict[str, str] = {
            FROM checks""",
     ),
     "gate_summary": _sql(
-        "checks",
+        "checks files",
         """SELECT '[gate] ' || CASE WHEN count(*) FILTER (required AND NOT ok) = 0 THEN 'PASS'
-                    ELSE 'FAIL (' || count(*) FILTER (required AND NOT ok) || ' unmet)' END || ' | '
+                    ELSE 'FAIL (' || count(*) FILTER (required AND NOT ok) || ' unmet)' END
+                  || ' | articles=' || (SELECT count(*) FROM files) || ' | '
                   || string_agg(name || '=' || CASE WHEN ok THEN 'ok' ELSE 'x' END, ', '
                                 ORDER BY position) FILTER (required) AS line
            FROM checks""",

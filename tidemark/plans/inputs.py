@@ -84,7 +84,7 @@ def page_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hinted_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.replace(F.col("html"), F.lit('class="ad"'), F.lit('class="ad-slot"'))
-    return table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
+    return spread(table(spark, sf_dir, "pages")).select("page_id", html.alias("html"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,6 +109,7 @@ def baseline(stored: DataFrame) -> DataFrame:
         F.lit("").alias("updated_at"),
         F.when(~every(13, "id"), F.concat(F.lit("file_"), name)).alias("file_id"),
         "renderer_version",
+        F.col("hash").alias("embedded_hash"),
     )
 
 
@@ -127,7 +128,7 @@ def repeated_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The `documents` table in the shape of a rendered corpus."""
     name = F.col("doc_id").cast("string")
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         F.col("doc_id").alias("id"),
         F.concat(F.lit("file_"), name).alias("file_id"),
         F.concat(F.lit("doc-"), name, F.lit(".md")).alias("filename"),

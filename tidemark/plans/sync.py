@@ -26,7 +26,7 @@ from tidemark.sources.chunk_table import Sink, table_sink
 from tidemark.sources.corpus import corpus_delta, corpus_hashes, write_corpus
 from tidemark.sources.runlog import write_run_log
 from tidemark.sources.snapshot import read_snapshot, write_snapshot
-from tidemark.storage import delete_path, versions
+from tidemark.storage import delete_path, version_path, versions
 
 PLACE = ["id", "page_no", "pos"]
 TOTALS = "added long, updated long, skipped long, estimated_chunks long"
@@ -56,6 +56,8 @@ class RunOptions:
     renderer: str = "full"
     max_tokens: int = MAX_TOKENS
     overlap: int = OVERLAP_TOKENS
+    # Off by default: a scrape-only run then hides its changes from later uploads.
+    track_embedded: bool = False
 
     @property
     def upload(self) -> bool:
@@ -111,6 +113,7 @@ def run(
         snapshot,
         upload=options.upload,
         sequential=options.scrape_only,
+        track_embedded=options.track_embedded,
         hot_ids=hot_keys(staged, "id"),
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -121,7 +124,9 @@ def run(
         stored, error = 0, None
         recorded = None
         if options.scrape_only:
-            recorded = classified.withColumn("file_id", F.col("prior_file_id"))
+            recorded = classified.withColumnsRenamed(
+                {"prior_file_id": "file_id", "prior_embedded_hash": "embedded_hash"}
+            )
         elif options.upload and totals.added + totals.updated:
             store = sink or table_sink(
                 workspace.chunks, version, options.max_tokens, options.overlap
@@ -129,6 +134,7 @@ def run(
             try:
                 results = _store_changed(staged, classified, n_rows, store)
                 recorded = align_results(changed(classified), results)
+                recorded = recorded.withColumn("embedded_hash", F.col("hash"))
                 stored = results.agg(F.count("file_id")).first()[0]
             except Exception as failure:  # noqa: BLE001 - a sink may fail in any way
                 # Nothing of a failed batch is recorded; the run reports it.
@@ -151,8 +157,11 @@ def _store_corpus(spark, staged, classified, n_rows, workspace, version):
     keys = corpus_delta(classified, current).persist(StorageLevel.MEMORY_AND_DISK)
     others = classified.select(PLACE).join(keys, PLACE, "left_anti")
     n_keys = keys.count()
-    documents = rows_with_keys(staged, keys, PLACE, n_keys, n_rows, others)
-    write_corpus(documents, workspace.corpus, version)
+    if n_keys:
+        documents = rows_with_keys(staged, keys, PLACE, n_keys, n_rows, others)
+        write_corpus(documents, workspace.corpus, version)
+    else:
+        delete_path(spark, version_path(workspace.corpus, version))
     keys.unpersist()
 
 

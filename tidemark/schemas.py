@@ -30,8 +30,15 @@ ARTICLE = _struct(
     pos=_INT,
 )
 
+# `embedded_hash` is the hash of what was last uploaded under `file_id`.
 SNAPSHOT = _struct(
-    id=_LONG, hash=_STR, slug=_STR, updated_at=_STR, file_id=_STR, renderer_version=_STR
+    id=_LONG,
+    hash=_STR,
+    slug=_STR,
+    updated_at=_STR,
+    file_id=_STR,
+    renderer_version=_STR,
+    embedded_hash=_STR,
 )
 
 # Interchange form of the snapshot: `{"articles": {"<id>": {...}}}`.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -60,6 +61,7 @@ def scratch_root(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _local_scratch:
         _local_scratch[app] = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, _local_scratch[app], ignore_errors=True)
     return _local_scratch[app]
 
 

@@ -35,6 +35,7 @@ def read_snapshot_json(spark: SparkSession, path: str, multi_line: bool = True)
         F.col("entry.updatedAt").alias("updated_at"),
         F.col("entry.fileId").alias("file_id"),
         F.lit(None).cast("string").alias("renderer_version"),
+        F.when(F.col("entry.fileId").isNotNull(), F.col("entry.hash")).alias("embedded_hash"),
     )
 
 
