@@ -87,7 +87,7 @@ def test_removed_documents(spark):
     assert [r.id for r in gone.collect()] == [1]
 
 
-@pytest.fixture(scope="module")
+@pytest.fixture
 def skewed(spark):
     """One id has a third of the rows."""
     return spark.range(30_000).select(
@@ -120,7 +120,7 @@ def test_salting_spreads_the_hot_key(spark, skewed):
         right = skewed.select("id").distinct()
         joined = skew.salted_left_join(skewed, right, "id", [7], ["page_no", "pos"])
         sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
-        assert max(s["count"] for s in sizes) < 30_000 / 8 * 1.6
+        assert max(s["count"] for s in sizes) < 30_000 / 4 * 1.4
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
@@ -154,7 +154,7 @@ def test_classify_is_the_same_with_and_without_salting(spark, skewed):
 
 
 @pytest.mark.parametrize("bound, n_keys", [(10**6, 3), (10, 20), (1, 3)])
-def test_rows_with_keys_takes_any_way(spark, monkeypatch, bound, n_keys):
+def test_rows_with_keys_goes_any_way(spark, monkeypatch, bound, n_keys):
     monkeypatch.setattr(skew, "BROADCAST_ROWS", bound)
     wide = spark.range(21).withColumn("text", F.lit("t"))
     keys = wide.filter(F.col("id") < n_keys).select("id")

@@ -74,15 +74,16 @@ def last_by(rows: DataFrame, key: str, place: Column) -> DataFrame:
 
 
 def rows_with_keys(
-    wide: DataFrame, keys: DataFrame, on: list[str], n_keys: int, n_rows: int, others: DataFrame
+    wide: DataFrame, keys: DataFrame, on: list[str], at_most: int, n_rows: int, others: DataFrame
 ) -> DataFrame:
     """The rows of `wide` whose key is in `keys`; `others` are all its other keys.
 
     `wide` carries document text, so it is shuffled only when neither list is
-    small: a small `keys` is broadcast to keep, a small rest to drop.
+    small: a small `keys` is broadcast to keep, a small rest to drop. `at_most`
+    is a bound on the number of keys; they are counted only if it is too high.
     """
-    if n_keys <= BROADCAST_ROWS:
+    if at_most <= BROADCAST_ROWS:
         return wide.join(F.broadcast(keys.select(on)), on, "left_semi")
-    if n_rows - n_keys <= BROADCAST_ROWS:
+    if n_rows - keys.count() <= BROADCAST_ROWS:
         return wide.join(F.broadcast(others.select(on)), on, "left_anti")
     return wide.join(keys.select(on), on, "left_semi")

@@ -118,7 +118,8 @@ def run(
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         totals = delta_totals(classified).first()
-        n_rows = totals.added + totals.updated + totals.skipped
+        n_changed = totals.added + totals.updated
+        n_rows = n_changed + totals.skipped
         _store_corpus(spark, staged, classified, n_rows, workspace, version)
 
         stored, error = 0, None
@@ -127,12 +128,12 @@ def run(
             recorded = classified.withColumnsRenamed(
                 {"prior_file_id": "file_id", "prior_embedded_hash": "embedded_hash"}
             )
-        elif options.upload and totals.added + totals.updated:
+        elif options.upload and n_changed:
             store = sink or table_sink(
                 workspace.chunks, version, options.max_tokens, options.overlap
             )
             try:
-                results = _store_changed(staged, classified, n_rows, store)
+                results = _store_changed(staged, classified, n_changed, n_rows, store)
                 recorded = align_results(changed(classified), results)
                 recorded = recorded.withColumn("embedded_hash", F.col("hash"))
                 stored = results.agg(F.count("file_id")).first()[0]
@@ -165,7 +166,7 @@ def _store_corpus(spark, staged, classified, n_rows, workspace, version):
     keys.unpersist()
 
 
-def _store_changed(staged, classified, n_rows, store) -> DataFrame:
+def _store_changed(staged, classified, n_changed, n_rows, store) -> DataFrame:
     """Hand the changed documents to the sink; gives what it stored.
 
     The sink's result is written down at once, so that reading it again never
@@ -174,14 +175,12 @@ def _store_changed(staged, classified, n_rows, store) -> DataFrame:
     pending = changed(classified).withColumn("replaced", replaced_file_id())
     # Of a repeated id the last change wins.
     last = last_by(pending.select(*PLACE, "replaced"), "id", F.struct("page_no", "pos"))
-    last = last.persist(StorageLevel.MEMORY_AND_DISK)
     others = classified.select(PLACE).join(last, PLACE, "left_anti")
-    documents = rows_with_keys(staged, last, PLACE, last.count(), n_rows, others)
+    documents = rows_with_keys(staged, last, PLACE, n_changed, n_rows, others)
     replaced = last.filter(F.col("replaced").isNotNull())
     results = staged_table(
         store(documents, replaced.select("id", F.col("replaced").alias("file_id"))), "stored"
     )
-    last.unpersist()
     return results
 
 

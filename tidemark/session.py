@@ -12,12 +12,14 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(app: str = "tidemark", cores: int | str = "*", memory: str = "8g") -> SparkSession:
+def local_session(
+    app: str = "tidemark", cores: int | str = "*", memory: str = "8g", shuffle_partitions: int = 8
+) -> SparkSession:
     """A session for tests and benches. On a cluster, submit with its own settings."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
