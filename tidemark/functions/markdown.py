@@ -6,6 +6,7 @@ Used row by row inside the Arrow UDF of `operators.render`.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import escape
 from html.parser import HTMLParser
 
@@ -18,6 +19,7 @@ _BLOCKS = {
     "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "html", "li", "main", "ol", "p",
     "pre", "section", "ul",
 }
+_TEXT_BLOCKS = ("p", "h1", "h2", "h3", "h4", "h5", "h6")
 _STYLES = {"b": "**", "strong": "**", "i": "_", "em": "_"}
 
 _SPECIAL = re.compile(r"[\\*_`\[\]]")
@@ -50,6 +52,7 @@ class MarkdownReader(HTMLParser):
     def render(self, html: str) -> str:
         self.reset()
         self._stack, self._skip, self._resume = [_Frame("", {})], [], []
+        self._n_open = Counter()
         self._table = 0
         self.feed(html)
         self.close()
@@ -79,7 +82,7 @@ class MarkdownReader(HTMLParser):
                 self._close_paragraph()
             if tag == "li" and self._open("li") > max(self._open("ul"), self._open("ol")):
                 self._pop_to("li")
-            self._stack.append(_Frame(tag, attrs))
+            self._push(tag, attrs)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -127,6 +130,8 @@ class MarkdownReader(HTMLParser):
 
     def _open(self, tag: str) -> int:
         """Depth of the innermost open `tag`, 0 if none is open."""
+        if not self._n_open[tag]:
+            return 0
         return next((i for i in range(len(self._stack) - 1, 0, -1) if self._stack[i].tag == tag), 0)
 
     def _add(self, text: str):
@@ -134,11 +139,11 @@ class MarkdownReader(HTMLParser):
 
     def _restyle(self):
         for tag in self._resume:
-            self._stack.append(_Frame(tag, {}))
+            self._push(tag, {})
         self._resume = []
 
     def _close_paragraph(self):
-        depth = max(map(self._open, ("p", "h1", "h2", "h3", "h4", "h5", "h6")))
+        depth = max(map(self._open, _TEXT_BLOCKS))
         if depth:
             self._pop_to(self._stack[depth].tag)
 
@@ -151,8 +156,13 @@ class MarkdownReader(HTMLParser):
         self._pop()
         self._resume = left_open + self._resume
 
+    def _push(self, tag: str, attrs: dict):
+        self._stack.append(_Frame(tag, attrs))
+        self._n_open[tag] += 1
+
     def _pop(self):
         frame = self._stack.pop()
+        self._n_open[frame.tag] -= 1
         self._add(self._rendered(frame, "".join(frame.parts)))
 
     def _void(self, tag: str, attrs: dict):

@@ -163,7 +163,8 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         ("docs",),
         """SELECT id, CASE WHEN id % 7 = 0 THEN sha256('old' || id) ELSE hash END AS hash, slug,
                   '' AS updated_at, CASE WHEN id % 13 <> 0 THEN 'file_' || id END AS file_id
-           FROM docs WHERE id % 10 <> 0""",
+           FROM (SELECT id, max_by(slug, docs.hash) AS slug, max(hash) AS hash FROM docs
+                 WHERE id % 10 <> 0 GROUP BY id)""",
     ),
     "plain": (
         ("docs", "base"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import js_trim
 from tidemark.operators.render import render_documents
+from tidemark.operators.skew import last_by
 from tidemark.session import spread, staged
 from tidemark.sources.pages import PER_PAGE
 
@@ -97,10 +98,11 @@ def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def baseline(stored: DataFrame) -> DataFrame:
-    """Snapshot of an earlier run: some documents are unknown to it, some had
-    other text, some were never uploaded."""
+    """Snapshot of an earlier run, one row per id: some documents are unknown to
+    it, some had other text, some were never uploaded."""
     name = F.col("id").cast("string")
-    return stored.filter(~every(10, "id")).select(
+    known = stored.filter(~every(10, "id")).select("id", "slug", "hash", "renderer_version")
+    return last_by(known, "id", F.col("hash")).select(
         "id",
         F.when(every(7, "id"), F.sha2(F.concat(F.lit("old"), name), 256))
         .otherwise(F.col("hash"))

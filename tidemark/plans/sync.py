@@ -26,7 +26,7 @@ from tidemark.sources.chunk_table import Sink, table_sink
 from tidemark.sources.corpus import corpus_delta, corpus_hashes, write_corpus
 from tidemark.sources.runlog import write_run_log
 from tidemark.sources.snapshot import read_snapshot, write_snapshot
-from tidemark.storage import delete_path, version_path, versions
+from tidemark.storage import delete_path, versions
 
 PLACE = ["id", "page_no", "pos"]
 TOTALS = "added long, updated long, skipped long, estimated_chunks long"
@@ -155,15 +155,10 @@ def run(
 
 def _store_corpus(spark, staged, classified, n_rows, workspace, version):
     current = corpus_hashes(spark, workspace.corpus, before=version)
-    keys = corpus_delta(classified, current).persist(StorageLevel.MEMORY_AND_DISK)
+    keys = corpus_delta(classified, current)
     others = classified.select(PLACE).join(keys, PLACE, "left_anti")
-    n_keys = keys.count()
-    if n_keys:
-        documents = rows_with_keys(staged, keys, PLACE, n_keys, n_rows, others)
-        write_corpus(documents, workspace.corpus, version)
-    else:
-        delete_path(spark, version_path(workspace.corpus, version))
-    keys.unpersist()
+    documents = rows_with_keys(staged, keys, PLACE, n_rows, n_rows, others)
+    write_corpus(documents, workspace.corpus, version)
 
 
 def _store_changed(staged, classified, n_changed, n_rows, store) -> DataFrame:

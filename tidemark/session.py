@@ -80,11 +80,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Inputs below this size may be shuffled to use all cores.
+SMALL_INPUT = 256 * 1024 * 1024
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Give an input of fewer partitions than cores one per core.
+    """Give a small input one partition per core.
 
     A small file is one partition, and rendering it would keep one core busy.
-    Large inputs have more partitions than cores and are left as they are.
+    Inputs that are not known to be small are left as they are read.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) >= SMALL_INPUT:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

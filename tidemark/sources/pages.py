@@ -80,11 +80,21 @@ def normalise(raw: DataFrame, locale: str = DEFAULT_LOCALE) -> DataFrame:
 
 
 def articles_of(
-    pages: DataFrame, locale: str = DEFAULT_LOCALE, max_pages: int | None = None
+    pages: DataFrame,
+    locale: str = DEFAULT_LOCALE,
+    max_pages: int | None = None,
+    follow: bool = True,
 ) -> DataFrame:
     """Published, normalised articles of one crawl.
 
+    Pages after the first without `next_page` are left out, for which the dump
+    is read twice. A capture that stopped there by itself needs no `follow`.
+
     Drafts go before anything is rendered: the renderer is opaque to the
     optimizer, so no later filter would move below it.
     """
-    return normalise(drop_drafts(flatten_pages(followed_pages(pages, max_pages))), locale)
+    if follow:
+        pages = followed_pages(pages, max_pages)
+    elif max_pages is not None:
+        pages = first_pages(pages, max_pages)
+    return normalise(drop_drafts(flatten_pages(pages)), locale)
