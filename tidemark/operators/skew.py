@@ -17,10 +17,18 @@ SEGMENT = 1_000
 
 
 def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Every key with more than `share` of the rows. At most `1/share` values
-    come back (some may be false alarms), so the list is safe on the driver."""
-    found = rows.filter(F.col(key).isNotNull()).freqItems([key], share).first()
-    return list(found[0]) if found and found[0] else []
+    """Every key with more than `share` of the rows.
+
+    A sketch of at most `1/share` values holds them all; counting those drops
+    its false alarms. Both lists are that short, so they are safe on the driver.
+    """
+    keys = rows.select(key).filter(F.col(key).isNotNull())
+    found = keys.freqItems([key], share).first()
+    if not found or not found[0]:
+        return []
+    least = keys.count() * share
+    counted = keys.filter(F.col(key).isin(found[0])).groupBy(key).count()
+    return [row[key] for row in counted.filter(F.col("count") > least).collect()]
 
 
 def salted_left_join(
