@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as driver
+from tidemark.plans.catalog import QUERIES
+from tidemark.plans.catalog_sql import ORACLES
 from tests.compare import differences, oracle_connection
 
 SF_DIR = driver.SMOKE_DIR
@@ -13,7 +15,7 @@ def connection():
     return oracle_connection(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(compiled_spark, connection, name):
     result = driver.queries()[name](compiled_spark, SF_DIR)
     sql = driver.oracle_sql()[name]
@@ -22,7 +24,7 @@ def test_query_equals_sql(compiled_spark, connection, name):
 
 
 def test_queries_without_sql(compiled_spark):
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"render_full"}
+    assert set(QUERIES) - set(ORACLES) == {"render_full"}
     assert driver.queries()["render_full"](compiled_spark, SF_DIR).count() == 50
 
 
