@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,12 +30,6 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def as_table(batch: pa.RecordBatch | dict, schema: pa.Schema | None = None) -> pa.RecordBatch:
-    if isinstance(batch, dict):
-        return pa.RecordBatch.from_pydict(batch, schema=schema)
-    return batch
-
-
 def text_slices(
     batches: Iterable[pa.RecordBatch], text: str = "text", chars: int = SLICE_CHARS
 ) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
@@ -45,7 +40,7 @@ def text_slices(
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         sizes = np.nan_to_num(
-            np.asarray(pa.compute.binary_length(column).to_numpy(zero_copy_only=False), dtype=float)
+            np.asarray(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=float)
         )
         ends = np.cumsum(sizes)
         start = 0

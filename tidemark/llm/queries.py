@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, token_counts
+from tidemark.llm import byte_bpe, packing, rans, token_counts
 from tidemark.llm.common import read_table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,16 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return byte_bpe.round_trip(docs, vocabulary("byte_bpe_multi_50k.tiktoken"))
+
+
+@query
+def op9_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.with_crc(packing.pack(docs, vocabulary("word_bpe_49k.json")))
+
+
+@query
+def op10_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    read_back = rans.through_files(docs, vocabulary("byte_bpe_50k.json"))
+    return packing.with_crc(read_back)
