@@ -1,0 +1,137 @@
+"""A stated set of query vectors against all rows, block by block.
+
+Rows are indexed where they are read, in blocks of bounded size, and written
+once. Queries are packed in chunks; every block gets every chunk, joined on the
+block's bucket, so work and shuffle are spread over as many keys as there are
+blocks. A task sees one block and one chunk at a time and hands on `k` rows per
+query, of which the best `k` are kept in the end.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tidemark.session import staged
+
+#: Vectors of a block and queries of a chunk, at most.
+BLOCK_ROWS, CHUNK_ROWS = 32_768, 1_024
+PACKED = "block long, dim int, packed binary"
+
+
+def usable(vector: Column) -> Column:
+    """Not null, and without null, NaN or infinite components."""
+    finite = F.forall(
+        vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
+    )
+    return F.coalesce(vector.isNotNull() & finite, F.lit(False))
+
+
+def matrices(batches, rows: int):
+    """`(vec_ids, matrix)` of up to `rows` vectors of one length, in order of id."""
+    held: dict[int, list] = {}
+
+    def closed(dim):
+        parts = held.pop(dim)
+        ids = np.concatenate([i for i, _ in parts])
+        matrix = np.concatenate([m for _, m in parts])
+        order = np.argsort(ids, kind="stable")
+        return ids[order], matrix[order]
+
+    for batch in batches:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        vectors = batch.column(1)
+        sizes = np.diff(vectors.offsets.to_numpy())
+        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        starts = np.cumsum(sizes) - sizes
+        for dim in np.unique(sizes).tolist():
+            at = np.flatnonzero(sizes == dim)
+            matrix = flat[starts[at][:, None] + np.arange(dim)]
+            for low in range(0, len(at), rows):
+                part = slice(low, low + rows)
+                room = rows - sum(len(i) for i, _ in held.get(dim, []))
+                if len(at[part]) > room:
+                    yield closed(dim)
+                held.setdefault(dim, []).append((ids[at[part]], matrix[part]))
+    for dim in list(held):
+        yield closed(dim)
+
+
+def packed(vectors: DataFrame, rows: int, pack: Callable[[np.ndarray, np.ndarray], bytes]):
+    """Rows of `PACKED`, each of up to `rows` of the vectors (`vec_id`, `vector`)."""
+
+    def work(batches):
+        part = TaskContext.get().partitionId()
+        for n, (ids, matrix) in enumerate(matrices(batches, rows)):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([part << 32 | n], pa.int64()),
+                    pa.array([matrix.shape[1]], pa.int32()),
+                    pa.array([pack(ids, matrix)], pa.binary()),
+                ],
+                names=["block", "dim", "packed"],
+            )
+
+    return vectors.select("vec_id", "vector").mapInArrow(work, PACKED)
+
+
+def best_of_blocks(
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int,
+    index: Callable[[np.ndarray, np.ndarray], bytes],
+    search: Callable[[bytes, np.ndarray, np.ndarray, int], tuple],
+    score_type: str,
+) -> DataFrame:
+    """`query_id, rank, vec_id, score` of the `k` best rows `search` finds for each query.
+
+    `index(ids, matrix)` packs a block; `search(block, query_ids, queries, k)`
+    returns arrays of query ids, vector ids and scores, at most `k` per query.
+    A query meets only vectors of its own length. Ties go to the smaller id.
+    """
+    blocks = staged(packed(vectors, BLOCK_ROWS, index), "vector-blocks")
+    buckets = max(1, blocks.count())
+    n_queries = queries.count()
+
+    def as_chunk(ids, matrix):
+        return ids.astype("<i8").tobytes() + matrix.astype("<f8").tobytes()
+
+    chunks = packed(queries.repartition(max(1, -(-n_queries // CHUNK_ROWS))), CHUNK_ROWS, as_chunk)
+    chunks = chunks.select(
+        "dim",
+        F.col("packed").alias("chunk"),
+        F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"),
+    )
+    bucketed = blocks.withColumn("bucket", F.pmod(F.xxhash64("block"), F.lit(buckets)).cast("int"))
+    pairs = (
+        bucketed.repartition(2 * buckets, "bucket")
+        .join(chunks.repartition(2 * buckets, "bucket"), ["bucket", "dim"])
+        .select("dim", "packed", "chunk")
+    )
+    arrow_score = pa.int64() if score_type == "long" else pa.float64()
+
+    def work(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                dim, block, chunk = (c[i].as_py() for c in batch.columns)
+                n = len(chunk) // (8 * (dim + 1))
+                query_ids = np.frombuffer(chunk, "<i8", n)
+                wanted = np.frombuffer(chunk, "<f8", n * dim, 8 * n).reshape(n, dim)
+                found = search(block, query_ids, wanted, k)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), arrow_score))],
+                    names=["query_id", "vec_id", "score"],
+                )
+
+    found = pairs.mapInArrow(work, f"query_id long, vec_id long, score {score_type}")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (
+        found.withColumn("rank", F.row_number().over(best))
+        .where(F.col("rank") <= k)
+        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    )

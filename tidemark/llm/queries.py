@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, packing, rans, token_counts
+from tidemark.llm import bit_sliced, byte_bpe, one_bit, packing, rans, token_counts
 from tidemark.llm.common import read_table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,23 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs, vocabulary("byte_bpe_multi_50k.tiktoken"))
 
 
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read_table(spark, sf_dir, "embeddings")
+    return table.select("vec_id", F.col("embedding").alias("vector"))
+
+
+@query
+def op6_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _vectors(spark, sf_dir)
+    return bit_sliced.exact_top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+@query
+def op7_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _vectors(spark, sf_dir)
+    return one_bit.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 @query
 def op9_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
