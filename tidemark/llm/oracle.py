@@ -3,3 +3,40 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+#: Lines and templates of `source` (a table with doc_id and text), as CTEs.
+LINE_TEMPLATES = """
+lines AS (
+  SELECT doc_id, text, generate_subscripts(string_split(text, chr(10)), 1) AS pos,
+         unnest(string_split(text, chr(10))) AS line
+  FROM {source}
+),
+templates AS (
+  SELECT doc_id, text, pos, line,
+         regexp_replace(line, '[^ \\t\\r]*[0-9@][^ \\t\\r]*', '<*>', 'g') AS template
+  FROM lines
+),
+recurring AS (
+  SELECT template, min(doc_id) AS first_doc
+  FROM templates
+  WHERE len(string_split(template, ' ')) >= 4
+  GROUP BY template
+  HAVING count(DISTINCT doc_id) >= 2
+),
+kept_lines AS (
+  SELECT t.doc_id, t.text, t.pos, t.line,
+         r.template IS NOT NULL AND t.doc_id > r.first_doc AS dropped
+  FROM templates t LEFT JOIN recurring r USING (template)
+),
+kept AS (
+  SELECT doc_id, text AS whole, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '') AS text
+  FROM kept_lines GROUP BY doc_id, text
+)
+"""
+
+ORACLES["op8_line_templates"] = f"""
+WITH {LINE_TEMPLATES.format(source="documents")}
+SELECT doc_id, n_lines, n_dropped, length(text)::BIGINT AS n_chars, md5(text) AS text_md5
+FROM kept
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bit_sliced, byte_bpe, one_bit, packing, rans, token_counts
+from tidemark.llm import bit_sliced, byte_bpe, line_templates, one_bit, packing, rans, token_counts
 from tidemark.llm.common import read_table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,20 @@ def op7_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_bit.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+@query
+def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_templates.drop_recurring_lines(docs, counts=True)
+    text = F.coalesce("text", F.lit(""))
+    return kept.select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.length(text).cast("long").alias("n_chars"),
+        F.md5(text.cast("binary")).alias("text_md5"),
+    )
+
+
 @query
 def op9_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
