@@ -9,7 +9,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.session import ship_package
 
@@ -89,8 +88,3 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     np.cumsum(terms, out=prefix[1:], dtype=np.uint64)
     unscaled = (prefix[ends] - prefix[starts]) * powers(_BASE_INVERSE, n + 1)[starts]
     return mix64(unscaled + (ends - starts).astype(np.uint64))
-
-
-def crc32_text(column: str) -> F.Column:
-    """crc32 of a column's text form, as the driver's contracts use it."""
-    return F.crc32(F.col(column).cast("string"))

@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bit_sliced, byte_bpe, line_templates, one_bit, packing, rans, token_counts
+from tidemark.llm import (
+    bit_sliced,
+    byte_bpe,
+    languages,
+    line_templates,
+    one_bit,
+    packing,
+    rans,
+    token_counts,
+)
 from tidemark.llm.common import read_table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +31,15 @@ def query(build):
 TOKEN_LIMIT = 2048
 
 
+@query
+def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", languages.held_out().alias("held_out")
+    )
+    models = languages.fit(docs.where(~F.col("held_out") & F.col("doc_id").isNotNull()))
+    return languages.predict(docs.select("doc_id", "held_out", "text"), models)
+
+
 @query
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
