@@ -14,6 +14,7 @@ from tidemark.llm import (
     line_templates,
     one_bit,
     packing,
+    parity_join,
     rans,
     token_counts,
 )
@@ -31,6 +32,11 @@ def query(build):
 TOKEN_LIMIT = 2048
 
 
+@query
+def op1_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.linked_documents(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select(
