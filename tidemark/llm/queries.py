@@ -15,6 +15,7 @@ from tidemark.llm import (
     one_bit,
     packing,
     parity_join,
+    pii,
     rans,
     token_counts,
 )
@@ -46,6 +47,12 @@ def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.predict(docs.select("doc_id", "held_out", "text"), models)
 
 
+@query
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find_personal_data(docs)
+
+
 @query
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
