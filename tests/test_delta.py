@@ -153,11 +153,9 @@ def test_classify_is_the_same_with_and_without_salting(spark, skewed):
     assert plain.count() == salted.count() == 30_000
 
 
-@pytest.mark.parametrize("bound, n_keys", [(10**6, 3), (10, 20), (1, 3)])
-def test_rows_with_keys_goes_any_way(spark, monkeypatch, bound, n_keys):
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", bound)
-    wide = spark.range(21).withColumn("text", F.lit("t"))
-    keys = wide.filter(F.col("id") < n_keys).select("id")
-    others = wide.filter(F.col("id") >= n_keys).select("id")
-    rows = skew.rows_with_keys(wide, keys, ["id"], n_keys, 21, others)
-    assert sorted(r.id for r in rows.collect()) == list(range(n_keys))
+def test_rows_with_keys_meets_nulls(spark):
+    schema = "id long, page_no long, text string"
+    wide = spark.createDataFrame([(1, None, "a"), (1, 2, "b"), (2, None, "c")], schema)
+    keys = spark.createDataFrame([(1, None), (9, 9)], "id long, page_no long")
+    rows = skew.rows_with_keys(wide, keys, ["id", "page_no"])
+    assert [tuple(r) for r in rows.collect()] == [(1, None, "a")]

@@ -149,6 +149,8 @@ def test_responses(spark):
     assert (parsed[2].answer, parsed[2].cited) == ("(no text)", [])
     assert (parsed[3].answer, parsed[3].cited) == ("(no text)", [])
     log = retrieval.citation_log(rows, "id")
-    assert sorted((r.id, r.filename) for r in log.collect()) == [(1, "a.md"), (1, "b.md")]
+    assert sorted((r.id, r.filename or "") for r in log.collect()) == [
+        (1, "a.md"), (1, "b.md"), (2, ""), (3, ""),
+    ]
     assert "Exchange" not in log._jdf.queryExecution().executedPlan().toString()
-    assert log.select(F.max("id")).first()[0] == 1
+    assert log.select(F.max("id")).first()[0] == 3

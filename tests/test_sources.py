@@ -32,17 +32,45 @@ def test_pages_are_followed_in_order(spark, tmp_path, multi_line):
         {"articles": [raw(4)], "next_page": None},
         indent=2 if multi_line else None,
     )
-    found = pages.articles_of(pages.read_page_dumps(spark, path, multi_line))
+    read = pages.read_page_dumps(spark, path, multi_line)
+    found = pages.articles_of(read, follow=True)
     assert [r.id for r in found.orderBy("page_no", "pos").collect()] == [1, 2, 3]
+    assert pages.articles_of(read).count() == 4
 
 
-def test_page_limit(spark, tmp_path):
-    path = dump(tmp_path / "d", *[{"articles": [raw(i)], "next_page": "x"} for i in range(12)])
-    read = pages.read_page_dumps(spark, path)
+def test_page_limit_counts_pages_followed(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    for i in range(12):
+        page = {"articles": [raw(i)], "next_page": "x"}
+        (tmp_path / "d" / f"page-{i + 5}.json").write_text(json.dumps(page))
+    read = pages.read_page_dumps(spark, str(tmp_path / "d"))
     assert pages.articles_of(read).count() == 12
     assert sorted(r.id for r in pages.articles_of(read, max_pages=3).collect()) == [0, 1, 2]
 
 
+def test_crawls_end_on_their_own(spark, tmp_path):
+    for crawl, numbers in (("a", (1, 3)), ("b", (2, 4, 6))):
+        (tmp_path / crawl).mkdir()
+        for n in numbers:
+            page = {"articles": [raw(n)], "next_page": None if n in (1, 4) else "x"}
+            (tmp_path / crawl / f"page-{n}.json").write_text(json.dumps(page))
+    read = pages.read_page_dumps(spark, str(tmp_path / "*"))
+    followed = pages.followed_pages(read)
+    assert sorted((r.crawl, r.page_no) for r in followed.collect()) == [("a", 1), ("b", 2), ("b", 4)]
+    assert pages.articles_of(read).count() == 5
+
+
+@pytest.mark.parametrize("lines,name,problem", [
+    ([{"articles": [raw(1)]}, {"articles": [raw(2)]}], "page-1.json", "share a number"),
+    ([{"articles": [raw(1)]}], "dump.json", "no number"),
+])
+def test_pages_of_open_order_are_refused(spark, tmp_path, lines, name, problem):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / name).write_text("\n".join(map(json.dumps, lines)))
+    with pytest.raises(ValueError, match=problem):
+        pages.articles_of(pages.read_page_dumps(spark, str(tmp_path / "d")))
+
+
 def test_drafts_defaults_and_missing_articles(spark, tmp_path):
     sparse = {"id": 2, "title": "  T ", "body": None, "locale": ""}
     path = dump(
@@ -61,7 +89,9 @@ def test_page_schema_is_read_as_given(spark, tmp_path):
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "page-0.json").write_text('{"articles": [{"id": 10259143299219}]}')
     read = pages.read_page_dumps(spark, str(tmp_path / "d"))
-    assert read.schema == PAGE
+    assert sorted((f.name, f.dataType.simpleString()) for f in read.schema) == sorted(
+        (f.name, f.dataType.simpleString()) for f in PAGE
+    )
     assert read.first().articles[0].id == 10259143299219
 
 
@@ -91,7 +121,8 @@ def test_snapshot_json_round_trip(spark, tmp_path, multi_line):
 def test_missing_and_broken_snapshots_are_empty(spark, tmp_path):
     assert snapshot.read_snapshot_json(spark, str(tmp_path / "none")).count() == 0
     (tmp_path / "broken.json").write_text('{"articles": {"1": ')
-    assert snapshot.read_snapshot_json(spark, str(tmp_path / "broken.json")).count() == 0
+    broken = snapshot.read_snapshot_json(spark, str(tmp_path / "broken.json"), multi_line=True)
+    assert broken.count() == 0
     assert snapshot.read_snapshot(spark, str(tmp_path / "none")).count() == 0
 
 
@@ -104,6 +135,11 @@ def test_only_committed_versions_count(spark, tmp_path):
     assert storage.versions(spark, root) == [0, 10]
     assert snapshot.read_snapshot(spark, root).count() == 1
     assert snapshot.read_snapshot(spark, root, before=10).count() == 2
+    assert storage.next_version(spark, root) == 12
+    with pytest.raises(ValueError, match="already written"):
+        snapshot.write_snapshot(entries, root, 10)
+    assert storage.keep_newest(spark, root, 1) == [0]
+    assert storage.versions(spark, root) == [10]
 
 
 def test_markdown_files(spark, tmp_path):

@@ -4,15 +4,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.delta import classify
+from tidemark.operators.skew import rows_with_keys
 from tidemark.plans.sync import RunOptions, Workspace, run
-from tidemark.session import scratch_root
+from tidemark.session import scratch_root, staged
 from tidemark.sources.chunk_table import compact, read_chunks
 from tidemark.sources.corpus import read_corpus
 from tidemark.sources.pages import articles_of
 from tidemark.sources.runlog import read_log, run_history
 from tidemark.sources.snapshot import read_snapshot
 from tidemark.storage import versions
-from tidemark.streaming.incremental import page_dump_stream, sync_new_pages
+from tidemark.streaming.incremental import claimed_version, page_dump_stream, sync_new_pages
 from tests.test_sources import dump, raw
 
 SCHEMA = (
@@ -179,9 +180,11 @@ def test_partly_stored_batch_records_what_was_stored(spark, workspace):
 
 def test_replayed_version_is_harmless(spark, workspace):
     run(spark, articles(spark, (1, "a")), workspace, version=0)
-    for _ in range(2):
-        summary = run(spark, articles(spark, (1, "b"), (2, "c")), workspace, version=1)
-        assert counts(summary) == (1, 1, 0, 2)
+    for replay in (False, True):
+        rows = articles(spark, (1, "b"), (2, "c"))
+        assert counts(run(spark, rows, workspace, version=1, replay=replay)) == (1, 1, 0, 2)
+    with pytest.raises(ValueError, match="already written"):
+        run(spark, rows, workspace, version=1)
     assert chunk_texts(spark, workspace) == ["b", "c"]
     assert read_log(spark, workspace.log).count() == 2
 
@@ -223,7 +226,7 @@ def test_stream_equals_batch_and_sees_each_page_once(spark, workspace, tmp_path)
     stream(spark, path, workspace, tmp_path)
     batch = Workspace.under(str(tmp_path / "batch"))
     read = spark.read.schema(page_dump_stream(spark, path).schema).json(path)
-    run(spark, articles_of(read.withColumn("page_no", F.lit(0).cast("long"))), batch)
+    run(spark, articles_of(read.withColumn("page_no", F.expr("articles[0].id"))), batch)
     assert {i: r.hash for i, r in state(spark, workspace).items()} == {
         i: r.hash for i, r in state(spark, batch).items()
     }
@@ -238,6 +241,35 @@ def test_stream_equals_batch_and_sees_each_page_once(spark, workspace, tmp_path)
     assert chunk_texts(spark, workspace) == ["body 1", "new"]
 
 
+def test_stream_and_batch_share_one_sequence(spark, workspace, tmp_path):
+    run(spark, articles(spark, (1, "a"), (2, "b")), workspace)
+    run(spark, articles(spark, (1, "a"), (2, "b2")), workspace)
+    path = dump(tmp_path / "dump", {"articles": [raw(3)], "next_page": None})
+    stream(spark, path, workspace, tmp_path)
+    assert chunk_texts(spark, workspace) == ["a", "b2", "body 3"]
+    run(spark, articles(spark, (1, "a2")), workspace)
+    assert versions(spark, workspace.snapshot) == [0, 1, 2, 3]
+    assert chunk_texts(spark, workspace) == ["a2", "b2", "body 3"]
+
+
+def test_a_replayed_batch_keeps_its_version(spark, workspace):
+    assert claimed_version(spark, workspace, "x", 0) == (0, False)
+    assert claimed_version(spark, workspace, "y", 0) == (1, False)
+    assert claimed_version(spark, workspace, "x", 0) == (0, True)
+    run(spark, articles(spark, (1, "a")), workspace, version=5)
+    assert claimed_version(spark, workspace, "x", 1) == (6, False)
+
+
+@pytest.mark.parametrize("n", [1, 40])
+def test_few_changes_leave_text_out_of_every_shuffle(spark, n):
+    wide = spark.range(4000).selectExpr("id", "1L AS page_no", "0 AS pos", "repeat('x', 500) AS md_text")
+    keys = staged(wide.select("id", "page_no", "pos").limit(n), "keys")
+    found = rows_with_keys(wide, keys, ["id", "page_no", "pos"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastExchange" in plan
+    assert found.count() == n
+
+
 def test_scratch_folder_is_the_one_the_cluster_names():
     def session(master, **settings):
         return SimpleNamespace(

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import u16_length
+
 # What a leaked key looks like, and what marks a dummy one.
 SECRET_PATTERN = r"sk-(proj-)?[A-Za-z0-9_-]{20,}"
 PLACEHOLDERS = ("your", "xxx", "example", "changeme", "placeholder")
@@ -18,8 +20,10 @@ MIN_DOCUMENTS = 30
 ANSWER_LENGTH = 1500
 MAX_BULLETS = 5
 
-# Hits named in a check's message. The hit table always holds all of them.
-MESSAGE_HITS = 1_000
+# The names reports know the checks by.
+CORPUS_CHECK = "articles>={}"
+SECRETS_CHECK = "no-hardcoded-secrets"
+SNAPSHOT_CHECK = "snapshot-valid"
 
 _BULLET = r"^\s*([-*•]|\d+\.)\s"
 
@@ -70,28 +74,24 @@ def _check(name: str, required: bool | Column, ok: Column, message: Column) -> l
 
 def minimum_corpus_check(documents: DataFrame, minimum: int = MIN_DOCUMENTS) -> DataFrame:
     n = F.col("n_documents")
-    message = F.concat(n.cast("string"), F.lit(f" Markdown documents (need >={minimum})"))
+    message = F.concat(n.cast("string"), F.lit(f" documents, {minimum} at least"))
     return corpus_count(documents).select(
-        *_check(f"articles>={minimum}", True, n >= minimum, message)
+        *_check(CORPUS_CHECK.format(minimum), True, n >= minimum, message)
     )
 
 
 def secrets_check(hits: DataFrame) -> DataFrame:
-    """Passes without hits. The message names the first hits in text order and
-    the number of any others, so it stays one short text on any corpus."""
-    first = hits.select("hit").orderBy("hit").limit(MESSAGE_HITS)
-    named = first.agg(F.concat_ws("; ", F.array_sort(F.collect_list("hit")))).scalar()
-    n = F.col("n")
-    others = F.when(
-        n > MESSAGE_HITS,
-        F.concat(F.lit("; and "), (n - MESSAGE_HITS).cast("string"), F.lit(" more")),
-    ).otherwise("")
-    message = F.when(n == 0, "No hard-coded API keys").otherwise(
-        F.concat(F.lit("Keys found: "), named, others)
+    """Passes without hits. The message counts hits and documents with any; the
+    hits themselves are in the hit table, all of them."""
+    by_path = hits.groupBy("path").agg(F.count("*").alias("n"))
+    totals = by_path.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("n_documents")
     )
-    return hits.agg(F.count("*").alias("n")).select(
-        *_check("no-hardcoded-secrets", True, n == 0, message)
+    n = F.col("n")
+    message = F.when(n == 0, "no leaked keys").otherwise(
+        F.concat(n.cast("string"), F.lit(" leaked keys in "), "n_documents", F.lit(" documents"))
     )
+    return totals.select(*_check(SECRETS_CHECK, True, n == 0, message))
 
 
 def snapshot_check(raw: DataFrame, text: str = "raw") -> DataFrame:
@@ -100,12 +100,12 @@ def snapshot_check(raw: DataFrame, text: str = "raw") -> DataFrame:
     broken = F.count_if(F.try_parse_json(F.col(text)).isNull())
     totals = raw.agg(F.count("*").alias("n"), broken.alias("broken"))
     message = (
-        F.when(F.col("n") == 0, "snapshot not created yet (skipped)")
-        .when(F.col("broken") == 0, "snapshot is valid")
-        .otherwise("snapshot broken")
+        F.when(F.col("n") == 0, "no snapshot so far, not checked")
+        .when(F.col("broken") == 0, "all parts parse")
+        .otherwise("some parts do not parse")
     )
     return totals.select(
-        *_check("snapshot-valid", F.col("broken") > 0, F.col("broken") == 0, message)
+        *_check(SNAPSHOT_CHECK, F.col("broken") > 0, F.col("broken") == 0, message)
     )
 
 
@@ -157,9 +157,9 @@ def is_cited(text: Column) -> Column:
 
 
 def is_answered(text: Column, terms: tuple[str, ...], min_length: int = ANSWER_LENGTH) -> Column:
-    """Longer than `min_length` and naming every topic term."""
+    """Longer than `min_length` UTF-16 units and naming every topic term."""
     named = [text.contains(term) for term in terms]
-    return reduce(Column.__and__, named, F.char_length(text) > min_length)
+    return reduce(Column.__and__, named, u16_length(text) > min_length)
 
 
 def bullet_count(text: Column) -> Column:

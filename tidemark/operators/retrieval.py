@@ -236,6 +236,7 @@ def _list(items: Column) -> Column:
 
 
 def citation_log(responses: DataFrame, key: str, raw: str = "response") -> DataFrame:
-    """One row per response and file it cites."""
+    """One row per response and file it cites; a response that cites none has one
+    row without file, so that no answer is lost."""
     parsed = parse_responses(responses.select(key, raw), raw)
-    return parsed.select(key, "answer", F.explode("cited").alias("filename"))
+    return parsed.select(key, "answer", F.explode_outer("cited").alias("filename"))

@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key list of this many rows (some tens of MB) may be broadcast. Callers
-# count first; beyond it the rows are shuffled.
-BROADCAST_ROWS = 1_000_000
-
 HOT_SHARE = 0.01
 SALTS = 64
 
@@ -81,17 +77,12 @@ def last_by(rows: DataFrame, key: str, place: Column) -> DataFrame:
     return rows.groupBy(key).agg(last).select(key, "_last.*")
 
 
-def rows_with_keys(
-    wide: DataFrame, keys: DataFrame, on: list[str], at_most: int, n_rows: int, others: DataFrame
-) -> DataFrame:
-    """The rows of `wide` whose key is in `keys`; `others` are all its other keys.
+def rows_with_keys(wide: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """The rows of `wide` whose key is in `keys`, which must be a written table.
 
-    `wide` carries document text, so it is shuffled only when neither list is
-    small: a small `keys` is broadcast to keep, a small rest to drop. `at_most`
-    is a bound on the number of keys; they are counted only if it is too high.
+    `wide` carries document text. As the size of the narrow list is known, Spark
+    sends it to the tasks while it is small and shuffles both sides beyond that.
+    A null in a key meets a null.
     """
-    if at_most <= BROADCAST_ROWS:
-        return wide.join(F.broadcast(keys.select(on)), on, "left_semi")
-    if n_rows - keys.count() <= BROADCAST_ROWS:
-        return wide.join(F.broadcast(others.select(on)), on, "left_anti")
-    return wide.join(keys.select(on), on, "left_semi")
+    same = [wide[c].eqNullSafe(keys[c]) for c in on]
+    return wide.join(keys.select(on), same, "left_semi")

@@ -11,9 +11,10 @@ from tidemark.functions import html as hx
 from tidemark.functions import text as tx
 from tidemark.operators import audit, chunking, delta, retrieval, summary
 from tidemark.operators.render import full_markdown, render_documents
+from tidemark.operators.skew import hot_keys
 from tidemark.plans import gate, inputs
 from tidemark.plans.sync import RunOptions, Workspace, preview, run
-from tidemark.session import scratch_path, ship_package, spread, staged
+from tidemark.session import scratch_path, ship_package, staged
 from tidemark.sources import chunk_table, corpus, pages, runlog, snapshot
 from tidemark.storage import write_version
 from tidemark.streaming.incremental import page_dump_stream, sync_new_pages
@@ -44,9 +45,8 @@ def page_source(spark, sf_dir):
     path = scratch_path(spark, "pages")
     inputs.page_dumps(spark, sf_dir).write.json(path)
     followed = pages.followed_pages(pages.read_page_dumps(spark, path))
-    return followed.select(
-        "page_no", F.size("articles").cast("long").alias("n_articles"), "next_page"
-    )
+    n_articles = F.size(F.coalesce("articles", F.array())).cast("long")
+    return followed.select("crawl", "page_no", n_articles.alias("n_articles"), "next_page")
 
 
 @query
@@ -208,7 +208,7 @@ def document_key(spark, sf_dir):
 
 @query
 def strip_elements(spark, sf_dir):
-    source = spread(inputs.table(spark, sf_dir, "pages"))
+    source = inputs.table(spark, sf_dir, "pages")
     stripped = source.select("page_id", hx.strip_elements(F.col("html")).alias("text"))
     return stripped.select("page_id", *_text_key("text"))
 
@@ -231,7 +231,7 @@ def markdown_flat(spark, sf_dir):
 @query
 def markdown_links(spark, sf_dir):
     """The flat rules on the link lists that cleaning would drop."""
-    source = spread(inputs.table(spark, sf_dir, "pages"))
+    source = inputs.table(spark, sf_dir, "pages")
     text = tx.tidy_body(hx.flat_markdown(F.col("html")))
     return source.select("page_id", text.alias("text")).select("page_id", *_text_key("text"))
 
@@ -320,7 +320,8 @@ def drop_drafts(spark, sf_dir):
 
 def _classified(spark, sf_dir, upload: bool = True) -> DataFrame:
     stored = inputs.stored_documents(spark, sf_dir)
-    return delta.classify(stored, inputs.baseline(stored), upload=upload)
+    hot = hot_keys(stored, "id")
+    return delta.classify(stored, inputs.baseline(stored), upload=upload, hot_ids=hot)
 
 
 @query
@@ -368,8 +369,10 @@ def cited_answers(spark, sf_dir):
 
 @query
 def answered_turns(spark, sf_dir):
+    """Length counts UTF-16 units; some texts end with signs of two units each."""
     turns = inputs.table(spark, sf_dir, "conversations")
-    answered = audit.is_answered(F.col("text"), ("die", "der"), 500)
+    signs = F.repeat(F.lit("\U0001f600"), F.pmod("conv_id", F.lit(5)).cast("int") * 60)
+    answered = audit.is_answered(F.concat("text", signs), ("die", "der"), 500)
     return turns.select("conv_id", "turn", answered.alias("answered"))
 
 
@@ -386,9 +389,9 @@ def bullet_cap(spark, sf_dir):
 
 @query
 def page_limit(spark, sf_dir):
-    """Articles inside and outside the page limit of one crawl."""
-    found = inputs.articles(spark, sf_dir).withColumn("kept", pages.within_pages(2))
-    return found.groupBy("kept").agg(
+    """Articles of the first page that each crawl follows."""
+    found = pages.flatten_pages(pages.followed_pages(inputs.page_dumps(spark, sf_dir), 1))
+    return found.groupBy("page_no").agg(
         F.count("*").alias("n_articles"), F.max("id").alias("last_id")
     )
 
@@ -401,6 +404,18 @@ def delta_classify(spark, sf_dir):
     return _classified(spark, sf_dir).select("id", "status")
 
 
+@query
+def delta_classify_hot(spark, sf_dir):
+    """A third of all rows has one id."""
+    stored = inputs.stored_documents(spark, sf_dir)
+    hot_id = F.when(inputs.every(3, "id"), F.lit(1).cast("long")).otherwise(F.col("id"))
+    rows = stored.withColumn("id", hot_id)
+    found = delta.classify(
+        rows, inputs.baseline(stored), upload=True, hot_ids=hot_keys(rows, "id")
+    )
+    return found.select("id", "page_no", "pos", "status", "prior_file_id")
+
+
 @query
 def prior_file_id(spark, sf_dir):
     return _classified(spark, sf_dir).select(
@@ -435,7 +450,7 @@ def align_results(spark, sf_dir):
 
 
 def _repeated(spark, sf_dir) -> DataFrame:
-    documents = render_documents(spread(inputs.repeated_articles(spark, sf_dir)), "flat")
+    documents = render_documents(inputs.repeated_articles(spark, sf_dir), "flat")
     return staged(documents.select(inputs.STORED), "documents")
 
 
@@ -618,7 +633,7 @@ def vector_top_k(spark, sf_dir):
 
 
 def _items(spark, sf_dir) -> DataFrame:
-    return spread(inputs.table(spark, sf_dir, "documents")).select(
+    return inputs.table(spark, sf_dir, "documents").select(
         "doc_id", F.col("doc_id").alias("item_id"), "text"
     )
 
@@ -662,7 +677,7 @@ def citation_log(spark, sf_dir):
 def cited_files(spark, sf_dir):
     """How many responses cite each file."""
     log = retrieval.citation_log(inputs.responses(spark, sf_dir), "response_id")
-    return log.groupBy("filename").agg(F.count("*").alias("n_responses"))
+    return log.filter(F.col("filename").isNotNull()).groupBy("filename").agg(F.count("*").alias("n_responses"))
 
 
 # Whole runs
@@ -735,6 +750,35 @@ def sync_custom_sink(spark, sf_dir):
     return snapshot.read_snapshot(spark, workspace.snapshot).select("id", "file_id")
 
 
+@query
+def incremental_over_snapshot(spark, sf_dir):
+    """A batch run, a stream of changed pages, a batch run: snapshot and live chunks.
+
+    The first run meets older texts of every second and third article; the
+    stream brings every third up to date, the last run the others.
+    """
+    root = scratch_path(spark, "mixed")
+    workspace = Workspace.under(f"{root}/sync")
+    options = RunOptions(renderer="flat")
+    now = inputs.articles(spark, sf_dir)
+    title = F.concat(F.lit("old "), "title")
+    older = inputs.every(2, "id") | inputs.every(3, "id")
+    run(spark, now.withColumn("title", F.when(older, title).otherwise(F.col("title"))), workspace, options)
+    fresh = now.filter(inputs.every(3, "id"))
+    fresh.select(
+        (F.col("id") + 1).alias("page_no"),
+        F.array(F.struct("id", "title", F.col("body_html").alias("body"), "html_url", "updated_at", "locale")).alias("articles"),
+    ).write.json(f"{root}/pages")
+    sync_new_pages(
+        page_dump_stream(spark, f"{root}/pages"), workspace, f"{root}/checkpoint", options
+    ).awaitTermination()
+    run(spark, now, workspace, options)
+    after = snapshot.read_snapshot(spark, workspace.snapshot)
+    live = chunk_table.read_chunks(spark, workspace.chunks, after)
+    counts = live.groupBy("file_id").agg(F.count("*").alias("n_chunks"))
+    return after.join(counts, "file_id").select("id", "hash", "file_id", "n_chunks")
+
+
 @query
 def incremental_sync(spark, sf_dir):
     """The snapshot after streaming page dumps in, twice over one checkpoint."""

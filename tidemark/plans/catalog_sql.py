@@ -142,7 +142,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         ("raw_articles",),
         f"""SELECT id, {_trim("coalesce(title, '')")} AS title, coalesce(body, '') AS body_html,
                    coalesce(html_url, '') AS html_url, coalesce(updated_at, '') AS updated_at,
-                   coalesce(locale, 'en-us') AS locale, draft, id AS page_no, 0 AS pos
+                   coalesce(locale, 'en-us') AS locale, draft, page_no + 1 AS page_no, pos
             FROM raw_articles""",
     ),
     "hinted": (
@@ -244,26 +244,26 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "cited": (
         ("answers",),
         """SELECT conv_id || '-' || turn AS response_id,
-                  CASE WHEN conv_id % 6 <> 0 THEN text ELSE '(no text)' END AS answer,
-                  unnest(['doc-' || conv_id || '.md', 'turn-' || turn || '.md']) AS filename
+                  CASE WHEN conv_id % 6 <> 0 AND conv_id % 8 <> 0 AND conv_id % 11 <> 0 THEN text
+                       ELSE '(no text)' END AS answer,
+                  unnest(CASE WHEN conv_id % 5 = 0 OR conv_id % 8 = 0 OR conv_id % 11 = 0 THEN [NULL]
+                              ELSE ['doc-' || conv_id || '.md', 'turn-' || turn || '.md'] END) AS filename
            FROM answers""",
     ),
     "checks": (
         ("files", "hits", "base"),
         """SELECT 0 AS position, 'articles>=30' AS name, true AS required, count(*) >= 30 AS ok,
-                  count(*) || ' Markdown documents (need >=30)' AS message
+                  count(*) || ' documents, 30 at least' AS message
            FROM files
            UNION ALL
            SELECT 1, 'no-hardcoded-secrets', true, count(*) = 0,
-                  CASE WHEN count(*) = 0 THEN 'No hard-coded API keys'
-                       ELSE 'Keys found: ' || string_agg(hit, '; ' ORDER BY hit) FILTER (place <= 1000)
-                            || CASE WHEN count(*) > 1000 THEN '; and ' || count(*) - 1000 || ' more'
-                                    ELSE '' END END
-           FROM (SELECT hit, row_number() OVER (ORDER BY hit) AS place FROM hits)
+                  CASE WHEN count(*) = 0 THEN 'no leaked keys'
+                       ELSE count(*) || ' leaked keys in ' || count(DISTINCT path) || ' documents' END
+           FROM hits
            UNION ALL
            SELECT 2, 'snapshot-valid', false, true,
-                  CASE WHEN count(*) = 0 THEN 'snapshot not created yet (skipped)'
-                       ELSE 'snapshot is valid' END
+                  CASE WHEN count(*) = 0 THEN 'no snapshot so far, not checked'
+                       ELSE 'all parts parse' END
            FROM base""",
     ),
     "json_lines": (
@@ -339,14 +339,17 @@ _GLUED = f"""(SELECT filename, text || ' kio' || regexp_extract(text, '{_SECRET}
 ORACLES: dict[str, str] = {
     "page_source": _sql(
         "articles",
-        """SELECT id AS page_no, CAST(1 AS BIGINT) AS n_articles,
-                  CASE WHEN id < (SELECT max(id) FROM articles)
-                       THEN '/articles?page=' || (id + 1) END AS next_page
-           FROM articles""",
+        """SELECT CASE WHEN n % 2 = 1 THEN 'odd' ELSE 'even' END AS crawl, n AS page_no, n_articles,
+                  CASE WHEN n <> top - top % 2 THEN '/articles?after=' || n END AS next_page
+           FROM numbers
+           UNION ALL SELECT 'odd', max(top) + 1, 0, '/articles?after=end' FROM numbers
+           UNION ALL SELECT 'odd', max(top) + 2, 0, NULL FROM numbers""",
+        """numbers AS (SELECT page_no + 1 AS n, count(*) AS n_articles, max(page_no + 1) OVER () AS top
+                       FROM articles GROUP BY page_no)""",
     ),
     "page_flatten": _sql(
         "raw_articles",
-        "SELECT id AS page_no, 0 AS pos, id, title, html_url, locale, draft FROM raw_articles",
+        "SELECT page_no + 1 AS page_no, pos, id, title, html_url, locale, draft FROM raw_articles",
     ),
     "page_articles": _sql(
         "normal",
@@ -466,16 +469,24 @@ ORACLES: dict[str, str] = {
             WHERE contains(text, 'Article URL:') OR regexp_matches(text, '{_CITED_PATTERN}')""",
     ),
     "answered_turns": """SELECT conv_id, turn, contains(text, 'die') AND contains(text, 'der')
-                                AND length(text) > 500 AS answered
+                                AND length(text) + 2 * 60 * (conv_id % 5) > 500 AS answered
                          FROM conversations""",
     "bullet_cap": _sql(
         "answers",
         f"""SELECT conv_id, turn, {_N_BULLETS} AS n_bullets, {_N_BULLETS} > 5 AS over_cap
             FROM answers""",
     ),
-    "page_limit": """SELECT page_id // 100 < 2 AS kept, count(*) AS n_articles, max(page_id) AS last_id
-                     FROM pages GROUP BY 1""",
+    "page_limit": """SELECT page_id // 100 + 1 AS page_no, count(*) AS n_articles, max(page_id) AS last_id
+                     FROM pages WHERE page_id // 100 < 2 GROUP BY 1""",
     "delta_classify": _sql("classified", "SELECT id, status FROM classified"),
+    "delta_classify_hot": _sql(
+        "docs base",
+        """SELECT d.id, page_no, pos, b.file_id AS prior_file_id,
+                  CASE WHEN b.id IS NULL THEN 'ADDED' WHEN b.hash <> d.hash THEN 'UPDATED'
+                       WHEN b.file_id IS NULL THEN 'ADDED' ELSE 'SKIPPED' END AS status
+           FROM (SELECT * REPLACE (CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS id) FROM docs) d
+           LEFT JOIN base b ON d.id = b.id""",
+    ),
     "prior_file_id": _sql(
         "classified",
         """SELECT id, prior_file_id, CASE WHEN status = 'UPDATED' THEN prior_file_id END AS old_file_id
@@ -537,7 +548,7 @@ ORACLES: dict[str, str] = {
            FROM json_lines GROUP BY 1""",
     ),
     "minimum_corpus": """SELECT 'articles>=30' AS name, true AS required, count(*) >= 30 AS ok,
-                                count(*) || ' Markdown documents (need >=30)' AS message
+                                count(*) || ' documents, 30 at least' AS message
                          FROM documents""",
     "gate_checks": _sql("checks", "SELECT name, required, ok, message FROM checks"),
     "gate_verdict": _sql(
@@ -618,7 +629,7 @@ ORACLES: dict[str, str] = {
         "cited", "SELECT response_id, filename, sha256(answer) AS answer_hash FROM cited"
     ),
     "cited_files": _sql(
-        "cited", "SELECT filename, count(*) AS n_responses FROM cited GROUP BY filename"
+        "cited", "SELECT filename, count(*) AS n_responses FROM cited WHERE filename IS NOT NULL GROUP BY filename"
     ),
     "sync_dry_run": _sql(
         "plain", f"SELECT {_RUN % ('CAST(0 AS BIGINT)', 'dry_run')} FROM plain"
@@ -647,6 +658,13 @@ ORACLES: dict[str, str] = {
            SELECT id, file_id FROM base
            WHERE id NOT IN (SELECT id FROM classified WHERE status <> 'SKIPPED')""",
     ),
+    "incremental_over_snapshot": _sql(
+        "docs",
+        """SELECT id, hash, 'file_' || CASE WHEN id % 3 = 0 THEN 1 WHEN id % 2 = 0 THEN 2 ELSE 0 END
+                             || '_' || id AS file_id, n_chunks
+           FROM docs JOIN pieces USING (id)""",
+        f"pieces AS (SELECT id, count(*) AS n_chunks FROM ({_chunks('docs', 'id')}) GROUP BY id)",
+    ),
     "incremental_sync": _sql(
         "normal",
         "SELECT id, hash, slug, 'file_0_' || id AS file_id FROM streamed",

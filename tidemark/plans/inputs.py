@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import js_trim
 from tidemark.operators.render import render_documents
 from tidemark.operators.skew import last_by
-from tidemark.session import spread, staged
+from tidemark.session import staged
 from tidemark.sources.pages import PER_PAGE
 
 CRAWL_TIME = "2024-01-01T00:00:00Z"
@@ -71,25 +71,39 @@ def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One page response per article. The last page has no `next_page`."""
+    """Page responses of a hundred articles, numbered from 1: odd pages are one
+    crawl, even ones another. The first goes on with an empty page and ends with
+    one that has no list; a page beyond its end is no part of it."""
     raw = raw_articles(spark, sf_dir)
     fields = [c for c in raw.columns if c not in ("page_no", "pos")]
-    last = raw.agg(F.max("id")).scalar()
-    following = F.concat(F.lit("/articles?page="), (F.col("id") + 1).cast("string"))
-    return raw.select(
-        F.array(F.struct(*fields)).alias("articles"),
-        F.when(F.col("id") < last, following).alias("next_page"),
-        F.col("id").alias("page_no"),
+    number, top = F.col("page_no"), raw.agg((F.max("page_no") + 1).alias("top"))
+    in_order = F.array_sort(F.collect_list(F.struct("pos", *fields)))
+    listed = F.transform(in_order, lambda a: F.struct(*[a[f].alias(f) for f in fields]))
+    full = raw.groupBy((number + 1).alias("page_no")).agg(listed.alias("articles"))
+    kind = full.schema["articles"].dataType
+    after = top.select(F.explode(F.array(*map(F.lit, (1, 2, 3)))).alias("step"), "top").select(
+        (F.col("top") + F.col("step")).alias("page_no"),
+        F.when(F.col("step") != 2, F.array().cast(kind)).alias("articles"),
+        F.when(F.col("step") == 1, F.lit("/articles?after=end")).alias("next_page"),
+        F.lit("odd").alias("crawl"),
     )
+    # the last even page ends the other crawl
+    last = top.select(F.col("top") - F.col("top") % 2).scalar()
+    crawl = F.when(number % 2 == 1, "odd").otherwise("even")
+    following = F.concat(F.lit("/articles?after="), number.cast("string"))
+    linked = full.select(
+        "page_no", "articles", F.when(number != last, following).alias("next_page"), crawl.alias("crawl")
+    )
+    return linked.unionByName(after)
 
 
 def hinted_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.replace(F.col("html"), F.lit('class="ad"'), F.lit('class="ad-slot"'))
-    return spread(table(spark, sf_dir, "pages")).select("page_id", html.alias("html"))
+    return table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return render_documents(spread(articles(spark, sf_dir)), "flat")
+    return render_documents(articles(spark, sf_dir), "flat")
 
 
 def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +144,7 @@ def repeated_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The `documents` table in the shape of a rendered corpus."""
     name = F.col("doc_id").cast("string")
-    return spread(table(spark, sf_dir, "documents")).select(
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"),
         F.concat(F.lit("file_"), name).alias("file_id"),
         F.concat(F.lit("doc-"), name, F.lit(".md")).alias("filename"),
@@ -163,7 +177,8 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answers as retrieval responses: three notes, one repeated, one unnamed."""
+    """Answers as retrieval responses: three notes, one repeated, one unnamed. Some
+    responses have no notes, some are missing, some are cut off."""
 
     def note(name: Column) -> Column:
         return F.struct(name.alias("filename"))
@@ -171,6 +186,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = F.concat(F.lit("doc-"), F.col("conv_id").cast("string"), F.lit(".md"))
     turn = F.concat(F.lit("turn-"), F.col("turn").cast("string"), F.lit(".md"))
     notes = F.array(note(own), note(turn), note(own), note(F.lit("")))
+    notes = F.when(~every(5, "conv_id"), notes)
     content = F.struct(notes.alias("annotations"))
     response = F.struct(
         F.when(~every(6, "conv_id"), F.col("text")).alias("output_text"),
@@ -180,7 +196,9 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias(
             "response_id"
         ),
-        F.to_json(response).alias("response"),
+        F.when(every(11, "conv_id"), F.substring(F.to_json(response), 1, 20))
+        .when(~every(8, "conv_id"), F.to_json(response))
+        .alias("response"),
     )
 
 

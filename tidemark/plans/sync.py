@@ -20,13 +20,12 @@ from tidemark.operators.render import render_documents
 from tidemark.operators.skew import hot_keys, last_by, rows_with_keys
 from tidemark.operators.summary import delta_totals, run_summary
 from tidemark.schemas import SUMMARY
-from tidemark.session import scratch_path, spread
-from tidemark.session import staged as staged_table
+from tidemark.session import Scratch
 from tidemark.sources.chunk_table import Sink, table_sink
 from tidemark.sources.corpus import corpus_delta, corpus_hashes, write_corpus
 from tidemark.sources.runlog import write_run_log
 from tidemark.sources.snapshot import read_snapshot, write_snapshot
-from tidemark.storage import delete_path, versions
+from tidemark.storage import next_version
 
 PLACE = ["id", "page_no", "pos"]
 TOTALS = "added long, updated long, skipped long, estimated_chunks long"
@@ -43,6 +42,10 @@ class Workspace:
     log: str
     store_id: str = "local"
 
+    @property
+    def tables(self) -> tuple[str, str, str, str]:
+        return self.corpus, self.snapshot, self.chunks, self.log
+
     @classmethod
     def under(cls, root: str) -> Workspace:
         root = root.rstrip("/")
@@ -65,9 +68,7 @@ class RunOptions:
 
 
 def _rendered(articles: DataFrame, options: RunOptions) -> DataFrame:
-    return render_documents(
-        spread(articles), options.renderer, options.max_tokens, options.overlap
-    )
+    return render_documents(articles, options.renderer, options.max_tokens, options.overlap)
 
 
 def preview(articles: DataFrame, snapshot: DataFrame, options: RunOptions) -> DataFrame:
@@ -78,6 +79,7 @@ def preview(articles: DataFrame, snapshot: DataFrame, options: RunOptions) -> Da
         snapshot,
         upload=options.upload,
         sequential=options.scrape_only,
+        hot_ids=hot_keys(articles, "id"),
     )
     return run_summary(delta_totals(classified), options.dry_run, options.scrape_only)
 
@@ -89,79 +91,71 @@ def run(
     options: RunOptions = RunOptions(),
     version: int | None = None,
     sink: Sink | None = None,
+    replay: bool = False,
 ) -> DataFrame:
     """Sync `articles` into `workspace`; gives the summary row.
 
-    `version` numbers the run. Running a version again replaces what it wrote,
-    so a replayed batch is harmless. `sink` stores the changed documents;
-    unless given, their chunks go to the workspace's chunk table.
+    A run takes the next free `version` of the workspace, unless one is given. A
+    version that is written already is refused, but for a `replay` of the run
+    that wrote it, which replaces what it left. `sink` stores the changed
+    documents; unless given, their chunks go to the workspace's chunk table.
     """
     if version is None:
-        version = max([-1, *versions(spark, workspace.snapshot)]) + 1
+        version = next_version(spark, *workspace.tables)
     snapshot = read_snapshot(spark, workspace.snapshot, before=version)
     if options.dry_run:
         return preview(articles, snapshot, options)
 
-    # The only pass over the HTML. What follows reads back the columns it
-    # needs, which leaves document text out of every shuffle but the writes'.
-    staged_path = scratch_path(spark, "documents")
-    rendered = _rendered(articles, options)
-    rendered.write.parquet(staged_path)
-    staged = spark.read.schema(rendered.schema).parquet(staged_path)
-    classified = classify(
-        staged.select(NARROW),
-        snapshot,
-        upload=options.upload,
-        sequential=options.scrape_only,
-        track_embedded=options.track_embedded,
-        hot_ids=hot_keys(staged, "id"),
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        totals = delta_totals(classified).first()
-        n_changed = totals.added + totals.updated
-        n_rows = n_changed + totals.skipped
-        _store_corpus(spark, staged, classified, n_rows, workspace, version)
-
-        stored, error = 0, None
-        recorded = None
-        if options.scrape_only:
-            recorded = classified.withColumnsRenamed(
-                {"prior_file_id": "file_id", "prior_embedded_hash": "embedded_hash"}
-            )
-        elif options.upload and n_changed:
-            store = sink or table_sink(
-                workspace.chunks, version, options.max_tokens, options.overlap
+    with Scratch(spark) as scratch:
+        # The only pass over the HTML. What follows reads back the columns it
+        # needs, which leaves document text out of every shuffle but the writes'.
+        staged = scratch.staged(_rendered(articles, options), "documents")
+        classified = classify(
+            staged.select(NARROW),
+            snapshot,
+            upload=options.upload,
+            sequential=options.scrape_only,
+            track_embedded=options.track_embedded,
+            hot_ids=hot_keys(staged, "id"),
+        ).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            totals = delta_totals(classified).first()
+            n_changed = totals.added + totals.updated
+            current = corpus_hashes(spark, workspace.corpus, before=version)
+            keys = scratch.staged(corpus_delta(classified, current), "corpus-keys")
+            write_corpus(rows_with_keys(staged, keys, PLACE), workspace.corpus, version, replay)
+
+            stored, error = 0, None
+            recorded = None
+            if options.scrape_only:
+                recorded = classified.withColumnsRenamed(
+                    {"prior_file_id": "file_id", "prior_embedded_hash": "embedded_hash"}
+                )
+            elif options.upload and n_changed:
+                store = sink or table_sink(
+                    workspace.chunks, version, options.max_tokens, options.overlap, replay
+                )
+                try:
+                    results = _store_changed(scratch, staged, classified, store)
+                    recorded = align_results(changed(classified), results)
+                    recorded = recorded.withColumn("embedded_hash", F.col("hash"))
+                    stored = results.agg(F.count("file_id")).first()[0]
+                except Exception as failure:  # noqa: BLE001 - a sink may fail in any way
+                    # Nothing of a failed batch is recorded; the run reports it.
+                    recorded, error = None, str(failure)
+            _store_snapshot(snapshot, recorded, workspace, version, replay)
+
+            totals_row = spark.createDataFrame([totals], TOTALS)
+            summary = run_summary(
+                totals_row, options.dry_run, options.scrape_only, stored, error, workspace.store_id
             )
-            try:
-                results = _store_changed(staged, classified, n_changed, n_rows, store)
-                recorded = align_results(changed(classified), results)
-                recorded = recorded.withColumn("embedded_hash", F.col("hash"))
-                stored = results.agg(F.count("file_id")).first()[0]
-            except Exception as failure:  # noqa: BLE001 - a sink may fail in any way
-                # Nothing of a failed batch is recorded; the run reports it.
-                recorded, error = None, str(failure)
-        _store_snapshot(snapshot, recorded, workspace, version)
-
-        totals_row = spark.createDataFrame([totals], TOTALS)
-        summary = run_summary(
-            totals_row, options.dry_run, options.scrape_only, stored, error, workspace.store_id
-        )
-        write_run_log(summary, workspace.log, version)
-        return spark.createDataFrame(summary.collect(), SUMMARY)
-    finally:
-        classified.unpersist()
-        delete_path(spark, staged_path)
-
-
-def _store_corpus(spark, staged, classified, n_rows, workspace, version):
-    current = corpus_hashes(spark, workspace.corpus, before=version)
-    keys = corpus_delta(classified, current)
-    others = classified.select(PLACE).join(keys, PLACE, "left_anti")
-    documents = rows_with_keys(staged, keys, PLACE, n_rows, n_rows, others)
-    write_corpus(documents, workspace.corpus, version)
-
-
-def _store_changed(staged, classified, n_changed, n_rows, store) -> DataFrame:
+            write_run_log(summary, workspace.log, version)
+            return spark.createDataFrame(summary.collect(), SUMMARY)
+        finally:
+            classified.unpersist()
+
+
+def _store_changed(scratch, staged, classified, store) -> DataFrame:
     """Hand the changed documents to the sink; gives what it stored.
 
     The sink's result is written down at once, so that reading it again never
@@ -170,17 +164,15 @@ def _store_changed(staged, classified, n_changed, n_rows, store) -> DataFrame:
     pending = changed(classified).withColumn("replaced", replaced_file_id())
     # Of a repeated id the last change wins.
     last = last_by(pending.select(*PLACE, "replaced"), "id", F.struct("page_no", "pos"))
-    others = classified.select(PLACE).join(last, PLACE, "left_anti")
-    documents = rows_with_keys(staged, last, PLACE, n_changed, n_rows, others)
+    last = scratch.staged(last, "changed-keys")
+    documents = rows_with_keys(staged, last, PLACE)
     replaced = last.filter(F.col("replaced").isNotNull())
-    results = staged_table(
-        store(documents, replaced.select("id", F.col("replaced").alias("file_id"))), "stored"
-    )
-    return results
+    stored = store(documents, replaced.select("id", F.col("replaced").alias("file_id")))
+    return scratch.staged(stored, "stored")
 
 
-def _store_snapshot(snapshot, recorded, workspace, version):
+def _store_snapshot(snapshot, recorded, workspace, version, replay):
     if recorded is not None:
         recorded = recorded.select(*snapshot.columns, "page_no", "pos")
         snapshot = upsert_snapshot(snapshot, recorded)
-    write_snapshot(snapshot, workspace.snapshot, version)
+    write_snapshot(snapshot, workspace.snapshot, version, replay)

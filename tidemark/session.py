@@ -11,6 +11,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.storage import delete_path
+
 
 def local_session(
     app: str = "tidemark", cores: int | str = "*", memory: str = "8g", shuffle_partitions: int = 8
@@ -72,25 +74,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+class Scratch:
+    """Scratch tables that are deleted when their `with` block ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for path in self.paths:
+            delete_path(self.spark, path)
+
+    def staged(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.append(scratch_path(self.spark, name))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the scratch folder and read back: computed once, however
     often it is used, and still there when an executor is lost."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-# Inputs below this size may be shuffled to use all cores.
-SMALL_INPUT = 256 * 1024 * 1024
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small input one partition per core.
-
-    A small file is one partition, and rendering it would keep one core busy.
-    Inputs that are not known to be small are left as they are read.
-    """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) >= SMALL_INPUT:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

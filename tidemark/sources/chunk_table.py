@@ -17,7 +17,11 @@ Sink = Callable[[DataFrame, DataFrame], DataFrame]
 
 
 def table_sink(
-    root: str, version: int, max_tokens: int = MAX_TOKENS, overlap: int = OVERLAP_TOKENS
+    root: str,
+    version: int,
+    max_tokens: int = MAX_TOKENS,
+    overlap: int = OVERLAP_TOKENS,
+    replace: bool = False,
 ) -> Sink:
     """Write the documents' chunks as a version of the table below `root`.
 
@@ -28,7 +32,7 @@ def table_sink(
     def store(documents: DataFrame, replaced: DataFrame) -> DataFrame:
         file_id = F.concat_ws("_", F.lit("file"), F.lit(version), F.col("id").cast("string"))
         named = documents.withColumn("file_id", file_id)
-        write_version(chunk_rows(named, max_tokens, overlap), root, version)
+        write_version(chunk_rows(named, max_tokens, overlap), root, version, replace)
         return named.select("id", "page_no", "pos", "file_id")
 
     return store

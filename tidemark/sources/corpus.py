@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as tx
 from tidemark.operators.skew import last_by
 from tidemark.schemas import CORPUS
+from tidemark.session import staged
 from tidemark.storage import path_exists, read_all, write_version
 
 
@@ -52,12 +53,19 @@ def corpus_delta(documents: DataFrame, current: DataFrame) -> DataFrame:
     return last.join(stored, "filename", "left").filter(differs).select("id", "page_no", "pos")
 
 
-def write_corpus(documents: DataFrame, root: str, version: int) -> str:
-    return write_version(documents.select(CORPUS.fieldNames()), root, version)
+def write_corpus(documents: DataFrame, root: str, version: int, replace: bool = False) -> str:
+    return write_version(documents.select(CORPUS.fieldNames()), root, version, replace)
 
 
 def read_corpus(spark: SparkSession, root: str) -> DataFrame:
-    """The current corpus: of each file name the newest version."""
+    """The current corpus: of each file name the newest version.
+
+    Texts meet the list of replaced (file name, version) pairs, which is as long
+    as what runs have changed since, not as the corpus.
+    """
     stored = read_all(spark, root, CORPUS)
-    newest = stored.groupBy("filename").agg(F.max("version").alias("version"))
-    return stored.join(newest, ["filename", "version"], "left_semi").drop("version")
+    places = stored.select("filename", "version")
+    newest = places.groupBy("filename").agg(F.max("version").alias("newest"))
+    replaced = places.join(newest, "filename").filter("version < newest").drop("newest")
+    replaced = staged(replaced, "replaced")
+    return stored.join(replaced, ["filename", "version"], "left_anti").drop("version")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import js_trim
@@ -18,35 +18,62 @@ DEFAULT_LOCALE = "en-us"
 
 
 def with_page_number(pages: DataFrame) -> DataFrame:
-    """Fill a missing `page_no` from the dump's file name (`page-17.json`)."""
+    """Fill a missing `page_no` from the dump's file name (`page-17.json`), and a
+    missing `crawl` from its folder: one folder holds one crawl."""
     from_name = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\D*$", 1)
-    return pages.withColumn("page_no", F.coalesce("page_no", from_name.try_cast("bigint")))
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "([^/]*)/[^/]*$", 1)
+    return pages.withColumns(
+        {
+            "page_no": F.coalesce("page_no", from_name.try_cast("bigint")),
+            "crawl": F.coalesce("crawl", folder),
+        }
+    )
 
 
 def read_page_dumps(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """One row per captured page.
 
     The default is one page per line, which Spark can split; `multi_line`
-    reads one indented page per file.
+    reads one indented page per file. Pages that share a file must carry their
+    number themselves.
     """
     pages = spark.read.schema(PAGE).option("multiLine", multi_line).json(path)
     return with_page_number(pages)
 
 
-def followed_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
-    """The pages a crawl reaches: up to the first without `next_page`, and at
-    most `max_pages` of them."""
-    last = pages.filter(F.col("next_page").isNull()).agg(F.min("page_no")).scalar()
-    followed = pages.filter(F.col("page_no") <= F.coalesce(last, F.col("page_no")))
-    return followed if max_pages is None else first_pages(followed, max_pages)
-
+def check_numbers(pages: DataFrame) -> None:
+    """Fail on pages without a number or with the same one: the order of their
+    articles, by which the last of a repeated id wins, would be open."""
+    row = pages.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("page_no").alias("numbered"),
+        F.countDistinct("page_no").alias("different"),
+    ).first()
+    if row.numbered < row.n:
+        raise ValueError(f"{row.n - row.numbered} pages have no number")
+    if row.different < row.n:
+        raise ValueError("pages share a number: sync one crawl at a time")
 
-def within_pages(max_pages: int) -> Column:
-    return F.col("page_no") < max_pages
 
+def followed_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """The pages each crawl reaches by its links: up to its first page without
+    `next_page`, and the first `max_pages` of them, whatever their numbers are.
 
-def first_pages(rows: DataFrame, max_pages: int) -> DataFrame:
-    return rows.filter(within_pages(max_pages))
+    Only the narrow columns are grouped; the pages meet one row per crawl.
+    """
+    crawl = F.coalesce("crawl", F.lit(""))
+    places = pages.select(crawl.alias("_crawl"), "page_no", F.col("next_page").isNull().alias("ends"))
+    limits = places.groupBy("_crawl").agg(F.min(F.when(F.col("ends"), F.col("page_no"))).alias("_last"))
+    if max_pages is not None:
+        place = F.row_number().over(Window.partitionBy("_crawl").orderBy("page_no"))
+        reached = places.withColumn("place", place).filter(F.col("place") <= max_pages)
+        counted = reached.groupBy("_crawl").agg(F.max("page_no").alias("_stop"))
+        limits = limits.join(counted, "_crawl").select(
+            "_crawl", F.least("_last", "_stop").alias("_last")
+        )
+    joined = pages.withColumn("_crawl", crawl).join(limits, "_crawl")
+    within = F.col("_last").isNull() | (F.col("page_no") <= F.col("_last"))
+    return joined.filter(within).select(pages.columns)
 
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
@@ -83,18 +110,17 @@ def articles_of(
     pages: DataFrame,
     locale: str = DEFAULT_LOCALE,
     max_pages: int | None = None,
-    follow: bool = True,
+    follow: bool = False,
 ) -> DataFrame:
-    """Published, normalised articles of one crawl.
+    """Published, normalised articles of all pages.
 
-    Pages after the first without `next_page` are left out, for which the dump
-    is read twice. A capture that stopped there by itself needs no `follow`.
+    With `follow` or `max_pages` only those that a crawl reaches by its links.
+    The numbers of the pages are checked first, which reads the dump once more.
 
     Drafts go before anything is rendered: the renderer is opaque to the
     optimizer, so no later filter would move below it.
     """
-    if follow:
+    check_numbers(pages)
+    if follow or max_pages is not None:
         pages = followed_pages(pages, max_pages)
-    elif max_pages is not None:
-        pages = first_pages(pages, max_pages)
     return normalise(drop_drafts(flatten_pages(pages)), locale)

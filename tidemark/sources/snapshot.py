@@ -13,16 +13,16 @@ def read_snapshot(spark: SparkSession, root: str, before: int | None = None) ->
     return read_latest(spark, root, SNAPSHOT, before)
 
 
-def write_snapshot(snapshot: DataFrame, root: str, version: int) -> str:
+def write_snapshot(snapshot: DataFrame, root: str, version: int, replace: bool = False) -> str:
     """Full rewrite into a folder of its own; the version being read stays."""
-    return write_version(snapshot.select(SNAPSHOT.fieldNames()), root, version)
+    return write_version(snapshot.select(SNAPSHOT.fieldNames()), root, version, replace)
 
 
-def read_snapshot_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_snapshot_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Snapshot from its JSON form. A missing or unreadable file is empty.
 
-    `multi_line` reads one indented file; without it each line holds a part of
-    the map, the form `write_snapshot_json` writes.
+    Each line holds a part of the map, the form `write_snapshot_json` writes;
+    `multi_line` reads one indented file, which one task has to hold.
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], SNAPSHOT)

@@ -29,27 +29,57 @@ def version_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/version={version}"
 
 
-def versions(spark: SparkSession, root: str, before: int | None = None) -> list[int]:
-    """Committed versions in rising order, `before` excluded."""
+def _version_folders(spark: SparkSession, root: str) -> list:
     fs, hadoop_path = _hadoop_path(spark, root)
     if not fs.exists(hadoop_path):
         return []
-    found = []
-    for status in fs.listStatus(hadoop_path):
-        name = status.getPath().getName()
-        if name.startswith("version=") and fs.exists(
-            spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        ):
-            found.append(int(name.removeprefix("version=")))
+    found = [status.getPath() for status in fs.listStatus(hadoop_path)]
+    return [path for path in found if path.getName().startswith("version=")]
+
+
+def _number(path) -> int:
+    return int(path.getName().removeprefix("version="))
+
+
+def versions(spark: SparkSession, root: str, before: int | None = None) -> list[int]:
+    """Committed versions in rising order, `before` excluded."""
+    fs, _ = _hadoop_path(spark, root)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    found = [
+        _number(path)
+        for path in _version_folders(spark, root)
+        if fs.exists(hadoop_path(path, "_SUCCESS"))
+    ]
     return sorted(v for v in found if before is None or v < before)
 
 
-def write_version(df: DataFrame, root: str, version: int) -> str:
-    path = version_path(root, version)
+def next_version(spark: SparkSession, *roots: str) -> int:
+    """The lowest number above all versions of these tables, committed or not."""
+    found = [_number(path) for root in roots for path in _version_folders(spark, root)]
+    return max([-1, *found]) + 1
+
+
+def write_version(df: DataFrame, root: str, version: int, replace: bool = False) -> str:
+    """Write a version. One that is committed is another run's and is refused,
+    unless `replace` says that the same run is done again."""
+    spark, path = df.sparkSession, version_path(root, version)
+    if not replace and version in versions(spark, root):
+        raise ValueError(f"version {version} of {root} is already written")
     df.write.mode("overwrite").parquet(path)
     return path
 
 
+def keep_newest(spark: SparkSession, root: str, n: int = 2) -> list[int]:
+    """Delete all but the newest `n` committed versions of a table whose newest
+    version is the whole table, as a snapshot's is; gives the deleted ones."""
+    if n < 1:
+        raise ValueError("one version must stay")
+    old = versions(spark, root)[:-n]
+    for version in old:
+        delete_path(spark, version_path(root, version))
+    return old
+
+
 def read_latest(
     spark: SparkSession, root: str, schema: StructType, before: int | None = None
 ) -> DataFrame:
