@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import retrieval
+from tidemark.operators import blocks, retrieval
 
 TEXTS = [
     "how to add a video to a screen",
@@ -37,10 +37,8 @@ def brute_force(texts, questions):
     return scores
 
 
-@pytest.fixture(params=["broadcast", "shuffled"])
-def items(request, spark, monkeypatch):
-    if request.param == "shuffled":
-        monkeypatch.setattr(retrieval, "BROADCAST_QUESTION_WORDS", 1)
+@pytest.fixture
+def items(spark):
     return spark.createDataFrame(
         [(d, d, t) for d, t in enumerate(TEXTS)], "doc_id long, item_id long, text string"
     )
@@ -51,8 +49,10 @@ def questions(spark):
     return spark.createDataFrame(list(enumerate(QUESTIONS)), "question_id long, text string")
 
 
-def test_lexical_scores_equal_brute_force(items, questions):
-    rows = retrieval.lexical_scores(items, questions).collect()
+def test_lexical_scores_equal_brute_force(items, questions, monkeypatch):
+    monkeypatch.setattr(retrieval, "BLOCK_ROWS", 2)
+    monkeypatch.setattr(retrieval, "CHUNK_ROWS", 1)
+    rows = retrieval.lexical_top_k(items, questions, 100).collect()
     assert {(r.question_id, r.doc_id): r.score for r in rows} == brute_force(TEXTS, QUESTIONS)
 
 
@@ -74,7 +74,9 @@ def test_best_sources_take_distinct_documents(spark):
     found = retrieval.best_sources(chunks, asked, 2)
     assert sorted((r["rank"], r.doc_id, r.item_id) for r in found.collect()) == [(1, 1, 0), (2, 2, 0)]
     urls = spark.createDataFrame([(1, "u1"), (2, "u2")], "doc_id long, url string")
-    assert retrieval.cited_context(found, urls).first().urls == ["u1", "u2"]
+    more = asked.union(spark.createDataFrame([(5, "zzz")], asked.schema))
+    context = retrieval.cited_context(found, urls.filter("doc_id = 2"), more).collect()
+    assert {r.question_id: r.urls for r in context} == {0: ["u2"], 5: []}
 
 
 def test_scores_are_cut_before_the_shuffle(items, questions):
@@ -82,14 +84,10 @@ def test_scores_are_cut_before_the_shuffle(items, questions):
     assert "WindowGroupLimit" in plan.toString()
 
 
-@pytest.fixture(params=["broadcast", "tiled"])
-def way(request, monkeypatch):
-    if request.param == "tiled":
-        monkeypatch.setattr(retrieval, "BROADCAST_QUERIES", 3)
-        monkeypatch.setattr(retrieval, "TILE_VECTORS", 40)
-
-
-def test_vector_top_k_equals_brute_force(spark, way):
+@pytest.mark.parametrize("rows", [32_768, 40])
+def test_vector_top_k_equals_brute_force(spark, rows, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(blocks, "CHUNK_ROWS", 3)
     rng = np.random.default_rng(1)
     vectors, queries = rng.normal(size=(300, 8)), rng.normal(size=(7, 8))
     vectors[40] = vectors[3]
@@ -112,6 +110,14 @@ def test_vector_top_k_equals_brute_force(spark, way):
     assert {(r.query_id, r.vec_id, r["rank"]) for r in found} == expected
 
 
+def test_vectors_without_use_are_left_out(spark):
+    schema = "vec_id long, embedding array<float>"
+    odd = [(1, [1.0, 0.0]), (2, None), (3, [1.0]), (4, [None, 1.0]), (5, [float("nan"), 1.0])]
+    asked = spark.createDataFrame([(9, [1.0, 0.5]), (8, None)], "query_id long, embedding array<float>")
+    found = retrieval.vector_top_k(spark.createDataFrame(odd, schema), asked, 3).collect()
+    assert [(r.query_id, r.vec_id) for r in found] == [(9, 1)]
+
+
 def test_vector_search_of_nothing(spark):
     vectors = spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<float>")
     none = spark.createDataFrame([], "query_id long, embedding array<double>")

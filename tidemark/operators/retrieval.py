@@ -5,12 +5,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.words import distinct_words, word_counts
-from tidemark.operators.skew import SALTS
+from tidemark.operators.blocks import (
+    BLOCK_ROWS,
+    CELLS,
+    CHUNK_ROWS,
+    best_of_blocks,
+    every_pair,
+    in_chunks,
+    packed,
+    usable,
+)
 from tidemark.schemas import RESPONSE
 from tidemark.session import staged
 
@@ -21,11 +30,8 @@ MAX_CITATIONS = 3
 # whatever order the terms were added in.
 SCORE_DIGITS = 6
 
-# Question side small enough to give to every task: its (question, word) rows,
-# or its query vectors.
-BROADCAST_QUESTION_WORDS = 500_000
-BROADCAST_QUERIES = 1_024
-TILE_VECTORS = 20_000
+# Queries that are multiplied with a block at once.
+SIDE_BY_SIDE = 64
 
 NO_TEXT = "(no text)"
 
@@ -39,52 +45,120 @@ def top_k(rows: DataFrame, by: str, order: list[Column], k: int) -> DataFrame:
     return rows.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def lexical_scores(items: DataFrame, questions: DataFrame) -> DataFrame:
-    """tf-idf score of every item for every question it shares a word with.
+def _bags(items: DataFrame) -> DataFrame:
+    """Items as hashed words and their counts; each text is read once, in its row."""
+    counted = items.select("doc_id", "item_id", word_counts(F.col("text")).alias("words"))
+    return counted.select(
+        F.col("doc_id").cast("long"),
+        F.col("item_id").cast("long"),
+        F.transform("words", lambda w: F.xxhash64(w["term"])).alias("terms"),
+        F.transform("words", lambda w: w["tf"].cast("long")).alias("counts"),
+    )
 
-    `items` has `doc_id, item_id, text` (an item is a document or one of its
-    chunks), `questions` has `question_id, text`. Words that all items hold
-    weigh nothing and match nothing.
 
-    Each text is read once and reduced to its word counts inside its row. Only
-    words that some question asks for go on: to a scratch table, from which
-    word frequencies and scores both read, and through one shuffle by document,
-    after which scores are added up without moving them again.
-    """
-    asked = questions.select("question_id", F.explode(distinct_words(F.col("text"))).alias("term"))
-    small = asked.limit(BROADCAST_QUESTION_WORDS + 1).count() <= BROADCAST_QUESTION_WORDS
-    vocabulary = asked.select("term").distinct()
-
-    bags = items.select("doc_id", "item_id", F.inline(word_counts(F.col("text"))))
-    matched = staged(
-        bags.join(F.broadcast(vocabulary) if small else vocabulary, "term", "left_semi"), "words"
+def _weights(bags: DataFrame, questions: DataFrame) -> DataFrame:
+    """Words of each question with their weight. Words that all items hold weigh
+    nothing and are left out."""
+    asked = questions.select(
+        F.col("question_id").cast("long"), F.explode(distinct_words(F.col("text"))).alias("word")
+    ).select("question_id", F.xxhash64("word").alias("term"))
+    frequency = (
+        bags.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     )
-
-    n_items = items.agg(F.count("*")).scalar()
-    frequency = matched.groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.ln((n_items + 1) / (F.col("df") + 1))
-    weights = (
-        asked.join(frequency, "term")
-        .select("question_id", "term", idf.alias("idf"))
-        .filter(F.col("idf") > 0)
+    idf = F.ln((F.lit(bags.count()) + 1) / (F.col("df") + 1))
+    weighed = asked.join(frequency, "term").withColumn("idf", idf).filter(F.col("idf") > 0)
+    listed = F.array_sort(F.collect_list(F.struct("term", "idf")))
+    return weighed.groupBy("question_id").agg(listed.alias("words")).select(
+        "question_id",
+        F.transform("words", lambda w: w["term"]).alias("terms"),
+        F.transform("words", lambda w: w["idf"]).alias("weights"),
     )
-    if small:
-        contributions = matched.repartition("doc_id").join(F.broadcast(weights), "term")
-    else:
-        # Common words meet many items: spread each word over several tasks.
-        salt = F.pmod(F.hash("doc_id", "item_id"), F.lit(SALTS)).alias("_salt")
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-        contributions = matched.select("*", salt).join(
-            weights.select("*", salts), ["term", "_salt"]
+
+
+def _ragged(batches, most: int, n_keys: int, value: str) -> Iterator[tuple[int, bytes]]:
+    """Packed key columns, list sizes, terms and values of up to `most` rows."""
+    for batch in batches:
+        sizes = np.diff(batch.column(n_keys).offsets.to_numpy())
+        low = 0
+        while low < len(sizes):
+            fits = int(np.searchsorted(np.cumsum(sizes[low:]), CELLS, side="right"))
+            rows = max(1, min(most, fits))
+            part = batch.slice(low, rows)
+            low += rows
+            columns = [part.column(i).to_numpy().astype("<i8") for i in range(n_keys)]
+            columns.append(sizes[low - rows : low].astype("<i8")[: part.num_rows])
+            terms, values = (part.column(n_keys + i).flatten().to_numpy() for i in range(2))
+            head = np.array([part.num_rows, len(terms)], dtype="<i8")
+            arrays = [head, *columns, terms.astype("<i8"), values.astype(value)]
+            yield 0, b"".join(a.tobytes() for a in arrays)
+
+
+def _unpacked(data: bytes, n_keys: int, value: str) -> tuple:
+    n, n_terms = np.frombuffer(data, "<i8", 2).tolist()
+    keys = np.frombuffer(data, "<i8", n * (n_keys + 1), 16).reshape(n_keys + 1, n)
+    at = 16 + 8 * n * (n_keys + 1)
+    terms = np.frombuffer(data, "<i8", n_terms, at)
+    return keys, terms, np.frombuffer(data, value, n_terms, at + 8 * n_terms)
+
+
+def _best_items(items: DataFrame, questions: DataFrame, k: int, per_doc: bool) -> DataFrame:
+    """The `k` best items of every block for each question, by tf-idf; with
+    `per_doc` the best item of each of the `k` best documents.
+
+    Neither words nor scores are shuffled: items are packed into blocks where
+    they are read, and a task scores one block against one chunk of questions.
+    """
+    bags = staged(_bags(items), "bags")
+    blocks = staged(packed(bags, lambda b: _ragged(b, BLOCK_ROWS, 2, "<i8")), "bag-blocks")
+    weights = staged(_weights(bags, questions), "question-words")
+    chunks = packed(in_chunks(weights), lambda b: _ragged(b, CHUNK_ROWS, 1, "<f8"))
+
+    def search(block: bytes, chunk: bytes) -> pa.RecordBatch:
+        (docs, ids, sizes), terms, counts = _unpacked(block, 2, "<i8")
+        (asked, asked_sizes), wanted, idf = _unpacked(chunk, 1, "<f8")
+        owner = np.repeat(np.arange(len(docs)), sizes)
+        order = np.argsort(terms, kind="stable")
+        terms, owner, counts = terms[order], owner[order], counts[order]
+        low, high = np.searchsorted(terms, wanted), np.searchsorted(terms, wanted, side="right")
+        ends = np.cumsum(asked_sizes)
+        rows = []
+        for question, start, end in zip(asked, ends - asked_sizes, ends, strict=True):
+            spans = [slice(a, b) for a, b in zip(low[start:end], high[start:end], strict=True)]
+            where = np.concatenate([owner[s] for s in spans])
+            if not len(where):
+                continue
+            parts = [counts[s] * w for s, w in zip(spans, idf[start:end], strict=True)]
+            score = np.bincount(where, np.concatenate(parts), minlength=len(docs))
+            hits = np.flatnonzero(np.bincount(where, minlength=len(docs)))
+            score = np.round(score[hits], SCORE_DIGITS)
+            first = np.lexsort((docs[hits] if per_doc else ids[hits], -score))
+            if per_doc:
+                first = np.lexsort((ids[hits], docs[hits], -score))
+                _, once = np.unique(docs[hits][first], return_index=True)
+                first = first[np.sort(once)]
+            first = first[:k]
+            rows.append((np.full(len(first), question), docs[hits][first], ids[hits][first], score[first]))
+        columns = [np.concatenate(c) for c in zip(*rows, strict=True)] or [[]] * 4
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+            names=["question_id", "doc_id", "item_id", "score"],
         )
-    score = F.round(F.sum(F.col("tf") * F.col("idf")), SCORE_DIGITS)
-    return contributions.groupBy("question_id", "doc_id", "item_id").agg(score.alias("score"))
+
+    found = every_pair(
+        blocks, chunks, search, "question_id long, doc_id long, item_id long, score double"
+    )
+    return found.withColumn("item_id", F.col("item_id").cast(items.schema["item_id"].dataType))
 
 
 def lexical_top_k(items: DataFrame, questions: DataFrame, k: int) -> DataFrame:
-    scores = lexical_scores(items, questions)
-    order = [F.col("score").desc(), F.col("item_id")]
-    return top_k(scores, "question_id", order, k)
+    """The `k` items of highest tf-idf for each question, ties by item.
+
+    `items` has `doc_id, item_id, text` (an item is a document or one of its
+    chunks; ids are whole numbers), `questions` has `question_id, text`.
+    """
+    found = _best_items(items, questions, k, per_doc=False)
+    return top_k(found, "question_id", [F.col("score").desc(), F.col("item_id")], k)
 
 
 def best_sources(chunks: DataFrame, questions: DataFrame, k: int = MAX_CITATIONS) -> DataFrame:
@@ -93,112 +167,71 @@ def best_sources(chunks: DataFrame, questions: DataFrame, k: int = MAX_CITATIONS
     `chunks` has `doc_id, item_id, text`. The cut comes after each document is
     reduced to one chunk, so one long document cannot take all places.
     """
-    scores = lexical_scores(chunks, questions)
+    found = _best_items(chunks, questions, k, per_doc=True)
     best = F.min_by(F.struct("item_id", "score"), F.struct(-F.col("score"), F.col("item_id")))
-    per_doc = scores.groupBy("question_id", "doc_id").agg(best.alias("best"))
+    per_doc = found.groupBy("question_id", "doc_id").agg(best.alias("best"))
     flat = per_doc.select("question_id", "doc_id", "best.*")
     return top_k(flat, "question_id", [F.col("score").desc(), F.col("doc_id")], k)
 
 
-def cited_context(sources: DataFrame, urls: DataFrame) -> DataFrame:
-    """One row per question: its sources' addresses in rank order.
+def cited_context(sources: DataFrame, urls: DataFrame, questions: DataFrame) -> DataFrame:
+    """One row per question: its sources' addresses in rank order, none if it
+    has no source. A source without address is left out of the list.
 
     `sources` holds at most `k` rows per question, so each list is that short.
     """
     listed = F.array_sort(F.collect_list(F.struct("rank", "url")))
-    return (
-        sources.join(urls, "doc_id")
-        .groupBy("question_id")
-        .agg(F.transform(listed, lambda s: s["url"]).alias("urls"))
+    addressed = F.filter(F.transform(listed, lambda s: s["url"]), lambda url: url.isNotNull())
+    found = sources.join(urls, "doc_id", "left").groupBy("question_id").agg(addressed.alias("urls"))
+    empty = F.array().cast("array<string>")
+    return questions.select("question_id").join(found, "question_id", "left").select(
+        "question_id", F.coalesce("urls", empty).alias("urls")
     )
 
 
-def _unit_rows(vectors: pd.Series) -> np.ndarray:
-    matrix = np.stack(vectors.to_numpy()).astype(np.float64)
+def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     return matrix / np.where(norms == 0, 1.0, norms)
 
 
-def _best_of(found: pd.DataFrame, k: int) -> pd.DataFrame:
-    ordered = found.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-    return ordered.groupby("query_id", sort=False).head(k)
+def _unit_block(ids: np.ndarray, matrix: np.ndarray) -> bytes:
+    size = np.array(matrix.shape, dtype="<i8")
+    return size.tobytes() + ids.astype("<i8").tobytes() + _unit_rows(matrix).astype("<f8").tobytes()
 
 
-def _batch_hits(vectors: pd.DataFrame, query_ids, unit_queries: np.ndarray, k: int) -> pd.DataFrame:
-    """Top `k` vectors of one batch for each query, ties included."""
-    scores = np.round(_unit_rows(vectors["embedding"]) @ unit_queries.T, SCORE_DIGITS)
-    place = max(0, len(scores) - k)
-    cut = np.partition(scores, place, axis=0)[place]
-    rows, columns = np.nonzero(scores >= cut)
-    found = pd.DataFrame(
-        {
-            "query_id": np.asarray(query_ids)[columns],
-            "vec_id": vectors["vec_id"].to_numpy()[rows],
-            "score": scores[rows, columns],
-        }
-    )
-    return _best_of(found, k)
+def _nearest(block: bytes, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple:
+    """The `k` vectors of a block with the highest cosine, ties by id, for each query."""
+    n, dim = np.frombuffer(block, "<i8", 2).tolist()
+    ids = np.frombuffer(block, "<i8", n, 16)
+    vectors = np.frombuffer(block, "<f8", n * dim, 16 + 8 * n).reshape(n, dim)
+    unit = _unit_rows(queries)
+    rows: list[tuple] = []
+    for low in range(0, len(unit), SIDE_BY_SIDE):
+        scores = np.round(unit[low : low + SIDE_BY_SIDE] @ vectors.T, SCORE_DIGITS)
+        for query, row in zip(query_ids[low:], scores, strict=False):
+            least = np.partition(row, -k)[-k] if n > k else -np.inf
+            hits = np.flatnonzero(row >= least)
+            hits = hits[np.lexsort((ids[hits], -row[hits]))][:k]
+            rows.append((np.full(len(hits), query), ids[hits], row[hits]))
+    return tuple(np.concatenate(x) for x in zip(*rows, strict=True))
 
 
 def vector_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Exact cosine top-k of `queries` (query_id, embedding) over `vectors`
     (vec_id, embedding).
 
-    Few queries travel to every task, and the vectors stay where they were
-    read. Many queries are met tile by tile: blocks of vectors against blocks
-    of queries, both of bounded size. Either way a task hands on no more than
-    `k` vectors per query.
+    Vectors are packed in blocks where they are read; each block meets each chunk
+    of queries and hands on `k` vectors per query. Rows whose vector is null or
+    has null or non-finite components take no part, and a query meets only
+    vectors of its length.
     """
-    schema = "query_id long, vec_id long, score double"
-    queries = queries.select(F.col("query_id").cast("long"), "embedding")
-    vectors = vectors.select("vec_id", "embedding")
-    head = queries.limit(BROADCAST_QUERIES + 1).toPandas()
-    if head.empty:
-        found = vectors.sparkSession.createDataFrame([], schema)
-    elif len(head) <= BROADCAST_QUERIES:
-        query_ids, unit_queries = head["query_id"].to_numpy(), _unit_rows(head["embedding"])
-
-        def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            best = None
-            for batch in batches:
-                if len(batch):
-                    hits = _batch_hits(batch, query_ids, unit_queries, k)
-                    best = hits if best is None else _best_of(pd.concat([best, hits]), k)
-            if best is not None:
-                yield best
-
-        found = vectors.mapInPandas(search, schema)
-    else:
-        found = _tiled_search(vectors, queries, k, schema)
-    return top_k(found, "query_id", [F.col("score").desc(), F.col("vec_id")], k)
-
-
-def _tiled_search(vectors: DataFrame, queries: DataFrame, k: int, schema: str) -> DataFrame:
-    rows = -(-vectors.count() // TILE_VECTORS) or 1
-    columns = -(-queries.count() // BROADCAST_QUERIES)
-
-    def tile(hashed: Column, n: int) -> Column:
-        return F.pmod(hashed, F.lit(n)).cast("int")
-
-    def all_tiles(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = vectors.select(
-        "*",
-        tile(F.xxhash64("vec_id", "embedding"), rows).alias("row"),
-        all_tiles(columns).alias("column"),
-    )
-    right = queries.select(
-        "*", tile(F.xxhash64("query_id"), columns).alias("column"), all_tiles(rows).alias("row")
+    rows = vectors.select("vec_id", F.col("embedding").alias("vector"))
+    asked = queries.select(
+        F.col("query_id").cast("long").alias("vec_id"), F.col("embedding").alias("vector")
     )
-
-    def search(block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if block.empty or asked.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return _batch_hits(block, asked["query_id"], _unit_rows(asked["embedding"]), k)
-
-    pairs = left.groupBy("row", "column").cogroup(right.groupBy("row", "column"))
-    return pairs.applyInPandas(search, schema)
+    fit = usable(F.col("vector")) & F.col("vec_id").isNotNull()
+    found = best_of_blocks(rows.where(fit), asked.where(fit), k, _unit_block, _nearest, "double")
+    return found.select("query_id", "vec_id", "score", "rank")
 
 
 def mean_vectors(vectors: DataFrame, by: str) -> DataFrame:

@@ -632,6 +632,14 @@ def vector_top_k(spark, sf_dir):
     return retrieval.vector_top_k(vectors, topics, 5)
 
 
+@query
+def vector_top_k_many(spark, sf_dir):
+    """The nearest vectors to every vector of one label, itself among them."""
+    vectors = inputs.table(spark, sf_dir, "embeddings")
+    asked = vectors.filter(F.col("label") == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    return retrieval.vector_top_k(vectors, asked, 5)
+
+
 def _items(spark, sf_dir) -> DataFrame:
     return inputs.table(spark, sf_dir, "documents").select(
         "doc_id", F.col("doc_id").alias("item_id"), "text"
@@ -661,7 +669,7 @@ def best_sources(spark, sf_dir):
 def cited_context(spark, sf_dir):
     found = retrieval.best_sources(_chunk_items(spark, sf_dir), inputs.questions(spark, sf_dir))
     urls = inputs.files(spark, sf_dir).select(F.col("id").alias("doc_id"), "url")
-    context = retrieval.cited_context(found, urls)
+    context = retrieval.cited_context(found, urls, inputs.questions(spark, sf_dir))
     return context.select("question_id", F.concat_ws(" ", "urls").alias("urls"))
 
 

@@ -595,6 +595,14 @@ ORACLES: dict[str, str] = {
                    FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS vector FROM embeddings), topics))
            WHERE rank <= 5""",
     ),
+    "vector_top_k_many": """
+        SELECT query_id, vec_id, score, CAST(rank AS INTEGER) AS rank FROM (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+          FROM (SELECT q.vec_id AS query_id, v.vec_id,
+                       round(list_cosine_similarity(CAST(v.embedding AS DOUBLE[]),
+                                                    CAST(q.embedding AS DOUBLE[])), 6) AS score
+                FROM embeddings v, (SELECT * FROM embeddings WHERE label = 0) q))
+        WHERE rank <= 5""",
     "lexical_top_k": _sql(
         "bags_of_docs",
         """SELECT question_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM (
@@ -618,11 +626,13 @@ ORACLES: dict[str, str] = {
     ),
     "cited_context": _sql(
         "bags_of_chunks",
-        """SELECT question_id, string_agg('https://example.com/docs/' || doc_id, ' ' ORDER BY rank) AS urls
-           FROM (SELECT *, row_number() OVER (PARTITION BY question_id
-                                              ORDER BY score DESC, doc_id) AS rank
-                 FROM (SELECT question_id, doc_id, max(score) AS score FROM scores GROUP BY 1, 2))
-           WHERE rank <= 3 GROUP BY question_id""",
+        """SELECT b.item_id AS question_id, coalesce(urls, '') AS urls
+           FROM benchmark b LEFT JOIN (
+             SELECT question_id, string_agg('https://example.com/docs/' || doc_id, ' ' ORDER BY rank) AS urls
+             FROM (SELECT *, row_number() OVER (PARTITION BY question_id
+                                                ORDER BY score DESC, doc_id) AS rank
+                   FROM (SELECT question_id, doc_id, max(score) AS score FROM scores GROUP BY 1, 2))
+             WHERE rank <= 3 GROUP BY question_id) s ON b.item_id = s.question_id""",
         _scores("bags_of_chunks"),
     ),
     "citation_log": _sql(
