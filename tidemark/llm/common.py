@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.session import ship_package
 
 #: Characters of text that one step inside a task holds as Python objects.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_slices
+from tidemark.llm.common import SLICE_CHARS, text_slices
 
 #: Labelled documents per language that the models are fitted on, about.
 SAMPLE = 4_000
@@ -78,7 +78,7 @@ def counted(labelled: DataFrame, text: str, lang: str) -> DataFrame:
 
     def work(batches):
         held: dict[str, np.ndarray] = {}
-        for piece, texts in text_slices(batches):
+        for piece, texts in text_slices(batches, chars=SLICE_CHARS // 2):
             names = np.array(piece.column(1).to_pylist(), dtype=object)
             for name in set(names):
                 chosen = [t for t, n in zip(texts, names, strict=True) if n == name]
@@ -202,7 +202,7 @@ def predict(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
     )
 
     def work(batches):
-        for piece, texts in text_slices(batches, "__text"):
+        for piece, texts in text_slices(batches, "__text", SLICE_CHARS // 2):
             named = [UNKNOWN] * len(texts)
             scores, shown = [0.0] * len(texts), [None] * len(texts)
             at = [i for i, t in enumerate(texts) if models.names and has_letter(t)]

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.llm.common import mix64, seeded, text_slices
-from tidemark.llm.pieces import library_encoder
+from tidemark.llm.pieces import WORD_PIECES, LibraryEncoder, encoder
+from tidemark.llm.token_counts import merge_table
 from tidemark.session import scratch_path
 
 SEQUENCE = 4096
@@ -66,10 +67,10 @@ def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 def document_keys(packed: list[bytes], matrix: np.ndarray) -> np.ndarray:
     """Hilbert keys of documents given as packed two-byte ids."""
+    bucket = (mix64(np.arange(1 << 16, dtype=np.uint64)) % np.uint64(BUCKETS)).astype(np.int64)
     vectors = np.empty((len(packed), BUCKETS))
     for i, ids in enumerate(packed):
-        hashed = mix64(np.frombuffer(ids, dtype="<u2").astype(np.uint64)) % np.uint64(BUCKETS)
-        vectors[i] = np.bincount(hashed.astype(np.int64), minlength=BUCKETS)
+        vectors[i] = np.bincount(bucket[np.frombuffer(ids, dtype="<u2")], minlength=BUCKETS)
     vectors = np.sqrt(vectors)
     length = np.linalg.norm(vectors, axis=1, keepdims=True)
     points = (vectors / np.where(length == 0, 1, length)) @ matrix
@@ -77,6 +78,20 @@ def document_keys(packed: list[bytes], matrix: np.ndarray) -> np.ndarray:
     return hilbert_keys(cells.astype(np.int64))
 
 
+class WordEncoder(LibraryEncoder):
+    """The library's ids; plain pieces are merged in batches by operator 4's table."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.table = merge_table(path)
+
+    def cut(self, text: str) -> list[str]:
+        return WORD_PIECES.findall(text.lower())
+
+    def ask_pieces(self, pieces: list[str]) -> list[bytes]:
+        return self.table.ids([p.encode() for p in pieces])
+
+
 def tokenised(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """`doc_id`, `doc_tokens` (the end id included), packed `ids` and Hilbert `key`."""
 
@@ -84,7 +99,7 @@ def tokenised(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         matrix = projection()
         end = END_ID.to_bytes(2, "little")
         for piece, texts in text_slices(batches):
-            packed = library_encoder(path, lower=True).packed([t or "" for t in texts])
+            packed = encoder(WordEncoder, path).packed([t or "" for t in texts])
             keys = document_keys(packed, matrix)
             packed = [p + end for p in packed]
             yield pa.RecordBatch.from_arrays(

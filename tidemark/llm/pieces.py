@@ -26,7 +26,7 @@ BYTE_PIECES = re.compile(
 WORD_PIECES = re.compile(rf"{_ENDINGS}|[{_LETTER}]+|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+")
 
 #: Pieces a worker remembers, about 200 bytes each; when full, it starts anew.
-REMEMBERED = 900_000
+REMEMBERED = 250_000
 
 
 def is_plain(text: str) -> bool:
@@ -63,30 +63,31 @@ class LibraryEncoder:
     """Ids of whole texts as the tokenizers library gives them, asking it once per piece.
 
     The library merges each piece by itself, so a text's ids are those of its
-    pieces in a row. A vocabulary that drops white space is asked for whole
-    chunks between white space. Texts with special strings or characters that
-    are not plain go to the library whole.
+    pieces in a row. Texts with special strings or characters that are not plain
+    go to the library whole.
     """
 
-    def __init__(self, path: str, lower: bool):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.lower = lower
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, two bytes each, low byte first."""
         plain = [is_plain(t) and not any(s in t for s in self.special) for t in texts]
-        if self.lower:
-            cut = [t.lower().split() for t, p in zip(texts, plain, strict=True) if p]
-        else:
-            cut = [BYTE_PIECES.findall(t) for t, p in zip(texts, plain, strict=True) if p]
-        pieces = iter(look_up(cut, self.known, self._ask))
+        cut = [self.cut(t) for t, p in zip(texts, plain, strict=True) if p]
+        pieces = iter(look_up(cut, self.known, self.ask_pieces))
         whole = iter(self._ask([t for t, p in zip(texts, plain, strict=True) if not p]))
         return [b"".join(next(pieces)) if p else next(whole) for p in plain]
 
+    def cut(self, text: str) -> list[str]:
+        return BYTE_PIECES.findall(text)
+
+    def ask_pieces(self, pieces: list[str]) -> list[bytes]:
+        return self._ask(pieces)
+
     def _ask(self, texts: list[str]) -> list[bytes]:
         if not texts:
             return []
@@ -94,12 +95,11 @@ class LibraryEncoder:
         return [np.array(e.ids, dtype="<u2").tobytes() for e in found]
 
 
-_encoders: dict[tuple[str, bool], LibraryEncoder] = {}
+_encoders: dict[tuple[type, str], LibraryEncoder] = {}
 
 
-def library_encoder(path: str, lower: bool) -> LibraryEncoder:
-    """The worker's encoder for a file, loaded once."""
-    key = (path, lower)
-    if key not in _encoders:
-        _encoders[key] = LibraryEncoder(path, lower)
-    return _encoders[key]
+def encoder(kind: type[LibraryEncoder], path: str) -> LibraryEncoder:
+    """The worker's encoder of a kind for a file, loaded once."""
+    if (kind, path) not in _encoders:
+        _encoders[kind, path] = kind(path)
+    return _encoders[kind, path]

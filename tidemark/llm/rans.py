@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_slices
-from tidemark.llm.pieces import library_encoder
+from tidemark.llm.pieces import LibraryEncoder, encoder
 from tidemark.session import scratch_path
 
 MAGIC = b"TMR1"
@@ -36,7 +36,7 @@ LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
 SCALE = np.uint64(SCALE_BITS)
 #: Ids after which a file is closed, once its last document is complete.
-FILE_IDS = 2_000_000
+FILE_IDS = 1_000_000
 END_ID = 0
 
 
@@ -194,7 +194,7 @@ def write_files(docs: DataFrame, path: str, folder: str, text: str = "text") ->
             )
 
         for piece, texts in text_slices(batches):
-            made = library_encoder(path, lower=False).packed([t or "" for t in texts])
+            made = encoder(LibraryEncoder, path).packed([t or "" for t in texts])
             for doc_id, ids in zip(piece.column(0).to_pylist(), made, strict=True):
                 doc_ids.append(doc_id)
                 packed.append(ids + ends)

@@ -68,8 +68,22 @@ class MergeTable:
 
     def count(self, pieces: list[bytes]) -> np.ndarray:
         """Symbols that are left of each piece once no pair has a rank."""
+        return self.merge(pieces)[0]
+
+    def ids(self, pieces: list[bytes]) -> list[bytes]:
+        """Those symbols themselves, two bytes each, low byte first."""
+        total, done = self.merge(pieces)
+        owner = np.concatenate([o for o, _ in done]) if done else np.empty(0, dtype=np.int64)
+        symbols = np.concatenate([s for _, s in done]) if done else owner
+        packed = symbols[np.argsort(owner, kind="stable")].astype("<u2").tobytes()
+        ends = (2 * np.cumsum(total)).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, list]:
+        """How many symbols are left of each piece, and `(piece, symbol)` arrays of them."""
         lengths = np.array([len(p) for p in pieces], dtype=np.int64)
         total = lengths.copy()
+        done: list[tuple[np.ndarray, np.ndarray]] = []
         data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
         symbols = self.inner[data]
         ends = np.cumsum(lengths)
@@ -80,38 +94,40 @@ class MergeTable:
         inside = np.flatnonzero(owner[:-1] == owner[1:])
         ranks[inside] = self.rank(symbols[inside], symbols[inside + 1])
         while len(symbols):
-            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            sizes = np.diff(np.r_[first, len(owner)])
+            opens = np.r_[True, owner[1:] != owner[:-1]]
+            first = np.flatnonzero(opens)
+            group = np.cumsum(opens) - 1
             lowest = np.minimum.reduceat(ranks, first)
             over = lowest == NO_RANK
             if over.any():
-                total[owner[first[over]]] = sizes[over]
-                kept = np.repeat(~over, sizes)
-                symbols, owner, ranks = symbols[kept], owner[kept], ranks[kept]
-                lowest, sizes = lowest[~over], sizes[~over]
+                gone = over[group]
+                total[owner[first[over]]] = np.diff(np.r_[first, len(owner)])[over]
+                done.append((owner[gone], symbols[gone]))
+                kept = ~gone
+                symbols, owner, ranks, group = symbols[kept], owner[kept], ranks[kept], group[kept]
                 if not len(symbols):
                     break
-            hits = np.flatnonzero(ranks == np.repeat(lowest, sizes))
+            hits = np.flatnonzero(ranks == lowest[group])
             # overlapping places (x x x) merge from the left: every other one of a run
-            breaks = np.r_[True, (np.diff(hits) != 1) | (owner[hits[1:]] != owner[hits[:-1]])]
-            run_start = np.flatnonzero(breaks)
-            in_run = np.arange(len(hits)) - np.repeat(
-                run_start, np.diff(np.r_[run_start, len(hits)])
-            )
-            hits = hits[in_run % 2 == 0]
+            if len(hits) > 1 and (np.diff(hits) == 1).any():
+                breaks = np.r_[True, (np.diff(hits) != 1) | (owner[hits[1:]] != owner[hits[:-1]])]
+                run_start = np.flatnonzero(breaks)
+                in_run = np.arange(len(hits)) - run_start[np.cumsum(breaks) - 1]
+                hits = hits[in_run % 2 == 0]
             symbols[hits] = self.made[ranks[hits]]
             alive = np.ones(len(symbols), dtype=bool)
             alive[hits + 1] = False
-            moved = np.cumsum(alive) - 1
-            symbols, owner, ranks = symbols[alive], owner[alive], ranks[alive]
-            at = moved[hits]
-            touched = np.unique(np.r_[at, at[at > 0] - 1])
-            after = np.minimum(touched + 1, len(symbols) - 1)
-            joined = (owner[after] == owner[touched]) & (after != touched)
-            ranks[touched] = NO_RANK
-            touched, after = touched[joined], after[joined]
-            ranks[touched] = self.rank(symbols[touched], symbols[after])
-        return total
+            changed = np.zeros(len(symbols), dtype=bool)
+            changed[hits] = True
+            symbols, owner, ranks, changed = (x[alive] for x in (symbols, owner, ranks, changed))
+            # a changed symbol has a new pair with either neighbour
+            changed[:-1] |= changed[1:]
+            at = np.flatnonzero(changed)
+            inner = at[:-1] if len(at) and at[-1] == len(symbols) - 1 else at
+            ranks[at] = NO_RANK
+            inner = inner[owner[inner] == owner[inner + 1]]
+            ranks[inner] = self.rank(symbols[inner], symbols[inner + 1])
+        return total, done
 
     def cut(self, text: str) -> tuple[list[bytes | str], int]:
         """Pieces of a text, and how many special strings it holds."""
