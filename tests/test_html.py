@@ -11,8 +11,8 @@ def value(spark, expression, text):
 
 
 def test_strip_elements_keeps_the_rest(spark):
-    html = '<nav>menu</nav><SCRIPT>evil("</p>")</SCRIPT><p>real</p><header a="b">h</header>'
-    assert value(spark, hx.strip_elements, html) == "<p>real</p>"
+    html = '<nav>top</nav><SCRIPT>count("</p>")</SCRIPT><p>river</p><header a="b">h</header>'
+    assert value(spark, hx.strip_elements, html) == "<p>river</p>"
     assert value(spark, hx.strip_elements, None) == ""
     assert value(spark, hx.strip_elements, "<navy>x</navy>") == "<navy>x</navy>"
 
@@ -28,20 +28,36 @@ def test_class_hints_are_substrings(spark, name):
     assert value(spark, hx.strip_class_hints, html) == '<p class="ad">keep</p>'
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<section class='share'>x</section>",
+        '<li class="nav">x</li>',
+        "<main id=a class=cookie-bar>x</main>",
+        '<H4 CLASS="Social">x</h4>',
+    ],
+)
+def test_class_hints_in_any_element_and_quoting(spark, html):
+    assert value(spark, hx.strip_class_hints, f"a{html}b") == "ab"
+
+
 def test_flat_markdown(spark):
     html = (
-        '<h2>Set up</h2><p>See <a class="x" href="/a/9">this</a> <b>now</b>.<br>Then</p>'
+        '<h2>Set up</h2><p>See <a class="x" href="/a/9">this</a> <b>now</b>.<br>Then R&amp;D</p>'
         '<ul><li>one</li><li>two</li></ul><img src="i.png" alt="pic"><hr><!-- gone -->'
-        "<pre><code>echo hi</code></pre>"
+        "<pre><code>ls -l</code></pre><ol><li>p</li><li><b>q</b></li></ol>"
+        "<table><tr><td>R&amp;D</td></tr></table>"
     )
     text = value(spark, hx.flat_markdown, html)
     for part in (
         "\n\n## Set up\n\n",
-        "[this](/a/9) **now**.  \nThen",
+        "[this](/a/9) **now**.  \nThen R&D",
+        "\n1.  p\n2.  **q**\n",
+        "\n\n<table><tr><td>R&amp;D</td></tr></table>\n\n",
         "\n*   one\n*   two",
         "![pic](i.png)",
         "\n\n* * *\n\n",
-        "```\necho hi\n```",
+        "```\nls -l\n```",
     ):
         assert part in text
     assert "gone" not in text
@@ -51,8 +67,13 @@ def test_flat_markdown(spark):
     "html, needed",
     [
         ("<p>a</p><ul><li>b</li></ul>", False),
-        ("<ol><li>b</li></ol>", True),
-        ("<table><tr></tr></table>", True),
+        ("<ol><li>b</li></ol>", False),
+        ("<table><tr></tr></table>", False),
+        ("<table><tr><td><table></table></td></tr></table>", True),
+        ("<ul><li>a<li>b</ul>", True),
+        ("<blockquote>a</blockquote>", True),
+        ("<li class='nav-item'>a", True),
+        ('<p class="share">a<p>b</p>', True),
         ("<ul><li>a<ul><li>b</li></ul></li></ul>", True),
         ('<div class="share">a<div>b</div></div>', True),
         ('<div class="share">a</div><div>b</div>', False),
@@ -63,12 +84,22 @@ def test_needs_element_renderer(spark, html, needed):
 
 
 GOLDENS = [
-    ("<nav>menu home</nav><script>evil('<p>')</script><p>real content</p>", "real content"),
-    ('<div class="social-share">a<div>b</div>c</div><p>keep this</p>', "keep this"),
+    ("<nav>top of page</nav><script>count('<p>')</script><p>a wide river</p>", "a wide river"),
+    ('<div class="social-row">a<div>b</div>c</div><p>the bridge</p>', "the bridge"),
+    ('<p class="share">x<p>the other bank', "the other bank"),
+    ('<ul><li class="nav-item">x<li>boat</ul><p>after</p>', "*   boat\n\nafter"),
+    ('<div><p class="share">x</div><p>y', "y"),
+    ('<ul><li class="nav">x<ul><li>y</li></ul><li>z</ul>', "*   z"),
+    (
+        '<table><tr><td class="ad-x">a<td>b</tr></table>',
+        "<table><tr><td>b</tr></table>",
+    ),
+    ('<dl><dt class="ad-x">a<dd>b</dl>', "b"),
+    ('<select><option class="nav">a<option>b</select>', "b"),
     ("<h3>Set up</h3><p>x</p>", "### Set up\n\nx"),
     (
-        '<p>See <a href="/hc/en-us/articles/9">this guide</a>.</p><pre><code>echo hi</code></pre>',
-        "See [this guide](/hc/en-us/articles/9).\n\n```\necho hi\n```",
+        '<p>Read <a href="/town/9">the map</a>.</p><pre><code>ls -l</code></pre>',
+        "Read [the map](/town/9).\n\n```\nls -l\n```",
     ),
     ('<pre><code class="language-js">a\n  b</code></pre>', "```js\na\n  b\n```"),
     (
@@ -113,7 +144,7 @@ def test_deep_nesting_and_long_text():
     assert MarkdownReader().render(html) == "x"
 
 
-@pytest.mark.parametrize("renderer", ["flat", "full"])
+@pytest.mark.parametrize("renderer", ["flat", "full", "auto"])
 def test_render_documents(spark, renderer):
     articles = spark.createDataFrame(
         [(123, "Add a Video", "<h2>Setup</h2><p>go</p>", "https://e.com/123", "t", "en-us", 0, 0)],
@@ -133,6 +164,17 @@ def test_only_the_html_goes_to_python(spark):
         [], "id long, title string, body_html string, html_url string, updated_at string,"
         "page_no long, pos int"
     )
-    plan = render_documents(articles, "full")._jdf.queryExecution().executedPlan().toString()
-    assert "ArrowEvalPython [full_markdown(body_html" in plan
-    assert plan.count("full_markdown(body_html") == 1
+    for renderer, n in (("full", 1), ("auto", 1), ("flat", 0)):
+        plan = render_documents(articles, renderer)._jdf.queryExecution().executedPlan()
+        assert plan.toString().count("ArrowEvalPython") == n
+
+
+def test_auto_takes_the_renderer_that_the_markup_needs(spark):
+    nested = "<ul><li>a<ul><li>b</li></ul></li></ul>"
+    rows = [(i, "t", h, "u", "t", 0, i) for i, h in enumerate(("<p>x</p>", nested, None))]
+    articles = spark.createDataFrame(
+        rows, "id long, title string, body_html string, html_url string, updated_at string,"
+        "page_no long, pos int"
+    )
+    texts = {r.id: r.md_text.split("\n\n", 2)[2] for r in render_documents(articles).collect()}
+    assert texts == {0: "x\n", 1: "*   a\n    *   b\n", 2: "\n"}

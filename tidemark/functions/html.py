@@ -1,11 +1,9 @@
 """HTML cleaning and flat Markdown as regular-expression columns.
 
 These run inside the JVM and are right for markup in which elements of one
-name do not nest. Nested markup (lists in lists, tables, quoted blocks) goes
-through `operators.render`, which reads the markup element by element.
-
-Every pattern keeps to what RE2 also accepts (no lookaround, no
-back-references), so a result can be checked in another engine.
+name do not nest. Nested markup (lists in lists, quoted blocks, tags left open)
+goes through `operators.render`, which reads the markup element by element;
+`needs_element_renderer` tells which.
 """
 
 from __future__ import annotations
@@ -20,12 +18,22 @@ STRIP_TAGS = ("nav", "script", "style", "noscript", "iframe", "form", "header",
 # They are substring tests: `ad-` also meets `download-button`.
 CLASS_HINTS = ("nav", "breadcrumb", "share", "social", "advert", "ad-", "cookie", "subscribe")
 
-# Elements that commonly carry a class; others keep to the element renderer.
-HINTED_ELEMENTS = ("div", "section", "aside", "article", "ul", "ol", "p", "span", "a", "button")
+_HINT = "(?:" + "|".join(CLASS_HINTS) + ")"
+# An opening tag whose class holds a hint, in any quoting or none.
+_HINTED_OPEN = (
+    r"<([a-z][a-z0-9]*)\b[^>]*\sclass\s*=\s*"
+    rf"(?:\"[^\">]*{_HINT}[^\">]*\"|'[^'>]*{_HINT}[^'>]*'|[^\s\"'>]*{_HINT}[^\s\"'>]*)[^>]*>"
+)
+HINTED_OPEN = "(?is)" + _HINTED_OPEN
+HINTED_ELEMENT = HINTED_OPEN + r".*?</\1\s*>"
+
+TABLE = r"(?is)<table\b[^>]*>.*?</table\s*>"
+ORDERED_LIST = r"(?is)<ol\b[^>]*>.*?</ol\s*>"
+LIST_ITEM = r"(?is)<li\b[^>]*>(.*?)</li\s*>"
 
 
-def _element(tag: str, attributes: str = "") -> str:
-    return rf"<{tag}\b[^>]*{attributes}>.*?</{tag}\s*>"
+def _element(tag: str) -> str:
+    return rf"<{tag}\b[^>]*>.*?</{tag}\s*>"
 
 
 def strip_elements(html: Column, tags=STRIP_TAGS) -> Column:
@@ -34,13 +42,9 @@ def strip_elements(html: Column, tags=STRIP_TAGS) -> Column:
     return F.regexp_replace(F.coalesce(html, F.lit("")), pattern, "")
 
 
-def class_hint_pattern(hints=CLASS_HINTS, elements=HINTED_ELEMENTS) -> str:
-    attribute = r"\sclass\s*=\s*\"[^\">]*(?:" + "|".join(hints) + r")[^\">]*\"[^>]*"
-    return "(?is)" + "|".join(_element(tag, attribute) for tag in elements)
-
-
-def strip_class_hints(html: Column, hints=CLASS_HINTS, elements=HINTED_ELEMENTS) -> Column:
-    return F.regexp_replace(html, class_hint_pattern(hints, elements), "")
+def strip_class_hints(html: Column) -> Column:
+    """Drop elements of any name whose class holds a hint."""
+    return F.regexp_replace(html, HINTED_ELEMENT, "")
 
 
 def clean_html(html: Column) -> Column:
@@ -81,28 +85,70 @@ ENTITIES = (
 )
 
 
-def flat_markdown(html: Column, decode_entities: bool = False) -> Column:
-    """Markdown of clean, flat HTML, not yet trimmed."""
+def _segments(html: Column, pattern: str, outside, inside) -> Column:
+    """`outside` of the texts between matches and `inside` of the matches, in turn."""
+    between = F.split(html, pattern)
+    found = F.concat(F.regexp_extract_all(html, F.lit(pattern), F.lit(0)), F.array(F.lit("")))
+
+    def both(text: Column, match: Column) -> Column:
+        return F.concat(outside(text), F.when(match == "", "").otherwise(inside(match)))
+
+    return F.array_join(F.zip_with(between, found, both), "")
+
+
+def _numbered(ordered: Column) -> Column:
+    items = F.regexp_extract_all(ordered, F.lit(LIST_ITEM), F.lit(1))
+    lines = F.transform(
+        items, lambda item, i: F.concat(F.lit("\n"), (i + 1).cast("string"), F.lit(".  "), item)
+    )
+    return F.concat(F.lit("\n\n"), F.array_join(lines, ""), F.lit("\n\n"))
+
+
+def _flat_text(html: Column) -> Column:
+    html = _segments(html, ORDERED_LIST, lambda text: text, _numbered)
     for pattern, replacement in FLAT_RULES:
         html = F.regexp_replace(html, pattern, replacement)
-    if decode_entities:
-        for entity, char in ENTITIES:
-            html = F.replace(html, F.lit(entity), F.lit(char))
+    for entity, char in ENTITIES:
+        html = F.replace(html, F.lit(entity), F.lit(char))
     return html
 
 
+def flat_markdown(html: Column) -> Column:
+    """Markdown of clean, flat HTML, not yet trimmed. Tables stay as they are."""
+
+    def kept(table: Column) -> Column:
+        return F.concat(F.lit("\n\n"), table, F.lit("\n\n"))
+
+    return _segments(html, TABLE, _flat_text, kept)
+
+
 def needs_element_renderer(html: Column) -> Column:
-    """True where the flat rules do not hold: ordered lists, tables, quotes,
-    lists in lists, or a hinted element that holds another of its name."""
-    blocks = html.rlike(r"(?i)<(?:ol|table|blockquote)\b")
-    items = F.regexp_extract_all(html, F.lit("(?is)" + _element("li")), F.lit(0))
-    nested_list = F.exists(items, lambda item: item.rlike(r"(?i)<ul\b"))
-    hinted = F.regexp_extract_all(html, F.lit(class_hint_pattern()), F.lit(0))
-    opens = [
-        lambda element, tag=tag: F.regexp_count(element, F.lit(rf"(?i)<{tag}\b"))
-        for tag in HINTED_ELEMENTS
-    ]
-    nested_hint = F.exists(
-        hinted, lambda element: F.greatest(*[count(element) for count in opens]) > 1
+    """True where the flat rules do not hold: quotes, lists in lists, tables in
+    tables, items without end tag, or a hinted element that holds another of its
+    name or has no end tag."""
+
+    def count(pattern: str) -> Column:
+        return F.regexp_count(html, F.lit(pattern))
+
+    def found(pattern: str) -> Column:
+        return F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
+
+    nested_list = F.exists(found(LIST_ITEM), lambda item: item.rlike(r"(?i)<[uo]l\b"))
+    open_items = count(r"(?i)<li\b") != count(r"(?i)</li\s*>")
+    tables = count(r"(?i)<table\b") != F.size(found(TABLE))
+    hinted = found(HINTED_ELEMENT)
+    open_hint = count(HINTED_OPEN) != F.size(hinted)
+
+    def holds_its_name(element: Column) -> Column:
+        name = F.lower(F.regexp_extract(element, "^<([A-Za-z0-9]+)", 1))
+        opening = F.concat(F.lit("<"), name, F.lit(r"\b"))
+        return F.regexp_count(F.lower(element), opening) > 1
+
+    return (
+        html.rlike(r"(?i)<blockquote\b")
+        | nested_list
+        | open_items
+        | tables
+        | open_hint
+        | F.exists(hinted, holds_its_name)
     )
-    return blocks | nested_list | nested_hint

@@ -22,6 +22,21 @@ _BLOCKS = {
 _TEXT_BLOCKS = ("p", "h1", "h2", "h3", "h4", "h5", "h6")
 _STYLES = {"b": "**", "strong": "**", "i": "_", "em": "_"}
 
+# Tags whose end may be left out, with the starting tags that imply it.
+_CELL = {"td", "th", "tr", "tbody", "tfoot"}
+_CLOSED_BY = {
+    "p": _BLOCKS | {"table", "hr", "form", "nav", "header", "footer"},
+    "li": {"li"},
+    "dt": {"dt", "dd"},
+    "dd": {"dt", "dd"},
+    "td": _CELL,
+    "th": _CELL,
+    "tr": {"tr", "tbody", "tfoot"},
+    "option": {"option", "optgroup"},
+}
+# What a start tag's implied ends do not reach beyond.
+_SCOPES = {"ul", "ol", "dl", "table", "select", "div", "section", "article", "blockquote"}
+
 _SPECIAL = re.compile(r"[\\*_`\[\]]")
 _LINE_START = re.compile(r"^(?:[->]|\+ |=+|#{1,6} |~~~)")
 _NUMBER_START = re.compile(r"^(\d+)\. ")
@@ -67,7 +82,9 @@ class MarkdownReader(HTMLParser):
     def handle_starttag(self, tag, attrs):
         attrs = dict(attrs)
         if self._skip:
-            if tag == self._skip[-1]:
+            self._skip_implied_end(tag)
+        if self._skip:
+            if tag not in _VOID:
                 self._skip.append(tag)
         elif self._dropped(tag, attrs):
             if tag not in _VOID:
@@ -84,6 +101,15 @@ class MarkdownReader(HTMLParser):
                 self._pop_to("li")
             self._push(tag, attrs)
 
+    def _skip_implied_end(self, tag: str):
+        """Leave the skipped elements whose end this start tag implies."""
+        for i in range(len(self._skip) - 1, -1, -1):
+            if tag in _CLOSED_BY.get(self._skip[i], ()):
+                del self._skip[i:]
+                return
+            if self._skip[i] in _SCOPES:
+                return
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in _VOID:
@@ -91,9 +117,15 @@ class MarkdownReader(HTMLParser):
 
     def handle_endtag(self, tag):
         if self._skip:
-            if tag == self._skip[-1]:
-                self._skip.pop()
-        elif self._table:
+            if tag in self._skip:
+                while self._skip.pop() != tag:
+                    pass
+                return
+            # the end of a parent ends what needs no end tag of its own
+            if self._skip[0] not in _CLOSED_BY or not (self._open(tag) or self._table):
+                return
+            self._skip.clear()
+        if self._table:
             self._add(f"</{tag}>")
             self._table -= tag == "table"
             if not self._table:

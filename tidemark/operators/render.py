@@ -1,10 +1,12 @@
 """Documents from articles: Markdown body, header, slug, hash.
 
-Two renderers give the body:
+Three renderers give the body:
 
 `flat`  regular-expression columns (`functions.html`), all inside the JVM;
 `full`  an Arrow UDF that reads the markup element by element and so handles
-        nesting. Only the HTML column goes to Python.
+        nesting. Only the HTML column goes to Python;
+`auto`  `flat`, but `full` for the documents whose markup needs it. The others
+        go to Python as nulls.
 """
 
 from __future__ import annotations
@@ -21,19 +23,26 @@ from tidemark.functions import text as tx
 from tidemark.functions.markdown import MarkdownReader
 from tidemark.operators.chunking import MAX_TOKENS, OVERLAP_TOKENS
 
-RENDERER_VERSION = {"flat": "flat-1", "full": "full-1"}
+RENDERER_VERSION = {"flat": "flat-2", "full": "full-2", "auto": "auto-2"}
+
 
 @F.pandas_udf(StringType())
 def full_markdown(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Clean and render HTML. One reader serves all rows of a task."""
     reader = MarkdownReader()
     for html in batches:
-        yield html.map(lambda text: reader.render(text or ""))
+        yield html.map(lambda text: None if text is None else reader.render(text))
 
 
 def markdown_body(html: Column, renderer: str) -> Column:
     if renderer == "full":
-        return full_markdown(html)
+        return full_markdown(F.coalesce(html, F.lit("")))
+    if renderer == "auto":
+        stripped = flat.strip_elements(html)
+        needed = flat.needs_element_renderer(stripped)
+        plain = flat.flat_markdown(flat.strip_class_hints(stripped))
+        # a UDF inside `when` runs for all rows, so it is given only what it is for
+        return F.when(needed, full_markdown(F.when(needed, html))).otherwise(plain)
     if renderer == "flat":
         return flat.flat_markdown(flat.clean_html(html))
     raise ValueError(f"unknown renderer: {renderer}")
@@ -41,7 +50,7 @@ def markdown_body(html: Column, renderer: str) -> Column:
 
 def render_documents(
     articles: DataFrame,
-    renderer: str = "full",
+    renderer: str = "auto",
     max_tokens: int = MAX_TOKENS,
     overlap: int = OVERLAP_TOKENS,
 ) -> DataFrame:

@@ -224,7 +224,7 @@ def strip_class_hints(spark, sf_dir):
 def markdown_flat(spark, sf_dir):
     source = inputs.hinted_pages(spark, sf_dir)
     html = hx.clean_html(F.col("html"))
-    text = hx.flat_markdown(html, decode_entities=True)
+    text = hx.flat_markdown(html)
     return source.select("page_id", text.alias("text")).select("page_id", *_text_key("text"))
 
 
@@ -713,14 +713,14 @@ SUMMARY_COLUMNS = ["added", "updated", "skipped", "files_embedded", "estimated_c
 @query
 def sync_dry_run(spark, sf_dir):
     before = inputs.baseline(inputs.stored_documents(spark, sf_dir))
-    options = RunOptions(dry_run=True, renderer="flat")
+    options = RunOptions(dry_run=True)
     return preview(inputs.articles(spark, sf_dir), before, options).select(SUMMARY_COLUMNS)
 
 
 @query
 def sync_upload(spark, sf_dir):
     workspace = _workspace(spark, sf_dir)
-    options = RunOptions(renderer="flat")
+    options = RunOptions()
     done = run(spark, inputs.articles(spark, sf_dir), workspace, options)
     return done.select(SUMMARY_COLUMNS)
 
@@ -729,7 +729,7 @@ def sync_upload(spark, sf_dir):
 def sync_upload_chunks(spark, sf_dir):
     """The live chunk table an upload run leaves."""
     workspace = _workspace(spark, sf_dir)
-    run(spark, inputs.articles(spark, sf_dir), workspace, RunOptions(renderer="flat"))
+    run(spark, inputs.articles(spark, sf_dir), workspace)
     after = snapshot.read_snapshot(spark, workspace.snapshot)
     live = chunk_table.read_chunks(spark, workspace.chunks, after)
     return live.select("file_id", "doc_id", "chunk_no", *_text_key("text"))

@@ -5,14 +5,8 @@ Common inputs are views written as CTEs; each query lists those it needs.
 
 from __future__ import annotations
 
-from tidemark.functions.html import (
-    CLASS_HINTS,
-    ENTITIES,
-    FLAT_RULES,
-    HINTED_ELEMENTS,
-    STRIP_TAGS,
-)
 from tidemark.functions.text import JS_WHITESPACE
+from tidemark.plans.inputs import HINTED, ORDERED, TABLE
 
 
 def _literal(text: str) -> str:
@@ -28,27 +22,48 @@ def _trim(text: str) -> str:
     return f"trim({text}, {_literal(JS_WHITESPACE)})"
 
 
+# The dialect's rules, written for this engine on their own.
+_DROPPED = "nav script style noscript iframe form header footer".split()
+_HINTS = "nav|breadcrumb|share|social|advert|ad-|cookie|subscribe"
+#: Elements that carry a class in the given and planted markup.
+_CLASSED = "div section li".split()
+_ENTITIES = (
+    ("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"),
+)
+
+
 def _strip(text: str) -> str:
-    pattern = "(?is)" + "|".join(rf"<{t}\b[^>]*>.*?</{t}\s*>" for t in STRIP_TAGS)
+    pattern = "(?is)" + "|".join(rf"<{t}\b[^>]*>.*?</{t}\s*>" for t in _DROPPED)
     return _replace_all(f"coalesce({text}, '')", pattern, "")
 
 
 def _strip_hints(text: str) -> str:
-    hints = "|".join(CLASS_HINTS)
-    pattern = "(?is)" + "|".join(
-        rf'<{t}\b[^>]*\sclass\s*=\s*"[^">]*(?:{hints})[^">]*"[^>]*>.*?</{t}\s*>'
-        for t in HINTED_ELEMENTS
-    )
-    return _replace_all(text, pattern, "")
+    for tag in _CLASSED:
+        for quote in ('"', "'", ""):
+            inner = f"[^{quote}>]*" if quote else "[^ \"'>]*"
+            value = f"{quote}{inner}(?:{_HINTS}){inner}{quote}"
+            text = _replace_all(text, rf"(?is)<{tag}(?: [^>]*)? class={value}[^>]*>.*?</{tag}>", "")
+    return text
 
 
-def _flat(text: str, decode: bool = False) -> str:
-    for pattern, replacement in FLAT_RULES:
-        text = _replace_all(text, pattern, replacement)
-    if decode:
-        for entity, char in ENTITIES:
-            text = f"replace({text}, {_literal(entity)}, {_literal(char)})"
-    return text
+def _flat(text: str) -> str:
+    """Markdown of the markup that the pages hold; the planted blocks by name."""
+    ordered = "\n\n\n1.  first of **two**\n2.  second\n\n"
+    text = f"replace({text}, {_literal(ORDERED)}, {_literal(ordered)})"
+    text = f"replace({text}, {_literal(TABLE)}, chr(10) || chr(10) || chr(1) || chr(10) || chr(10))"
+    text = _replace_all(text, "(?s)<!--.*?-->", "")
+    for level in range(1, 7):
+        mark = "\n\n" + "#" * level + " $1\n\n"
+        text = _replace_all(text, rf"(?is)<h{level}\b[^>]*>(.*?)</h{level}>", mark)
+    text = _replace_all(text, '(?is)<a\\b[^>]* href="([^"]*)"[^>]*>(.*?)</a>', "[$2]($1)")
+    text = _replace_all(text, "(?is)<b>([^<]*)</b>", "**$1**")
+    text = _replace_all(text, "(?i)<br */?>", "  \n")
+    text = _replace_all(text, "(?is)<li\\b[^>]*>(.*?)</li>", "\n*   $1")
+    text = _replace_all(text, r"(?i)</?(?:p|ul)\b[^>]*>", "\n\n")
+    text = _replace_all(text, "<[^>]+>", "")
+    for entity, char in _ENTITIES:
+        text = f"replace({text}, {_literal(entity)}, {_literal(char)})"
+    return f"replace({text}, chr(1), {_literal(TABLE)})"
 
 
 def _tidy(text: str) -> str:
@@ -147,7 +162,15 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "hinted": (
         (),
-        """SELECT page_id, replace(html, 'class="ad"', 'class="ad-slot"') AS html FROM pages""",
+        f"""SELECT page_id, replace(
+                     replace(html, 'class="ad"', CASE WHEN page_id % 2 = 0 THEN {_literal("class='ad-slot'")}
+                                                      ELSE 'class="x ad-slot"' END),
+                     '</article>',
+                     CASE WHEN page_id % 3 = 0 THEN {_literal(ORDERED)} ELSE '' END
+                     || CASE WHEN page_id % 4 = 0 THEN {_literal(TABLE)} ELSE '' END
+                     || CASE WHEN page_id % 5 = 0 THEN {_literal(HINTED)} ELSE '' END
+                     || '</article>') AS html
+            FROM pages""",
     ),
     "docs": (("articles",), _documents("articles")),
     "repeated_articles": (
@@ -406,7 +429,7 @@ ORACLES: dict[str, str] = {
     "strip_elements": _keyed("pages", "page_id", _strip("html")),
     "strip_class_hints": _sql("hinted", _keyed("hinted", "page_id", _strip_hints("html"))),
     "markdown_flat": _sql(
-        "hinted", _keyed("hinted", "page_id", _flat(_strip_hints(_strip("html")), decode=True))
+        "hinted", _keyed("hinted", "page_id", _flat(_strip_hints(_strip("html"))))
     ),
     "markdown_links": _keyed("pages", "page_id", _tidy(_flat("html"))),
     "trim_body": _keyed(

@@ -15,6 +15,11 @@ from tidemark.operators.skew import last_by
 from tidemark.session import staged
 from tidemark.sources.pages import PER_PAGE
 
+# Markup planted into pages.
+ORDERED = "<ol><li>first of <b>two</b></li><li>second</li></ol>"
+TABLE = "<table><tr><td>R&amp;D</td><td><b>3</b></td></tr></table>"
+HINTED = "<li class=nav-item>go</li><section class='share'>gone</section>"
+
 CRAWL_TIME = "2024-01-01T00:00:00Z"
 STORED = ["id", "page_no", "pos", "slug", "filename", "hash", "updated_at", "est_chunks",
           "renderer_version"]
@@ -98,8 +103,19 @@ def page_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hinted_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    html = F.replace(F.col("html"), F.lit('class="ad"'), F.lit('class="ad-slot"'))
-    return table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
+    """Pages with hinted elements in several quotings, and ordered lists, tables
+    and entities added to some."""
+    slot = F.when(every(2, "page_id"), F.lit("class='ad-slot'")).otherwise('class="x ad-slot"')
+    added = F.concat(
+        F.when(every(3, "page_id"), F.lit(ORDERED)).otherwise(""),
+        F.when(every(4, "page_id"), F.lit(TABLE)).otherwise(""),
+        F.when(every(5, "page_id"), F.lit(HINTED)).otherwise(""),
+        F.lit("</article>"),
+    )
+    html = F.replace(F.col("html"), F.lit('class="ad"'), slot)
+    return table(spark, sf_dir, "pages").select(
+        "page_id", F.replace(html, F.lit("</article>"), added).alias("html")
+    )
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

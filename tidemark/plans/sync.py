@@ -56,7 +56,7 @@ class Workspace:
 class RunOptions:
     dry_run: bool = False
     scrape_only: bool = False
-    renderer: str = "full"
+    renderer: str = "auto"
     max_tokens: int = MAX_TOKENS
     overlap: int = OVERLAP_TOKENS
     # Off by default: a scrape-only run then hides its changes from later uploads.
