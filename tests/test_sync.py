@@ -8,6 +8,7 @@ from tidemark.operators.skew import rows_with_keys
 from tidemark.plans.sync import RunOptions, Workspace, run
 from tidemark.session import scratch_root, staged
 from tidemark.sources.chunk_table import compact, read_chunks
+from tidemark.sources.corpus import compact as compact_corpus
 from tidemark.sources.corpus import read_corpus
 from tidemark.sources.pages import articles_of
 from tidemark.sources.runlog import read_log, run_history
@@ -195,6 +196,10 @@ def test_compact_drops_replaced_chunks(spark, workspace, tmp_path):
     snapshot = read_snapshot(spark, workspace.snapshot)
     target = compact(spark, workspace.chunks, str(tmp_path / "compact"), snapshot)
     assert spark.read.parquet(target).count() == 2
+    whole = compact_corpus(spark, workspace.corpus, str(tmp_path / "corpus"))
+    assert spark.read.parquet(whole).count() == 2
+    before = {tuple(r) for r in read_corpus(spark, workspace.corpus).collect()}
+    assert {tuple(r) for r in read_corpus(spark, str(tmp_path / "corpus")).collect()} == before
 
 
 def test_one_id_with_a_third_of_all_rows(spark, workspace):

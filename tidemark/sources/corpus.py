@@ -9,7 +9,7 @@ from tidemark.functions import text as tx
 from tidemark.operators.skew import last_by
 from tidemark.schemas import CORPUS
 from tidemark.session import staged
-from tidemark.storage import path_exists, read_all, write_version
+from tidemark.storage import path_exists, read_all, versions, write_version
 
 
 def read_markdown_files(spark: SparkSession, path: str, extension: str = "md") -> DataFrame:
@@ -69,3 +69,10 @@ def read_corpus(spark: SparkSession, root: str) -> DataFrame:
     replaced = places.join(newest, "filename").filter("version < newest").drop("newest")
     replaced = staged(replaced, "replaced")
     return stored.join(replaced, ["filename", "version"], "left_anti").drop("version")
+
+
+def compact(spark: SparkSession, root: str, target: str) -> str:
+    """Copy the current corpus to one version of a corpus below `target`, leaving
+    replaced versions of documents behind. Point the workspace to it afterwards."""
+    newest = versions(spark, root)[-1]
+    return write_corpus(read_corpus(spark, root), target, newest)
