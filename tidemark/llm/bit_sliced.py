@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import best_of_blocks, usable
+from tidemark.operators.blocks import best_of_blocks, usable
 
 SCALE = 1024
 #: Queries that are added up side by side.

@@ -18,8 +18,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import best_of_blocks, usable
 from tidemark.llm.common import seeded
+from tidemark.operators.blocks import best_of_blocks, usable
 
 #: Width of the error bound in standard deviations of the estimate.
 BOUND = 1.5
