@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import languages, line_templates, packing, parity_join, pii
-from tidemark.llm.common import vocabulary
-from tidemark.session import scratch_path, ship_package
+from tidemark.llm.common import prepare, vocabulary
+from tidemark.session import scratch_path
 
 #: A text whose main language has a smaller share than this is rejected.
 LEAST_SHARE = 0.4
@@ -37,7 +37,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def stage_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents with letters and a main language; their columns are unchanged."""
-    ship_package(spark)
+    prepare(spark)
     models = languages.fit(docs.where(~languages.held_out() & F.col("doc_id").isNotNull()))
     predicted = languages.predict(docs.withColumn("__read", F.col("text")), models, "__read")
     accepted = (F.col("lang_pred") != languages.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
@@ -57,7 +57,7 @@ def stage_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Documents with an empty set or without an id stay. Rows that repeat an id are
     one document and stay together.
     """
-    ship_package(spark)
+    prepare(spark)
     found = parity_join.linked_documents(docs)
     others = found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
     return docs.join(others, "doc_id", "left_anti").select(docs.columns)
@@ -65,13 +65,13 @@ def stage_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def stage_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mask personal data; no document goes."""
-    ship_package(spark)
+    prepare(spark)
     return _counted(pii.mask_personal_data(docs))
 
 
 def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences, as operator 9's query returns them."""
-    ship_package(spark)
+    prepare(spark)
     return packing.with_crc(packing.pack(docs, vocabulary("word_bpe_49k.json")))
 
 

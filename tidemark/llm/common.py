@@ -16,9 +16,22 @@ from tidemark.session import ship_package
 SLICE_CHARS = 1_000_000
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Sends the package to the workers, which need it to unpickle."""
+#: Rows of an Arrow batch, at most: a batch of texts is held several times over.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Send the package to the workers, which need it to unpickle, and bound Arrow
+    batches: the default of 10,000 rows suits numbers, not texts."""
     ship_package(spark)
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, for work in Python workers."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -72,12 +85,19 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
+_powers: dict[int, np.ndarray] = {}
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
     """base**0 .. base**(n-1), modulo 2**64."""
-    out = np.full(n, base, dtype=np.uint64)
-    if n:
-        out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    known = _powers.get(int(base))
+    if known is None or len(known) < n:
+        known = np.full(max(n, 1 << 16), base, dtype=np.uint64)
+        known[0] = 1
+        known = np.cumprod(known, dtype=np.uint64)
+        if len(known) <= 2 * SLICE_CHARS:
+            _powers[int(base)] = known
+    return known[:n]
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

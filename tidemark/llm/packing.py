@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.llm.common import mix64, seeded, text_slices
-from tidemark.llm.pieces import WORD_PIECES, LibraryEncoder, encoder
+from tidemark.llm.pieces import WORD_PIECES, LibraryEncoder, encoder, word_pieces
 from tidemark.llm.token_counts import merge_table
 from tidemark.session import scratch_path
 
@@ -81,9 +81,15 @@ def document_keys(packed: list[bytes], matrix: np.ndarray) -> np.ndarray:
 class WordEncoder(LibraryEncoder):
     """The library's ids; plain pieces are merged in batches by operator 4's table."""
 
-    def __init__(self, path: str):
-        super().__init__(path)
+    def load(self, path: str):
         self.table = merge_table(path)
+        return self.table.library
+
+    def normal(self, text: str) -> str:
+        return text.lower()
+
+    def bounds(self, data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return word_pieces(data, begins)
 
     def cut(self, text: str) -> list[str]:
         return WORD_PIECES.findall(text.lower())
@@ -150,7 +156,8 @@ def places(tokens: DataFrame) -> tuple[DataFrame, int]:
     total = parts.agg(F.sum("tokens")).first()[0] or 0
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = parts.select("part", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("base"))
-    placed = ordered.join(bases, "part").select("row", (F.col("base") + F.col("inside")).alias("place"))
+    place = (F.col("base") + F.col("inside")).alias("place")
+    placed = ordered.join(bases, "part").select("row", place)
     return placed, int(total)
 
 

@@ -160,7 +160,10 @@ def decode_file(data: bytes, only: slice = slice(None)) -> np.ndarray:
     return np.concatenate(parts)
 
 
-FILES = "part int, file int, start long, ids long, doc_ids array<long>, sizes array<long>, data binary"
+FILES = (
+    "part int, file int, start long, ids long, doc_ids array<long>, sizes array<long>,"
+    " data binary"
+)
 
 
 def write_files(docs: DataFrame, path: str, folder: str, text: str = "text") -> None:
