@@ -8,10 +8,13 @@ from tidemark.operators import chunking
 
 def expected_chunks(text, max_tokens, overlap):
     size, step = max_tokens * 4, (max_tokens - overlap) * 4
-    tokens = max(1, len(text) // 4)
+    # UTF-16 units: a character of two units stands for its first
+    units = [u for c in text for u in ([c, ""] if ord(c) > 0xFFFF else [c])]
+    tokens = max(1, len(units) // 4)
     n = 1 if tokens <= max_tokens else max(1, -(-(tokens - overlap) // (max_tokens - overlap)))
     starts = [i * step for i in range(n)]
-    return [text[s : s + size] for s in starts[:-1]] + [text[starts[-1] :]]
+    cut = [units[s : s + size] for s in starts[:-1]] + [units[starts[-1] :]]
+    return ["".join(c) for c in cut]
 
 
 def split(spark, texts, max_tokens, overlap):

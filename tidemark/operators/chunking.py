@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import chunk_estimate
+from tidemark.functions.text import chunk_estimate, u16_length
 
 CHARS_PER_TOKEN = 4
 
+# U+FFFF is no character of any text.
+FILLER = "\uffff"
+
 # Default chunk size and overlap, in tokens.
 MAX_TOKENS = 800
 OVERLAP_TOKENS = 400
@@ -16,7 +19,8 @@ OVERLAP_TOKENS = 400
 
 def chunk_texts(text: Column, max_tokens: int, overlap: int) -> Column:
     """Array of chunk texts. The last one runs to the end of the text, so the
-    chunks cover it whole.
+    chunks cover it whole. Sizes count UTF-16 units, as the estimate does; a
+    character of two units is never cut.
 
     The text is cut once into pieces of one stride, and each chunk is put
     together from neighbouring pieces. Taking a substring per chunk would scan
@@ -27,8 +31,13 @@ def chunk_texts(text: Column, max_tokens: int, overlap: int) -> Column:
         raise ValueError("overlap must be from 0 to less than the chunk size")
     size, step = max_tokens * CHARS_PER_TOKEN, stride * CHARS_PER_TOKEN
     per_chunk = -(-size // step)
-    n_chunks = chunk_estimate(F.char_length(text), max_tokens, overlap).cast("int")
-    pieces = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % step), F.lit(0))
+    units = u16_length(text)
+    n_chunks = chunk_estimate(units, max_tokens, overlap).cast("int")
+    # a filler after each character of two units makes characters count as units
+    filled = F.when(units == F.char_length(text), text).otherwise(
+        F.regexp_replace(text, r"[\x{10000}-\x{10FFFF}]", "$0" + FILLER)
+    )
+    pieces = F.regexp_extract_all(filled, F.lit("(?s).{1,%d}" % step), F.lit(0))
 
     def build(pieces_: Column) -> Column:
         last = n_chunks - 1
@@ -36,7 +45,8 @@ def chunk_texts(text: Column, max_tokens: int, overlap: int) -> Column:
         def chunk(i: Column) -> Column:
             inner = F.array_join(F.slice(pieces_, i + 1, F.lit(per_chunk)), "")
             tail = F.array_join(F.slice(pieces_, i + 1, F.greatest(F.size(pieces_), F.lit(1))), "")
-            return F.when(i < last, F.substring(inner, 1, size)).otherwise(tail)
+            chosen = F.when(i < last, F.substring(inner, 1, size)).otherwise(tail)
+            return F.replace(chosen, F.lit(FILLER), F.lit(""))
 
         return F.transform(F.sequence(F.lit(0), last), chunk)
 

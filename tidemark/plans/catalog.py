@@ -75,13 +75,10 @@ def corpus_sink(spark, sf_dir):
 
 @query
 def corpus_source(spark, sf_dir):
-    """Documents as files below nested folders, read back whole."""
-    path = scratch_path(spark, "files")
-    documents = inputs.documents(spark, sf_dir)
-    # The text writer ends a file with the newline a document ends with.
-    body = F.expr("substring(md_text, 1, char_length(md_text) - 1)")
-    documents.select("id", body.alias("value")).write.partitionBy("id").text(path)
-    read = corpus.parse_headers(corpus.read_markdown_files(spark, path, "txt"))
+    """Documents written many to a file and read back."""
+    path = scratch_path(spark, "documents")
+    corpus.write_document_lines(inputs.documents(spark, sf_dir), path)
+    read = corpus.parse_headers(corpus.read_document_lines(spark, path))
     return read.select("id", "title", "url", tx.content_hash(F.col("md_text")).alias("hash"))
 
 

@@ -24,6 +24,17 @@ def read_markdown_files(spark: SparkSession, path: str, extension: str = "md") -
     )
 
 
+def write_document_lines(documents: DataFrame, path: str) -> None:
+    """Documents as JSON lines of `filename` and `md_text`: many to a file, which a
+    large corpus needs."""
+    documents.select("filename", "md_text").write.mode("overwrite").json(path)
+
+
+def read_document_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The same rows as `read_markdown_files`, from JSON lines."""
+    return spark.read.schema("filename string, md_text string").json(path)
+
+
 def parse_headers(documents: DataFrame, text: str = "md_text") -> DataFrame:
     """Title, address and id out of each document's header."""
     return documents.select(
