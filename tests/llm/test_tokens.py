@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from tests.llm.conftest import ODD
-from tidemark.llm import byte_bpe, packing, rans, token_counts
+from tidemark.llm import byte_bpe, packing, pieces, rans, token_counts
 from tidemark.llm.common import vocabulary
 from tidemark.llm.pieces import LibraryEncoder
 
@@ -22,11 +22,13 @@ def texts():
     """Texts of many scripts, odd spacing, special strings and long runs."""
     draw = random.Random(7)
     near = "abcdeéßÀ '.,!?\n\t<|>0123456789-_ "
-    far = [*range(32, 0x2FF), *range(0x370, 0x5FF), *range(0x3040, 0x30FF), *range(0x1F600, 0x1F640)]
+    scripts = ((32, 0x2FF), (0x370, 0x5FF), (0x3040, 0x30FF), (0x1F600, 0x1F640))
+    far = [c for low, high in scripts for c in range(low, high)]
     out = [t or "" for _, t in ODD]
     out += ["".join(draw.choice(near) for _ in range(400)) for _ in range(60)]
     out += ["".join(chr(draw.choice(far)) for _ in range(200)) for _ in range(60)]
-    out += ["a" * 700, "ab " * 300, "  \n\n\t x", "don't I'LL it's", "<|startoftext|>a<|endoftext|>"]
+    out += ["a" * 700, "ab " * 300, "  \n\n\t x", "don't I'LL it's"]
+    out += ["<|startoftext|>a<|endoftext|>"]
     return out
 
 
@@ -99,6 +101,35 @@ def test_piecewise_ids_equal_the_library(kind, path):
     assert [unpacked(p) for p in kind(path).packed(found)] == library_ids(path, found)
 
 
+@pytest.mark.parametrize(
+    "bounds,pattern",
+    [(pieces.byte_pieces, pieces.BYTE_PIECES), (pieces.word_pieces, pieces.WORD_PIECES)],
+)
+def test_numpy_cuts_like_the_patterns(bounds, pattern):
+    draw = random.Random(2)
+    found = ["".join(draw.choices("ab  \n\t.,1é²ß!\r Z", k=draw.randint(0, 25))) for _ in range(3000)]
+    data = [pieces.simple_bytes(t) for t in found]
+    ends = np.cumsum([len(d) for d in data])
+    joined = b"".join(data)
+    low, high = bounds(np.frombuffer(joined, np.uint8), np.r_[0, ends[:-1]])
+    cut = [joined[a:b].decode("latin-1") for a, b in zip(low, high, strict=True)]
+    assert cut == [p for t in found for p in pattern.findall(t)]
+    assert pieces.simple_bytes("it's") is None and pieces.simple_bytes("Ā") is None
+
+
+def test_memory_that_fills_up(monkeypatch):
+    monkeypatch.setattr(pieces, "RECENT", 30)
+    monkeypatch.setattr(pieces, "REMEMBERED", 200)
+    draw = random.Random(4)
+    found = [" ".join("".join(draw.choices("abcdé", k=4)) for _ in range(30)) for _ in range(60)]
+    encoder, sizes = LibraryEncoder(BYTES), []
+    for i in range(0, len(found), 5):
+        part = found[i : i + 5]
+        assert [unpacked(p) for p in encoder.packed(part)] == library_ids(BYTES, part)
+        sizes.append(len(encoder.memory.hashes))
+    assert any(b < a for a, b in zip(sizes[:-1], sizes[1:], strict=True))
+
+
 @pytest.mark.parametrize("dimensions,bits", [(2, 4), (3, 3), (4, 2)])
 def test_hilbert_curve_visits_neighbours(dimensions, bits):
     side = 1 << bits
@@ -116,8 +147,9 @@ def test_packing_puts_each_id_in_one_place(odd, none):
     for r in rows:
         pieces.setdefault((r.doc_id, r.doc_tokens), []).append(r)
     assert {(i, len(x)) for (i, _), x in zip(ODD, ids, strict=True)} == set(pieces)
-    for (doc_id, size), x in zip([(i, len(x)) for (i, _), x in zip(ODD, ids, strict=True)], ids, strict=True):
-        copies = sum((i, len(y)) == (doc_id, size) for (i, _), y in zip(ODD, ids, strict=True))
+    sizes = [(i, len(x)) for (i, _), x in zip(ODD, ids, strict=True)]
+    for (doc_id, size), x in zip(sizes, ids, strict=True):
+        copies = sizes.count((doc_id, size))
         assert sum(r.length for r in pieces[doc_id, size]) == size * copies
         if copies == 1:
             for r in pieces[doc_id, size]:
@@ -177,7 +209,8 @@ def test_rans_blocks_decode_alone_and_damage_shows():
 def test_token_files_of_odd_rows(odd, none, monkeypatch):
     monkeypatch.setattr(rans, "FILE_IDS", 5_000)
     rows = rans.through_files(odd, BYTES).collect()
-    ids = {i: x + [rans.END_ID] for (i, _), x in zip(ODD, library_ids(BYTES, [t or "" for _, t in ODD]), strict=True)}
+    whole = library_ids(BYTES, [t or "" for _, t in ODD])
+    ids = {i: x + [rans.END_ID] for (i, _), x in zip(ODD, whole, strict=True)}
     assert len(rows) == len(ODD)
     at = 0
     for r in sorted(rows, key=lambda r: r.start):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import staged
+from tidemark.session import Scratch
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -19,32 +19,38 @@ def components(edges: DataFrame) -> DataFrame:
     gathered: minima are aggregates and go back to the edges by a join.
     """
     high, low = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
-    now = staged(edges.where("a <> b").select(high, low).distinct(), "components")
+    held = Scratch(edges.sparkSession)
+    now = held.staged(edges.where("a <> b").select(high, low).distinct(), "components")
     mark = _mark(now)
     while mark[0]:
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        nearest = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = (
-            both.join(nearest, "u")
-            .where(F.col("v") > F.col("u"))
-            .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-            .distinct()
-        )
-        nearest = large.groupBy("u").agg(F.min("v").alias("m"))
-        hung = large.join(nearest, "u")
-        small = (
-            hung.where("v <> m")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(nearest.select("u", F.col("m").alias("v")))
-            .distinct()
-        )
-        now = staged(small, "components")
-        before, mark = mark, _mark(now)
+        before, written = mark, Scratch(edges.sparkSession)
+        now = written.staged(_hung(now), "components")
+        held.__exit__()
+        held, mark = written, _mark(now)
         if mark == before:
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
+def _hung(edges: DataFrame) -> DataFrame:
+    """One large star and one small star round over (u, v), u the larger node."""
+    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    nearest = both.groupBy("u").agg(F.min("v").alias("m"))
+    large = (
+        both.join(nearest, "u")
+        .where(F.col("v") > F.col("u"))
+        .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        .distinct()
+    )
+    nearest = large.groupBy("u").agg(F.min("v").alias("m"))
+    smaller = large.join(nearest, "u").where("v <> m")
+    return (
+        smaller.select(F.col("v").alias("u"), F.col("m").alias("v"))
+        .union(nearest.select("u", F.col("m").alias("v")))
+        .distinct()
+    )
+
+
 def _mark(edges: DataFrame) -> tuple:
     """Tells whether a round changed any edge."""
     hashed = F.xxhash64("u", "v")

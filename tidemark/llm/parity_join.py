@@ -31,6 +31,8 @@ Equal sets are one node from the start, whose document is the smallest.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -39,15 +41,19 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import SLICE_CHARS, mix64, seeded, text_slices
 from tidemark.llm.components import components
 from tidemark.llm.shingles import digest, linked, shingle_sets
-from tidemark.session import staged
+from tidemark.session import Scratch, staged
 
 MOST_PARTS, SPARSE = 96, 48
 #: Keys that a task gathers before it pairs them and hands them on.
-GATHERED = 1_000_000
+GATHERED = 500_000
 #: Documents of a key that are compared in one block.
 BLOCK = 512
 #: Members of a hot document's pairs that one task checks.
 CHECKED = 128
+#: A sketch has 2**11 cells or more.
+LEAST_BITS = 11
+#: Ids (8 bytes each) that are broadcast to pick out texts; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 
 def _grid() -> np.ndarray:
@@ -91,8 +97,8 @@ _BAND, _STEP = seeded("band", len(GRID)), np.uint64(0x9E3779B97F4A7C15)
 
 
 def bit_sketch(hashes: np.ndarray) -> bytes:
-    """Parity of the members in 2**k one-bit cells, two to four cells a member, at least 64."""
-    bits = max(6, (2 * len(hashes) - 1).bit_length())
+    """Parity of the members in 2**k one-bit cells: two to four a member, 2048 at least."""
+    bits = max(LEAST_BITS, (2 * len(hashes) - 1).bit_length())
     cells = mix64(hashes ^ np.uint64(0x5DEECE66D)) >> np.uint64(64 - bits)
     odd = np.bincount(cells.astype(np.int64), minlength=1 << bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="big").tobytes()
@@ -202,8 +208,8 @@ def candidate_rows(keys: DataFrame) -> DataFrame:
 
 def _passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs `a`, `b` that sizes and sketches do not rule out."""
-    one = nodes.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
-    two = nodes.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"))
+    plain = nodes.select("doc_id", "n_shingles", "sketch")
+    one, two = plain.toDF("a", "na", "sa"), plain.toDF("b", "nb", "sb")
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb")
 
     def work(batches):
@@ -230,7 +236,8 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         F.col("a").alias("doc_id"),
     )
-    wanted = partners.union(centres).join(docs.select("doc_id", "text"), "doc_id")
+    wanted = partners.union(centres)
+    wanted = wanted.join(_texts(wanted.select("doc_id").distinct(), docs), "doc_id")
     dealt = wanted.repartition("a", "part").sortWithinPartitions(
         "a", "part", F.col("doc_id") != F.col("a")
     )
@@ -255,18 +262,28 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return chosen.mapInArrow(work, "a long, b long").distinct()
 
 
+def _texts(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """Texts of the documents named; those of others stay out of the shuffle if ids are few."""
+    if ids.count() > BROADCAST_IDS:
+        return docs
+    return docs.join(F.broadcast(ids), "doc_id", "left_semi")
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    return pairs.where("a <> b").select(low, high).distinct()
 
 
-def _left_over(rows: DataFrame, failed: DataFrame, reps: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+def _left_over(
+    rows: DataFrame, failed: DataFrame, reps: DataFrame, nodes: DataFrame, labels: DataFrame
+) -> DataFrame:
     """Pairs in different components that share a key of a failed pair, as sketches allow."""
     named = (
-        rows.join(reps.select(F.col("doc_id").alias("pivot"), F.col("rep").alias("a")), "pivot")
-        .join(reps.select(F.col("doc_id").alias("doc"), F.col("rep").alias("b")), "doc")
+        rows.join(reps.toDF("pivot", "a"), "pivot")
+        .join(reps.toDF("doc", "b"), "doc")
         .select("key", "a", "b")
     )
-    marked = failed.select("a", "b").union(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    marked = failed.select("a", "b").union(failed.select("b", "a"))
     keys = named.join(marked, ["a", "b"]).select("key").distinct()
     open_rows = named.join(keys, "key")
     members = open_rows.select("key", F.col("a").alias("doc_id")).union(
@@ -278,45 +295,108 @@ def _left_over(rows: DataFrame, failed: DataFrame, reps: DataFrame, nodes: DataF
     )
     sizes = (
         members.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
+        )
         .where("low <> high")
         .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    dealt = (
+    # a document's row takes the list of its keys along, of which there are at most
+    # 2 * MOST_PARTS a band or so: a pair is handed on by the smallest key it shares
+    keys = (
         members.join(sizes, "key")
-        .withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "key", "doc_id", "label", "block",
-            F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        .groupBy("doc_id", "label")
+        .agg(
+            F.collect_list(F.struct("key", "blocks")).alias("open"),
+            F.collect_list("key").alias("keys"),
         )
         .join(nodes.select("doc_id", "n_shingles", "sketch"), "doc_id")
+        .withColumn("open", F.explode("open"))
+        .select("*", "open.key", "open.blocks")
+        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     )
-
-    def compare(group):
-        group = group.sort_values("doc_id", kind="stable")
-        ids, labels_, sizes_ = (group[c].to_numpy() for c in ("doc_id", "label", "n_shingles"))
-        blocks, i, j = group["block"].to_numpy(), group["i"].iloc[0], group["j"].iloc[0]
-        sketches = [np.frombuffer(s, np.uint64) for s in group["sketch"]]
-        found = []
-        widths = sorted({len(s) for s in sketches})
-        # partners differ by at most one doubling in width: compare at the lower
-        for words in widths:
-            fits = np.flatnonzero([len(s) in (words, 2 * words) for s in sketches])
-            matrix = np.stack([folded(sketches[x], words) for x in fits])
-            for at, x in enumerate(fits):
-                apart = np.bitwise_count(matrix[at + 1 :] ^ matrix[at]).sum(axis=1)
-                y = fits[at + 1 :]
-                near = (apart <= (sizes_[y] + sizes_[x]) // 9) & (labels_[y] != labels_[x])
-                near &= (i == j) | (blocks[y] != blocks[x])
-                found.extend((ids[x], z) for z in ids[y[near]])
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    import pandas as pd
-
-    near = dealt.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
-    return near.distinct()
+    dealt = keys.withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    ).select(
+        "*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+    )
+    order = ["key", "i", "j", "doc_id"]
+    sorted_rows = (
+        dealt.select(*order, "label", "block", "n_shingles", "sketch", "keys")
+        .repartition("key", "i", "j")
+        .sortWithinPartitions(*order)
+    )
+    return sorted_rows.mapInArrow(_compare_blocks, "a long, b long").distinct()
+
+
+def _compare_blocks(batches):
+    """Pairs that sketches allow, among the rows of each (key, i, j), which lie together."""
+    left = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is None and left is None:
+            return
+        table = left if batch is None else pa.Table.from_batches([batch])
+        if batch is not None and left is not None:
+            table = pa.concat_tables([left, table])
+        if not table.num_rows:
+            continue
+        group = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
+        starts = np.flatnonzero(np.r_[True, (group[:, 1:] != group[:, :-1]).any(axis=0)])
+        # the last group may go on in the next batch
+        whole = table.num_rows if batch is None else int(starts[-1])
+        left = None if batch is None else table.slice(whole)
+        ids, labels, blocks, sizes = (
+            table.column(c).to_numpy() for c in ("doc_id", "label", "block", "n_shingles")
+        )
+        sketches, keys = (table.column(c).to_pylist() for c in ("sketch", "keys"))
+        inner = group[1] == group[2]
+        found: list[np.ndarray] = []
+        for low, high in zip(starts, np.r_[starts[1:], table.num_rows], strict=True):
+            if high > whole:
+                break
+            part = slice(low, high)
+            if (labels[part] != labels[low]).any():
+                x, y = _near(labels[part], blocks[part], sizes[part], sketches[part], inner[low])
+                own = int(group[0, low])
+                first = [
+                    min(set(keys[low + i]).intersection(keys[low + j])) == own
+                    for i, j in zip(x.tolist(), y.tolist(), strict=True)
+                ]
+                x, y = x[np.array(first, dtype=bool)], y[np.array(first, dtype=bool)]
+                found.append(np.stack([ids[part][x], ids[part][y]]))
+        pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), dtype=np.int64)
+        pairs = np.unique(pairs, axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+
+def _near(labels, blocks, sizes, sketches, inner) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs from two components (and blocks, if there are two) that may link."""
+    out_x, out_y = [], []
+    lengths = np.array([len(s) // 8 for s in sketches])
+    # the sizes of partners, and so the widths of their sketches, differ little:
+    # each two meet at the lower width of the two
+    for words in np.unique(lengths).tolist():
+        fits = np.flatnonzero((lengths == words) | (lengths == 2 * words))
+        matrix = np.stack([folded(np.frombuffer(sketches[i], np.uint64), words) for i in fits])
+        lab, size, wide = labels[fits], sizes[fits], lengths[fits]
+        for at in range(len(fits) - 1):
+            rest = slice(at + 1, None)
+            open_ = lab[rest] != lab[at]
+            open_ &= (wide[rest] == words) | (wide[at] == words)
+            if not inner:
+                open_ &= blocks[fits[rest]] != blocks[fits[at]]
+            open_ &= 5 * np.minimum(size[rest], size[at]) >= 4 * np.maximum(size[rest], size[at])
+            to = at + 1 + np.flatnonzero(open_)
+            if len(to):
+                apart = np.bitwise_count(matrix[to] ^ matrix[at]).sum(axis=1)
+                to = to[apart <= (size[to] + size[at]) // 9]
+                out_x.append(np.full(len(to), fits[at]))
+                out_y.append(fits[to])
+    if not out_x:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    return np.concatenate(out_x), np.concatenate(out_y)
 
 
 def linked_documents(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -337,27 +417,30 @@ def linked_documents(docs: DataFrame, text: str = "text") -> DataFrame:
         reps.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi"
     ).dropDuplicates(["doc_id", *same])
 
-    keys = keyed(docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()))
-    shared = staged(candidate_rows(keys), "parity-candidates")
-    pairs = (
-        shared.select("pivot", "doc").distinct()
-        .join(reps.select(F.col("doc_id").alias("pivot"), F.col("rep").alias("a")), "pivot")
-        .join(reps.select(F.col("doc_id").alias("doc"), F.col("rep").alias("b")), "doc")
-        .select("a", "b")
-    )
-    pairs = staged(_ordered(pairs), "parity-pairs")
-    passing = staged(_passing(pairs, nodes), "parity-passing")
-    links = staged(_verified(passing, docs), "parity-links")
-    copies = reps.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    labels = components(links)
-    failed = pairs.join(links, ["a", "b"], "left_anti")
-    more = staged(_left_over(shared, failed, reps, nodes, labels), "parity-left-over")
-    more = staged(_verified(_ordered(more), docs), "parity-more-links")
-    if not more.isEmpty():
-        labels = components(links.union(more))
-    whole = copies.select(F.col("a").alias("doc_id"), F.col("b").alias("node")).join(
-        labels, "node", "left"
-    )
+    with Scratch(docs.sparkSession) as scratch:
+        keys = keyed(docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()))
+        shared = scratch.staged(candidate_rows(keys), "parity-candidates")
+        pairs = (
+            shared.select("pivot", "doc").distinct()
+            .join(reps.toDF("pivot", "a"), "pivot")
+            .join(reps.toDF("doc", "b"), "doc")
+            .select("a", "b")
+        )
+        pairs = scratch.staged(_ordered(pairs), "parity-pairs")
+        passing = scratch.staged(_passing(pairs, nodes), "parity-passing")
+        links = scratch.staged(_verified(passing, docs), "parity-links")
+        # the sets of a repeated id belong together
+        same_id = reps.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"))
+        same_id = reps.join(same_id.where("a < z"), "doc_id").select("a", F.col("rep").alias("b"))
+        edges = links.union(same_id)
+        labels = components(edges)
+        failed = pairs.join(links, ["a", "b"], "left_anti")
+        left_over = _ordered(_left_over(shared, failed, reps, nodes, labels))
+        left_over = scratch.staged(left_over, "parity-left-over")
+        more = scratch.staged(_verified(left_over, docs), "parity-more-links")
+        if not more.isEmpty():
+            labels = components(edges.union(more))
+    whole = reps.toDF("doc_id", "node").join(labels, "node", "left")
     whole = whole.groupBy("doc_id").agg(F.min(F.coalesce("label", "node")).alias("component_id"))
     return rows.join(whole, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
