@@ -72,7 +72,7 @@ def stage_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences, as operator 9's query returns them."""
     prepare(spark)
-    return packing.with_crc(packing.pack(docs, vocabulary("word_bpe_49k.json")))
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), digest=True)
 
 
 STAGES = [

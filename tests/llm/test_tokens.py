@@ -141,7 +141,7 @@ def test_hilbert_curve_visits_neighbours(dimensions, bits):
 
 
 def test_packing_puts_each_id_in_one_place(odd, none):
-    rows = packing.with_crc(packing.pack(odd, WORDS)).collect()
+    rows = packing.pack(odd, WORDS, digest=True).collect()
     ids = [i + [packing.END_ID] for i in library_ids(WORDS, [t or "" for _, t in ODD])]
     pieces = {}
     for r in rows:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -42,12 +43,24 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on, and executors have to hold
+    them beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def text_slices(
     batches: Iterable[pa.RecordBatch], text: str = "text", chars: int = SLICE_CHARS
 ) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     """Each batch in slices of about `chars` bytes of text, with the texts as strings.
 
-    A text longer than that is a slice of its own; none is cut.
+    A text longer than that is a slice of its own; none is cut. After the last
+    slice, memory that the task has freed goes back to the system.
     """
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
@@ -62,6 +75,7 @@ def text_slices(
             piece = batch.slice(start, stop - start)
             yield piece, piece.column(piece.schema.get_field_index(text)).to_pylist()
             start = stop
+    give_back()
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -40,7 +40,6 @@ def _hung(edges: DataFrame) -> DataFrame:
         both.join(nearest, "u")
         .where(F.col("v") > F.col("u"))
         .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-        .distinct()
     )
     nearest = large.groupBy("u").agg(F.min("v").alias("m"))
     smaller = large.join(nearest, "u").where("v <> m")

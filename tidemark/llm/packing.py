@@ -172,11 +172,16 @@ def cuts(total: int) -> np.ndarray:
     return np.array([*out, total], dtype=np.int64)
 
 
-def pack(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+def piece_crc(packed: bytes) -> int:
+    """crc32 of two-byte ids written as four bytes each."""
+    return zlib.crc32(np.frombuffer(packed, dtype="<u2").astype("<u4").tobytes())
+
+
+def pack(docs: DataFrame, path: str, text: str = "text", digest: bool = False) -> DataFrame:
     """One row per piece of a document: where it lies in which sequence, and its ids.
 
     `doc_id, start, length, ids, doc_tokens, sequence_id, offset`; `ids` are
-    packed two-byte ids. A null or empty text is its end id alone. Repeated rows
+    packed two-byte ids. With `digest`, `ids_crc32` stands for them. A null or empty text is its end id alone. Repeated rows
     are packed each; columns other than `doc_id` and the text are not read; an
     empty table gives no pieces.
     """
@@ -188,8 +193,9 @@ def pack(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     tokens = spark.read.schema(made.schema).parquet(folder)
     placed, total = places(tokens)
     tail = cuts(total)
+    shown, last = (piece_crc, "ids_crc32 long") if digest else (bytes, "ids binary")
     schema = (
-        "doc_id long, start long, length long, ids binary, doc_tokens long,"
+        f"doc_id long, start long, length long, {last}, doc_tokens long,"
         " sequence_id long, offset long"
     )
 
@@ -206,11 +212,12 @@ def pack(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                     if low < tail[0]:
                         sequence, offset = divmod(low, SEQUENCE)
                     else:
-                        last = int(np.searchsorted(tail, low, side="right")) - 1
-                        sequence = int(tail[0]) // SEQUENCE + last
-                        offset = low - int(tail[last])
+                        nth = int(np.searchsorted(tail, low, side="right")) - 1
+                        sequence = int(tail[0]) // SEQUENCE + nth
+                        offset = low - int(tail[nth])
                     piece = ids[2 * (low - place) : 2 * (high - place)]
-                    rows.append((doc_id, low - place, high - low, piece, n, sequence, offset))
+                    own = shown(piece)
+                    rows.append((doc_id, low - place, high - low, own, n, sequence, offset))
             columns = list(zip(*rows, strict=True)) or [[]] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, target, strict=True)], schema=target
@@ -219,23 +226,3 @@ def pack(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     target = to_arrow_schema(spark.createDataFrame([], schema).schema)
     joined = tokens.select("row", "doc_id", "ids").join(placed, "row")
     return joined.select("doc_id", "place", "ids").mapInArrow(cut, schema)
-
-
-def piece_crc(packed: bytes) -> int:
-    """crc32 of two-byte ids written as four bytes each."""
-    return zlib.crc32(np.frombuffer(packed, dtype="<u2").astype("<u4").tobytes())
-
-
-def with_crc(pieces: DataFrame) -> DataFrame:
-    """`ids_crc32` in place of `ids`."""
-    kept = [c for c in pieces.columns if c != "ids"]
-
-    def work(batches):
-        for batch in batches:
-            crc = [piece_crc(ids) for ids in batch.column(len(kept)).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(crc, pa.int64())], names=[*kept, "ids_crc32"]
-            )
-
-    schema = pieces.select(*kept).schema.add("ids_crc32", "long")
-    return pieces.select(*kept, "ids").mapInArrow(work, schema)

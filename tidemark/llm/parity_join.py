@@ -399,6 +399,12 @@ def _near(labels, blocks, sizes, sketches, inner) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(out_x), np.concatenate(out_y)
 
 
+def _labelled(rows: DataFrame, column: str, labels: DataFrame) -> DataFrame:
+    """`rows` with the labels of the nodes in `column`, where they have one."""
+    joined = rows.join(labels.toDF(column, "label"), column, "left")
+    return joined.withColumn(column, F.coalesce("label", column)).select(rows.columns)
+
+
 def linked_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """`doc_id`, `n_shingles`, `component_id` of every row.
 
@@ -438,10 +444,12 @@ def linked_documents(docs: DataFrame, text: str = "text") -> DataFrame:
         left_over = _ordered(_left_over(shared, failed, reps, nodes, labels))
         left_over = scratch.staged(left_over, "parity-left-over")
         more = scratch.staged(_verified(left_over, docs), "parity-more-links")
+        named = _labelled(reps.toDF("doc_id", "node"), "node", labels)
         if not more.isEmpty():
-            labels = components(edges.union(more))
-    whole = reps.toDF("doc_id", "node").join(labels, "node", "left")
-    whole = whole.groupBy("doc_id").agg(F.min(F.coalesce("label", "node")).alias("component_id"))
+            # what links components is a small graph over their labels
+            between = _labelled(_labelled(more, "a", labels), "b", labels)
+            named = _labelled(named, "node", components(between))
+    whole = named.groupBy("doc_id").agg(F.min("node").alias("component_id"))
     return rows.join(whole, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )

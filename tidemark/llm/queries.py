@@ -100,11 +100,10 @@ def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.with_crc(packing.pack(docs, vocabulary("word_bpe_49k.json")))
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), digest=True)
 
 
 @query
 def op10_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    read_back = rans.through_files(docs, vocabulary("byte_bpe_50k.json"))
-    return packing.with_crc(read_back)
+    return rans.through_files(docs, vocabulary("byte_bpe_50k.json"), digest=True)

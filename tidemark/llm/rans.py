@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_slices
+from tidemark.llm.packing import piece_crc
 from tidemark.llm.pieces import LibraryEncoder, encoder
 from tidemark.session import scratch_path
 
@@ -221,8 +222,13 @@ def write_files(docs: DataFrame, path: str, folder: str, text: str = "text") ->
     )
 
 
-def read_files(spark: SparkSession, folder: str) -> DataFrame:
-    """`doc_id`, `start`, `n_tokens`, packed `ids` of every document in a folder of files."""
+def read_files(spark: SparkSession, folder: str, digest: bool = False) -> DataFrame:
+    """`doc_id`, `start`, `n_tokens`, packed `ids` of every document in a folder of files.
+
+    With `digest`, `ids_crc32` (of the ids as four bytes each) stands for the ids.
+    """
+    kind, name = (pa.int64(), "ids_crc32") if digest else (pa.binary(), "ids")
+    shown = piece_crc if digest else bytes
     files = spark.read.schema(FILES).parquet(folder)
     parts = files.groupBy("part").agg(F.sum("ids").alias("held"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -246,18 +252,21 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
                         pa.array(starts + first, pa.int64()),
                         pa.array(sizes, pa.int64()),
                         pa.array(
-                            [ids[a:b].tobytes() for a, b in zip(starts, stops, strict=True)],
-                            pa.binary(),
+                            [shown(ids[a:b].tobytes()) for a, b in zip(starts, stops, strict=True)],
+                            kind,
                         ),
                     ],
-                    names=["doc_id", "start", "n_tokens", "ids"],
+                    names=["doc_id", "start", "n_tokens", name],
                 )
 
-    return placed.mapInArrow(work, "doc_id long, start long, n_tokens long, ids binary")
+    last = "ids_crc32 long" if digest else "ids binary"
+    return placed.mapInArrow(work, f"doc_id long, start long, n_tokens long, {last}")
 
 
-def through_files(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+def through_files(
+    docs: DataFrame, path: str, text: str = "text", digest: bool = False
+) -> DataFrame:
     """Write the files of `docs` to the shared scratch folder and read them back."""
     folder = scratch_path(docs.sparkSession, "token-files")
     write_files(docs, path, folder, text)
-    return read_files(docs.sparkSession, folder)
+    return read_files(docs.sparkSession, folder, digest)
