@@ -171,6 +171,17 @@ def test_a_template_of_one_document_stays(spark):
     ] * 2
 
 
+def staged_lines(spark, texts):
+    """Texts that the pipeline's stage leaves, by id; `texts` have the ids 1, 2, ..."""
+    docs = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
+    return {r.doc_id: r.text for r in corpus_pipeline.stage_lines(spark, docs, SF_DIR).collect()}
+
+
+def test_copies_parted_by_blank_lines_leave_no_husk(spark):
+    text = "first paragraph of the text\n\n \t\n\u3000\nsecond paragraph of the text"
+    assert staged_lines(spark, [text, text, text]) == {1: text}
+
+
 # near copies
 
 
