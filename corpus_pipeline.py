@@ -1,6 +1,6 @@
 """A training corpus from `documents`: stages that each write a table for the next.
 
-    languages   texts without letters or without a main language go
+    languages   texts without letters or that no languages explain go
     lines       lines whose template recurs in another document go
     copies      one document of each group of near copies stays
     personal    personal data is masked
@@ -20,7 +20,7 @@ from tidemark.llm import languages, line_templates, packing, parity_join, pii
 from tidemark.llm.common import prepare, vocabulary
 from tidemark.session import scratch_path
 
-#: A text whose main language has a smaller share than this is rejected.
+#: A text whose chosen languages have a smaller share than this together is rejected.
 LEAST_SHARE = 0.4
 
 #: Language models and fields are no SQL: the stages are tested against plain versions.
@@ -36,11 +36,12 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def stage_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents with letters and a main language; their columns are unchanged."""
+    """Keep documents with letters that languages explain; their columns are unchanged."""
     prepare(spark)
     models = languages.fit(docs.where(~languages.held_out() & F.col("doc_id").isNotNull()))
-    predicted = languages.predict(docs.withColumn("__read", F.col("text")), models, "__read")
-    accepted = (F.col("lang_pred") != languages.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
+    read = docs.withColumn("__read", F.col("text"))
+    predicted = languages.predict(read, models, "__read", explained=True)
+    accepted = (F.col("lang_pred") != languages.UNKNOWN) & (F.col("explained") >= LEAST_SHARE)
     return predicted.where(accepted).select(docs.columns)
 
 

@@ -49,6 +49,18 @@ def test_mixture_of_two_languages(compiled_spark):
     assert set(names[chosen[1] > 0.05]) == {"fr"}
 
 
+def test_pipeline_keeps_a_text_of_three_languages(compiled_spark):
+    docs = compiled_spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    by = {}
+    for r in docs.where("n_chars > 1500").orderBy("doc_id").collect():
+        by.setdefault(r.lang, r.text[:1200])
+    texts = [" ".join(by[k] for k in ("de", "en", "fr")), " ".join(by.values()), "...  1234 -- 5"]
+    rows = [(10**9 + i, t, None, None, len(t)) for i, t in enumerate(texts)]
+    mixed = docs.unionByName(compiled_spark.createDataFrame(rows, docs.schema))
+    kept = corpus_pipeline.stage_languages(compiled_spark, mixed, SF_DIR)
+    assert {r.doc_id - 10**9 for r in kept.where(f"doc_id >= {10**9}").collect()} == {0, 1}
+
+
 def test_languages_of_odd_rows(odd, none):
     models = languages.fit(odd)
     rows = languages.predict(odd, models).collect()

@@ -181,9 +181,13 @@ def mixtures(texts: list[str], models: Models) -> tuple[np.ndarray, np.ndarray]:
     return chosen, full
 
 
-def predict(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
+def predict(
+    docs: DataFrame, models: Models, text: str = "text", explained: bool = False
+) -> DataFrame:
     """`docs` without its text, and `lang_pred`, `score`, `mixture`.
 
+    With `explained`, also the proportion before choosing of all chosen languages.
+
     `mixture` maps the chosen languages to their proportions; `lang_pred` has the
     largest, and `score` is its proportion before choosing, which is low for
     texts that no single language explains. A text that is null or has no letter
@@ -191,7 +195,7 @@ def predict(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
     Ties go to the language first by name. Repeated rows are predicted each;
     columns named like a result are replaced; an empty table stays empty.
     """
-    added = ("lang_pred", "score", "mixture")
+    added = ["lang_pred", "score", "mixture"] + ["explained"] * explained
     kept = [c for c in docs.columns if c != text and c not in added]
     narrow = docs.select(*kept, F.col(text).alias("__text"))
     schema = (
@@ -200,11 +204,14 @@ def predict(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
         .add("score", "double")
         .add("mixture", "string")
     )
+    if explained:
+        schema = schema.add("explained", "double")
 
     def work(batches):
         for piece, texts in text_slices(batches, "__text", SLICE_CHARS // 2):
             named = [UNKNOWN] * len(texts)
             scores, shown = [0.0] * len(texts), [None] * len(texts)
+            shares_of_chosen = [0.0] * len(texts)
             at = [i for i, t in enumerate(texts) if models.names and has_letter(t)]
             chosen, full = mixtures([texts[i] for i in at], models)
             for i, shares, before in zip(at, chosen, full, strict=True):
@@ -212,6 +219,7 @@ def predict(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
                 if shares[main] > 0:
                     named[i] = models.names[main]
                     scores[i] = float(min(1.0, before[main]))
+                    shares_of_chosen[i] = float(min(1.0, before[shares > 0].sum()))
                     shown[i] = ",".join(
                         f"{models.names[j]}:{shares[j]:.3f}"
                         for j in np.argsort(-shares, kind="stable")
@@ -223,6 +231,7 @@ def predict(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
                     pa.array(named, pa.string()),
                     pa.array(scores, pa.float64()),
                     pa.array(shown, pa.string()),
+                    *[pa.array(shares_of_chosen, pa.float64())] * explained,
                 ],
                 names=[*kept, *added],
             )
