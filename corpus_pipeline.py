@@ -47,9 +47,10 @@ def stage_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut recurring lines; a document that consisted of them goes."""
-    kept = line_templates.drop_recurring_lines(docs.withColumn("__before", F.length("text")))
+    marked = docs.withColumn("__before", F.length("text"))
+    kept = line_templates.drop_recurring_lines(marked, whole=True)
     whole = F.length("text").eqNullSafe(F.col("__before"))
-    return _counted(kept.where(whole | F.col("text").rlike(r"(?U)[^\s\x1c-\x1f]")).select(docs.columns))
+    return _counted(kept.where(whole | F.col("text").rlike(f"[^{line_templates.WHITE}]")).select(docs.columns))
 
 
 def stage_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -194,6 +194,25 @@ def test_copies_parted_by_blank_lines_leave_no_husk(spark):
     assert staged_lines(spark, [text, text, text]) == {1: text}
 
 
+def test_short_lines_recur_by_length_or_many_documents(spark):
+    own = [f"text of its own {c * 4} and {c * 5}" for c in "abcdefghij"]
+    long = ["All rights reserved.", "一二三四五六七八九十一二三四五六七八九十", "one\ttwo\tthree\tfour"]
+    for line in long:
+        assert staged_lines(spark, [f"{line}\n{own[0]}", f"{own[1]}\n{line}"])[2] == own[1]
+    few = staged_lines(spark, [f"Yes.\n{o}" for o in own[:9]])
+    assert all(t.startswith("Yes.") for t in few.values())
+    many = staged_lines(spark, [f"Yes.\n{o}" for o in own])
+    assert [i for i, t in many.items() if "Yes." in t] == [1]
+
+
+def test_copies_leave_no_stub_of_short_lines(spark):
+    text = "a line of the copied text\nYes.\nanother line of the copied text"
+    assert staged_lines(spark, [text, text, "Yes.\nand a line of number three"]) == {
+        1: text,
+        3: "Yes.\nand a line of number three",
+    }
+
+
 # near copies
 
 
