@@ -213,6 +213,15 @@ def test_copies_leave_no_stub_of_short_lines(spark):
     }
 
 
+def test_lines_of_data_are_compared_as_they_are(spark):
+    rows = [f"{i} {i * 7} {i * 11} {i * 13}" for i in range(1, 13)]
+    texts = [*rows, rows[0]]
+    assert staged_lines(spark, texts) == dict(enumerate(rows, 1))
+    named = [f"row {i} {i * 7} {i * 11}" for i in range(1, 13)]
+    assert len(staged_lines(spark, named[:9])) == 9
+    assert list(staged_lines(spark, named)) == [1]
+
+
 # near copies
 
 
