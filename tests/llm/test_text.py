@@ -222,6 +222,19 @@ def test_lines_of_data_are_compared_as_they_are(spark):
     assert list(staged_lines(spark, named)) == [1]
 
 
+def test_letter_fields_that_vary_are_generalised(spark):
+    letters = "abcdefghijkl"
+    own = [f"only document {c * 3} says this of {c * 5}" for c in letters]
+    texts = [f"Posted by {c * 4} in {c * 6} today\n{o}" for c, o in zip(letters, own, strict=True)]
+    other = "Posted by ship over sea and"
+    left = staged_lines(spark, [*texts, f"{other}\n{own[0]} too"])
+    assert left[1].startswith("Posted by aaaa in aaaaaa today\n")
+    assert all("Posted" not in left[i] for i in range(2, 13) if i in left)
+    assert left[13].startswith(other)
+    # nine documents are not enough
+    assert len(staged_lines(spark, [t.split("\n")[0] for t in texts[:9]])) == 9
+
+
 # near copies
 
 
