@@ -11,10 +11,12 @@ the parity of a part, and (band, part, parity) is the join key. A set is in ever
 band that its possible partners lead to, mostly two.
 
 A pair at the very threshold is missed by one part with a chance of at most
-1 - 1/e, so `MOST_PARTS` = 96 parts of a larger P miss it with a chance below
-2**-63, less than that two different 64-bit hashes agree, on which the shingles
-themselves rely. By the same reckoning empty parts, which any two sets may share,
-are keys only where P is below `SPARSE` = 48.
+1 - 1/e, so `MOST_PARTS` = 96 parts of a larger P miss it with a chance of about
+2**-62, counting that the part needs a member. Empty parts, which any two sets may
+share, are keys only where P is below `SPARSE` = 48; there the pigeonhole is
+exact. The grid's P of 52, 64 and 79 find a pair at the threshold only by an
+untouched part with a member, and miss it with a chance of about 2**-34, 2**-42
+and 2**-51.
 
 Candidates. A key's smallest document is paired with each of the others, first
 within a task, so that a key that very many documents share leaves a task as one
