@@ -40,3 +40,116 @@ WITH {LINE_TEMPLATES.format(source="documents")}
 SELECT doc_id, n_lines, n_dropped, length(text)::BIGINT AS n_chars, md5(text) AS text_md5
 FROM kept
 """
+
+#: Levels of a manifest's tree that the SQL below spells out: enough for 8**8 leaves.
+MERKLE_LEVELS = 8
+
+
+def _merkle(name: str, lowest: str) -> str:
+    """CTEs of a tree over `lowest` (tree, pos, h): at each level k the nodes, with the
+    digests of their run; `{name}_root` (tree, h); `{name}_path` with, for each lowest
+    node, its runs and places level by level. A level with one node is left alone."""
+    ctes = [f"{name}0 AS (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM ({lowest}))"]
+    for k in range(MERKLE_LEVELS):
+        ctes.append(f"""
+{name}_runs{k} AS (
+  SELECT tree, pos // 8 AS pos, n, list(h ORDER BY pos) AS run FROM {name}{k} GROUP BY tree, pos // 8, n
+),
+{name}{k + 1} AS (
+  SELECT tree, pos, CASE WHEN n = 1 THEN run[1] ELSE sha256(array_to_string(run, '')) END AS h,
+         (n + 7) // 8 AS n
+  FROM {name}_runs{k}
+)""")
+    runs = " ".join(
+        f"JOIN {name}_runs{k} r{k} ON r{k}.tree = l.tree AND r{k}.pos = l.pos // {8 ** (k + 1)}"
+        for k in range(MERKLE_LEVELS)
+    )
+    steps = ", ".join(
+        f"{{'at': l.pos // {8**k} % 8, 'run': CASE WHEN r{k}.n = 1 THEN NULL ELSE r{k}.run END}}"
+        for k in range(MERKLE_LEVELS)
+    )
+    ctes.append(f"{name}_root AS (SELECT tree, h FROM {name}{MERKLE_LEVELS})")
+    ctes.append(
+        f"{name}_path AS (SELECT l.tree, l.pos, [{steps}] AS steps FROM {name}0 l {runs})"
+    )
+    return ",\n".join(ctes)
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of an ASCII text, byte by byte and bit by bit."""
+    bit = "list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, o: xor(x >> 1, (x & 1) * 3988292384))"
+    data = f"list_transform(string_split({text}, ''), lambda s: ascii(s)::BIGINT)"
+    whole = f"list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda c, b: {bit})"
+    return f"xor({whole}, 4294967295::BIGINT)"
+
+
+def _leaf(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(
+        f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields
+    ) + ")"
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_FOLD = """list_reduce(
+    list_prepend({'at': 0::BIGINT, 'run': [coalesce(tampered, leaf)]}, steps),
+    lambda x, s: {'at': 0::BIGINT, 'run': [CASE WHEN s.run IS NULL THEN x.run[1] ELSE sha256(array_to_string(
+      list_transform(s.run, lambda h, i: CASE WHEN i - 1 = s.at THEN x.run[1] ELSE h END), '')) END]}).run[1]"""
+
+ORACLES["op12_merkle_manifest"] = f"""
+WITH rows_ AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS tree, {_leaf("text")} AS leaf,
+         CASE WHEN {_crc32("doc_id::VARCHAR")} % 3 = 0
+              THEN {_leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} END AS tampered
+  FROM documents
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM rows_
+),
+{_merkle("low", "SELECT tree, pos, leaf AS h FROM placed")},
+subroots AS (
+  SELECT tree AS name, h, row_number() OVER (ORDER BY tree::BLOB) - 1 AS pos FROM low_root
+),
+{_merkle("top", "SELECT '' AS tree, pos, h FROM subroots")},
+whole AS (
+  SELECT p.doc_id, p.leaf, p.tampered, s.h AS subroot, (SELECT h FROM top_root) AS root,
+         list_concat(l.steps, t.steps) AS steps
+  FROM placed p JOIN low_path l USING (tree, pos) JOIN subroots s ON s.name = p.tree
+       JOIN top_path t ON t.pos = s.pos
+),
+folded AS (
+  SELECT doc_id, leaf, subroot, root,
+         sha256(array_to_string(flatten(list_transform(steps, lambda s: coalesce(
+           list_filter(s.run, lambda h, i: i - 1 <> s.at), []))), '')) AS proof_sha256,
+         {_FOLD} AS folded_root
+  FROM whole
+)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+ORACLES["op13_hard_negatives"] = """
+WITH rows_ AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM rows_ a JOIN rows_ b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE a.vec_id % 50 = 0
+),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+       (row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id))::INTEGER AS rank
+FROM positives p JOIN scores s
+  ON s.anchor_id = p.anchor_id AND NOT s.same
+     AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""

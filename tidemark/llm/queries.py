@@ -12,6 +12,9 @@ from tidemark.llm import (
     byte_bpe,
     languages,
     line_templates,
+    merkle,
+    minmax_join,
+    multi_index,
     one_bit,
     packing,
     parity_join,
@@ -107,3 +110,23 @@ def op9_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return rans.through_files(docs, vocabulary("byte_bpe_50k.json"), digest=True)
+
+
+@query
+def op11_minmax_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minmax_join.near_copies(read_table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_proofs(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read_table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").alias("vector"), label.alias("label")
+    )
+    return multi_index.hard_negatives(vectors, vectors.where("vec_id % 50 = 0"))

@@ -65,7 +65,7 @@ def shared(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[np.minimum(at, len(b) - 1)] == a).sum())
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether 100 * intersection >= 80 * union, for sets that are not empty."""
+def linked(a: np.ndarray, b: np.ndarray, percent: int = 80) -> bool:
+    """Whether 100 * intersection >= percent * union, for sets that are not empty."""
     both = shared(a, b)
-    return both > 0 and 100 * both >= 80 * (len(a) + len(b) - both)
+    return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
