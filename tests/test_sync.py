@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 import pytest
@@ -13,8 +14,9 @@ from tidemark.sources.corpus import read_corpus
 from tidemark.sources.pages import articles_of
 from tidemark.sources.runlog import read_log, run_history
 from tidemark.sources.snapshot import read_snapshot
-from tidemark.storage import versions
-from tidemark.streaming.incremental import claimed_version, page_dump_stream, sync_new_pages
+from tidemark import storage
+from tidemark.storage import claim, create_once, versions, write_version
+from tidemark.streaming.incremental import batch_run, page_dump_stream, sync_new_pages
 from tests.test_sources import dump, raw
 
 SCHEMA = (
@@ -179,15 +181,57 @@ def test_partly_stored_batch_records_what_was_stored(spark, workspace):
     assert set(state(spark, workspace)) == {1}
 
 
-def test_replayed_version_is_harmless(spark, workspace):
-    run(spark, articles(spark, (1, "a")), workspace, version=0)
-    for replay in (False, True):
-        rows = articles(spark, (1, "b"), (2, "c"))
-        assert counts(run(spark, rows, workspace, version=1, replay=replay)) == (1, 1, 0, 2)
-    with pytest.raises(ValueError, match="already written"):
-        run(spark, rows, workspace, version=1)
+def test_a_run_done_again_is_harmless(spark, workspace):
+    run(spark, articles(spark, (1, "a")), workspace)
+    rows = articles(spark, (1, "b"), (2, "c"))
+    for _ in range(2):
+        assert counts(run(spark, rows, workspace, run_id="two")) == (1, 1, 0, 2)
     assert chunk_texts(spark, workspace) == ["b", "c"]
     assert read_log(spark, workspace.log).count() == 2
+    # what a later run has committed stays when an earlier one is done again
+    run(spark, articles(spark, (1, "d")), workspace)
+    assert counts(run(spark, rows, workspace, run_id="two")) == (1, 1, 0, 2)
+    assert chunk_texts(spark, workspace) == ["c", "d"]
+    with pytest.raises(ValueError, match="already written"):
+        write_version(spark.range(1), workspace.chunks, 1)
+
+
+def test_a_run_lost_before_its_commit_goes_on_from_the_newest_state(spark, workspace, monkeypatch):
+    """Everything is written but the commit; another run commits; the first is done again."""
+
+    def lost(*_):
+        raise OSError("the driver is gone")
+
+    rows = articles(spark, (1, "a"), (2, "b"))
+    with monkeypatch.context() as m, pytest.raises(OSError, match="driver"):
+        m.setattr("tidemark.plans.sync.commit", lost)
+        run(spark, rows, workspace, run_id="first")
+    assert state(spark, workspace) == {} and chunk_texts(spark, workspace) == []
+    assert counts(run(spark, articles(spark, (2, "b"), (3, "c")), workspace)) == (2, 0, 0, 2)
+    assert counts(run(spark, rows, workspace, run_id="first")) == (1, 0, 1, 1)
+    assert set(state(spark, workspace)) == {1, 2, 3}
+    assert chunk_texts(spark, workspace) == ["a", "b", "c"]
+    assert versions(spark, workspace.snapshot) == [0, 1]
+
+
+def test_two_writers_at_one_time_leave_both_results(spark, workspace):
+    """The second run starts and commits while the first one stores its documents."""
+    run(spark, articles(spark, (1, "a"), (2, "b")), workspace)
+    calls = []
+
+    def sink(documents, replaced):
+        if not calls:
+            run(spark, articles(spark, (2, "second"), (3, "c")), workspace)
+        calls.append(sorted(r.id for r in documents.select("id").collect()))
+        return documents.select("id", "page_no", "pos", F.concat(F.lit("x_"), "slug").alias("file_id"))
+
+    first = articles(spark, (1, "new"), (2, "b"), (4, "d"))
+    assert counts(run(spark, first, workspace, sink=sink)) == (1, 2, 0, 3)
+    # the second try sees what the other run has made of document 2
+    assert calls == [[1, 4], [1, 2, 4]]
+    assert {i: r.file_id.split("_")[0] for i, r in state(spark, workspace).items()} == {
+        1: "x", 2: "x", 3: "file", 4: "x"
+    }
 
 
 def test_compact_drops_replaced_chunks(spark, workspace, tmp_path):
@@ -257,12 +301,48 @@ def test_stream_and_batch_share_one_sequence(spark, workspace, tmp_path):
     assert chunk_texts(spark, workspace) == ["a2", "b2", "body 3"]
 
 
-def test_a_replayed_batch_keeps_its_version(spark, workspace):
-    assert claimed_version(spark, workspace, "x", 0) == (0, False)
-    assert claimed_version(spark, workspace, "y", 0) == (1, False)
-    assert claimed_version(spark, workspace, "x", 0) == (0, True)
-    run(spark, articles(spark, (1, "a")), workspace, version=5)
-    assert claimed_version(spark, workspace, "x", 1) == (6, False)
+def test_a_claim_belongs_to_one_run(spark, workspace):
+    def own(run_id):
+        found = claim(spark, workspace.claims, run_id, *workspace.tables)
+        return found.version, found.again
+
+    assert [own(r) for r in ("x", "y", "x")] == [(0, False), (1, False), (0, True)]
+    write_version(spark.range(1), workspace.corpus, 5)
+    assert own(batch_run("check", 1)) == (6, False)
+    assert own(batch_run("check", 1)) == (6, True)
+
+
+@pytest.mark.parametrize("scheme", ["file", "other"])
+def test_one_of_many_writers_makes_a_file(spark, tmp_path, monkeypatch, scheme):
+    if scheme == "other":
+
+        def link(draft, target):
+            paths = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (draft, target))
+            storage._rename_once(spark, *paths)
+
+        monkeypatch.setattr(storage.os, "link", link)
+    path = str(tmp_path / "made" / "7")
+    with ThreadPoolExecutor(1 if scheme == "other" else 8) as pool:
+        made = list(pool.map(lambda n: create_once(spark, path, f"writer {n}"), range(16)))
+    assert sum(made) == 1
+    assert storage.read_small(spark, path) == f"writer {made.index(True)}"
+    assert {p.name for p in (tmp_path / "made").iterdir()} <= {"7", ".7.crc"}
+
+
+def test_claims_at_one_time_differ(spark, workspace):
+    with ThreadPoolExecutor(8) as pool:
+        found = list(pool.map(lambda n: claim(spark, workspace.claims, f"run {n}"), range(24)))
+    assert sorted(c.version for c in found) == list(range(24))
+
+
+def test_keeping_states_goes_by_their_commits(spark, workspace):
+    for body in "abcd":
+        run(spark, articles(spark, (1, body)), workspace)
+    write_version(spark.range(1), workspace.snapshot, 9)  # of a run under way
+    assert storage.keep_newest(spark, workspace.snapshot, 2) == [0, 1]
+    assert versions(spark, workspace.snapshot) == [2, 3, 9]
+    run(spark, articles(spark, (2, "e")), workspace)
+    assert set(state(spark, workspace)) == {1, 2}
 
 
 @pytest.mark.parametrize("n", [1, 40])

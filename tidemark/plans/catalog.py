@@ -16,8 +16,8 @@ from tidemark.plans import gate, inputs
 from tidemark.plans.sync import RunOptions, Workspace, preview, run
 from tidemark.session import scratch_path, ship_package, staged
 from tidemark.sources import chunk_table, corpus, pages, runlog, snapshot
-from tidemark.storage import write_version
-from tidemark.streaming.incremental import page_dump_stream, sync_new_pages
+from tidemark.storage import claim, write_version
+from tidemark.streaming.incremental import batch_run, page_dump_stream, sync_new_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -770,10 +770,7 @@ def incremental_over_snapshot(spark, sf_dir):
     older = inputs.every(2, "id") | inputs.every(3, "id")
     run(spark, now.withColumn("title", F.when(older, title).otherwise(F.col("title"))), workspace, options)
     fresh = now.filter(inputs.every(3, "id"))
-    fresh.select(
-        (F.col("id") + 1).alias("page_no"),
-        F.array(F.struct("id", "title", F.col("body_html").alias("body"), "html_url", "updated_at", "locale")).alias("articles"),
-    ).write.json(f"{root}/pages")
+    _as_pages(fresh).write.json(f"{root}/pages")
     sync_new_pages(
         page_dump_stream(spark, f"{root}/pages"), workspace, f"{root}/checkpoint", options
     ).awaitTermination()
@@ -784,6 +781,31 @@ def incremental_over_snapshot(spark, sf_dir):
     return after.join(counts, "file_id").select("id", "hash", "file_id", "n_chunks")
 
 
+def _as_pages(articles: DataFrame) -> DataFrame:
+    """A page for each article."""
+    body = F.struct("id", "title", F.col("body_html").alias("body"), "html_url", "updated_at", "locale")
+    return articles.select((F.col("id") + 1).alias("page_no"), F.array(body).alias("articles"))
+
+
+@query
+def incremental_after_lost_batch(spark, sf_dir):
+    """A stream's batch is lost right after its claim, a batch run commits, and the
+    batch is replayed: both results stand."""
+    root = scratch_path(spark, "lost")
+    workspace, checkpoint = Workspace.under(f"{root}/sync"), f"{root}/checkpoint"
+    options = RunOptions(renderer="flat")
+    now = inputs.articles(spark, sf_dir)
+    _as_pages(now.filter(~inputs.every(3, "id"))).write.json(f"{root}/pages")
+    claim(spark, workspace.claims, batch_run(checkpoint, 0), *workspace.tables)
+    run(spark, now.filter(inputs.every(2, "id")), workspace, options)
+    stream = page_dump_stream(spark, f"{root}/pages")
+    sync_new_pages(stream, workspace, checkpoint, options).awaitTermination()
+    after = snapshot.read_snapshot(spark, workspace.snapshot)
+    live = chunk_table.read_chunks(spark, workspace.chunks, after)
+    counts = live.groupBy("file_id").agg(F.count("*").alias("n_chunks"))
+    return after.join(counts, "file_id").select("id", "hash", "file_id", "n_chunks")
+
+
 @query
 def incremental_sync(spark, sf_dir):
     """The snapshot after streaming page dumps in, twice over one checkpoint."""

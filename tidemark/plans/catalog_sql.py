@@ -698,6 +698,13 @@ ORACLES: dict[str, str] = {
            FROM docs JOIN pieces USING (id)""",
         f"pieces AS (SELECT id, count(*) AS n_chunks FROM ({_chunks('docs', 'id')}) GROUP BY id)",
     ),
+    "incremental_after_lost_batch": _sql(
+        "docs",
+        """SELECT id, hash, 'file_' || CASE WHEN id % 2 = 0 THEN 1 ELSE 0 END || '_' || id AS file_id,
+                  n_chunks
+           FROM docs JOIN pieces USING (id) WHERE id % 2 = 0 OR id % 3 <> 0""",
+        f"pieces AS (SELECT id, count(*) AS n_chunks FROM ({_chunks('docs', 'id')}) GROUP BY id)",
+    ),
     "incremental_sync": _sql(
         "normal",
         "SELECT id, hash, slug, 'file_0_' || id AS file_id FROM streamed",

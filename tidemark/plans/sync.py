@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -19,13 +20,13 @@ from tidemark.operators.delta import (
 from tidemark.operators.render import render_documents
 from tidemark.operators.skew import hot_keys, last_by, rows_with_keys
 from tidemark.operators.summary import delta_totals, run_summary
-from tidemark.schemas import SUMMARY
+from tidemark.schemas import SNAPSHOT, SUMMARY
 from tidemark.session import Scratch
 from tidemark.sources.chunk_table import Sink, table_sink
 from tidemark.sources.corpus import corpus_delta, corpus_hashes, write_corpus
-from tidemark.sources.runlog import write_run_log
-from tidemark.sources.snapshot import read_snapshot, write_snapshot
-from tidemark.storage import next_version
+from tidemark.sources.runlog import read_run_summary, write_run_log
+from tidemark.sources.snapshot import draft_snapshot, read_snapshot
+from tidemark.storage import claim, commit, committed, read_version, state
 
 PLACE = ["id", "page_no", "pos"]
 TOTALS = "added long, updated long, skipped long, estimated_chunks long"
@@ -46,6 +47,11 @@ class Workspace:
     def tables(self) -> tuple[str, str, str, str]:
         return self.corpus, self.snapshot, self.chunks, self.log
 
+    @property
+    def claims(self) -> str:
+        """Where all writers of the workspace claim their versions."""
+        return f"{self.log}-claims"
+
     @classmethod
     def under(cls, root: str) -> Workspace:
         root = root.rstrip("/")
@@ -89,70 +95,95 @@ def run(
     articles: DataFrame,
     workspace: Workspace,
     options: RunOptions = RunOptions(),
-    version: int | None = None,
     sink: Sink | None = None,
-    replay: bool = False,
+    run_id: str | None = None,
 ) -> DataFrame:
     """Sync `articles` into `workspace`; gives the summary row.
 
-    A run takes the next free `version` of the workspace, unless one is given. A
-    version that is written already is refused, but for a `replay` of the run
-    that wrote it, which replaces what it left. `sink` stores the changed
-    documents; unless given, their chunks go to the workspace's chunk table.
+    A run claims a version of the workspace for its name, `run_id`. Run again
+    under the same name after a loss, it has its version again and replaces what
+    it left, and nothing if it had been committed: then it gives the row it left.
+
+    The snapshot is written last, and committing it ends the run. If another run
+    has committed in the meantime, this one compares its documents with the new
+    snapshot and stores them anew, so that both results stand. `sink` stores the
+    changed documents and is called once for each such try; unless given, their
+    chunks go to the workspace's chunk table.
     """
-    if version is None:
-        version = next_version(spark, *workspace.tables)
-    snapshot = read_snapshot(spark, workspace.snapshot, before=version)
     if options.dry_run:
-        return preview(articles, snapshot, options)
+        return preview(articles, read_snapshot(spark, workspace.snapshot), options)
+    own = claim(spark, workspace.claims, run_id or uuid.uuid4().hex, *workspace.tables)
+    if own.again and committed(spark, workspace.snapshot, own.version):
+        return read_run_summary(spark, workspace.log, own.version)
 
     with Scratch(spark) as scratch:
         # The only pass over the HTML. What follows reads back the columns it
         # needs, which leaves document text out of every shuffle but the writes'.
         staged = scratch.staged(_rendered(articles, options), "documents")
-        classified = classify(
-            staged.select(NARROW),
-            snapshot,
-            upload=options.upload,
-            sequential=options.scrape_only,
-            track_embedded=options.track_embedded,
-            hot_ids=hot_keys(staged, "id"),
-        ).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            totals = delta_totals(classified).first()
-            n_changed = totals.added + totals.updated
-            current = corpus_hashes(spark, workspace.corpus, before=version)
-            keys = scratch.staged(corpus_delta(classified, current), "corpus-keys")
-            write_corpus(rows_with_keys(staged, keys, PLACE), workspace.corpus, version, replay)
-
-            stored, error = 0, None
-            recorded = None
-            if options.scrape_only:
-                recorded = classified.withColumnsRenamed(
-                    {"prior_file_id": "file_id", "prior_embedded_hash": "embedded_hash"}
-                )
-            elif options.upload and n_changed:
-                store = sink or table_sink(
-                    workspace.chunks, version, options.max_tokens, options.overlap, replay
-                )
-                try:
-                    results = _store_changed(scratch, staged, classified, store)
-                    recorded = align_results(changed(classified), results)
-                    recorded = recorded.withColumn("embedded_hash", F.col("hash"))
-                    stored = results.agg(F.count("file_id")).first()[0]
-                except Exception as failure:  # noqa: BLE001 - a sink may fail in any way
-                    # Nothing of a failed batch is recorded; the run reports it.
-                    recorded, error = None, str(failure)
-            _store_snapshot(snapshot, recorded, workspace, version, replay)
-
-            totals_row = spark.createDataFrame([totals], TOTALS)
-            summary = run_summary(
-                totals_row, options.dry_run, options.scrape_only, stored, error, workspace.store_id
+        hot = hot_keys(staged, "id")
+        replace = own.again
+        while True:
+            base = state(spark, workspace.snapshot)
+            summary = _written(
+                scratch, staged, hot, base.version, workspace, options, own.version, sink, replace
+            )
+            if commit(spark, workspace.snapshot, own.version, base):
+                return summary
+            replace = True
+
+
+def _written(
+    scratch, staged, hot, base, workspace, options, version, sink, replace
+) -> DataFrame:
+    """Write all that a run leaves but the commit of its snapshot, which goes on from
+    version `base`; gives the summary row."""
+    spark = staged.sparkSession
+    snapshot = read_version(spark, workspace.snapshot, SNAPSHOT, base)
+    classified = classify(
+        staged.select(NARROW),
+        snapshot,
+        upload=options.upload,
+        sequential=options.scrape_only,
+        track_embedded=options.track_embedded,
+        hot_ids=hot,
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        totals = delta_totals(classified).first()
+        n_changed = totals.added + totals.updated
+        current = corpus_hashes(spark, workspace.corpus, without=version)
+        keys = scratch.staged(corpus_delta(classified, current), "corpus-keys")
+        write_corpus(rows_with_keys(staged, keys, PLACE), workspace.corpus, version, replace)
+
+        stored, error = 0, None
+        recorded = None
+        if options.scrape_only:
+            recorded = classified.withColumnsRenamed(
+                {"prior_file_id": "file_id", "prior_embedded_hash": "embedded_hash"}
             )
-            write_run_log(summary, workspace.log, version)
-            return spark.createDataFrame(summary.collect(), SUMMARY)
-        finally:
-            classified.unpersist()
+        elif options.upload and n_changed:
+            store = sink or table_sink(
+                workspace.chunks, version, options.max_tokens, options.overlap, replace
+            )
+            try:
+                results = _store_changed(scratch, staged, classified, store)
+                recorded = align_results(changed(classified), results)
+                recorded = recorded.withColumn("embedded_hash", F.col("hash"))
+                stored = results.agg(F.count("file_id")).first()[0]
+            except Exception as failure:  # noqa: BLE001 - a sink may fail in any way
+                # Nothing of a failed batch is recorded; the run reports it.
+                recorded, error = None, str(failure)
+        totals_row = spark.createDataFrame([totals], TOTALS)
+        summary = run_summary(
+            totals_row, options.dry_run, options.scrape_only, stored, error, workspace.store_id
+        )
+        write_run_log(summary, workspace.log, version)
+        if recorded is not None:
+            recorded = recorded.select(*snapshot.columns, "page_no", "pos")
+            snapshot = upsert_snapshot(snapshot, recorded)
+        draft_snapshot(snapshot, workspace.snapshot, version, replace)
+        return spark.createDataFrame(summary.collect(), SUMMARY)
+    finally:
+        classified.unpersist()
 
 
 def _store_changed(scratch, staged, classified, store) -> DataFrame:
@@ -169,10 +200,3 @@ def _store_changed(scratch, staged, classified, store) -> DataFrame:
     replaced = last.filter(F.col("replaced").isNotNull())
     stored = store(documents, replaced.select("id", F.col("replaced").alias("file_id")))
     return scratch.staged(stored, "stored")
-
-
-def _store_snapshot(snapshot, recorded, workspace, version, replay):
-    if recorded is not None:
-        recorded = recorded.select(*snapshot.columns, "page_no", "pos")
-        snapshot = upsert_snapshot(snapshot, recorded)
-    write_snapshot(snapshot, workspace.snapshot, version, replay)

@@ -45,9 +45,10 @@ def parse_headers(documents: DataFrame, text: str = "md_text") -> DataFrame:
     )
 
 
-def corpus_hashes(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """(filename, hash) of the current corpus; document text is not read."""
-    stored = read_all(spark, root, CORPUS, before).select("filename", "hash", "version")
+def corpus_hashes(spark: SparkSession, root: str, without: int | None = None) -> DataFrame:
+    """(filename, hash) of the current corpus; document text is not read. `without`:
+    a version that is written anew."""
+    stored = read_all(spark, root, CORPUS, without).select("filename", "hash", "version")
     return last_by(stored, "filename", F.col("version")).select("filename", "hash")
 
 

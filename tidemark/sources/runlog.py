@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.schemas import LOG
+from tidemark.schemas import LOG, SUMMARY
 from tidemark.storage import version_path
 
 LOGGER = "tidemark"
@@ -39,6 +39,12 @@ def write_run_log(summary: DataFrame, root: str, version: int) -> None:
     lines.write.mode("overwrite").text(version_path(root, version))
 
 
+def read_run_summary(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """The summary row that a run left."""
+    lines = read_log(spark, version_path(root, version))
+    return run_history(lines).select(SUMMARY.fieldNames())
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG).json(path)
 

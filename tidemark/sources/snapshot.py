@@ -6,18 +6,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import SNAPSHOT, SNAPSHOT_JSON
-from tidemark.storage import path_exists, read_latest, write_version
+from tidemark.storage import commit, path_exists, read_latest, state, write_version
 
 
 def read_snapshot(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
     return read_latest(spark, root, SNAPSHOT, before)
 
 
-def write_snapshot(snapshot: DataFrame, root: str, version: int, replace: bool = False) -> str:
-    """Full rewrite into a folder of its own; the version being read stays."""
+def draft_snapshot(snapshot: DataFrame, root: str, version: int, replace: bool = False) -> str:
+    """Full rewrite into a folder of its own, which `commit` makes the newest state."""
     return write_version(snapshot.select(SNAPSHOT.fieldNames()), root, version, replace)
 
 
+def write_snapshot(snapshot: DataFrame, root: str, version: int, replace: bool = False) -> str:
+    """Write a snapshot and make it the newest state, whatever that was before."""
+    spark = snapshot.sparkSession
+    path = draft_snapshot(snapshot, root, version, replace)
+    while not commit(spark, root, version, state(spark, root)):
+        pass
+    return path
+
+
 def read_snapshot_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Snapshot from its JSON form. A missing or unreadable file is empty.
 

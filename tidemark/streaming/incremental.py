@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.plans.sync import RunOptions, Workspace, run
 from tidemark.schemas import PAGE
 from tidemark.sources.pages import articles_of, with_page_number
-from tidemark.storage import next_version, path_exists
 
 
 def page_dump_stream(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -19,28 +18,9 @@ def page_dump_stream(spark: SparkSession, path: str, multi_line: bool = False) -
     return with_page_number(pages)
 
 
-def claimed_version(
-    spark: SparkSession, workspace: Workspace, checkpoint: str, batch_id: int
-) -> tuple[int, bool]:
-    """The version of a stream's batch, and whether the batch was begun before.
-
-    A batch takes the next free version of the workspace and writes that down
-    under (checkpoint, batch) before it writes anything else. Only a replay of
-    the same batch finds the note and takes the same version again, so streams
-    with other checkpoints and batch runs share one sequence.
-    """
-    folder = f"{workspace.log}-claims"
-    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
-    note = f"{folder}/{stream}-{batch_id}"
-    if path_exists(spark, f"{note}/_SUCCESS"):
-        return spark.read.schema("version int").json(note).first().version, True
-    version = next_version(spark, *workspace.tables)
-    if path_exists(spark, folder):
-        # a batch that was begun and wrote nothing so far has its version too
-        noted = spark.read.schema("version int").json(f"{folder}/*")
-        version = max(version, (noted.selectExpr("max(version)").first()[0] or 0) + 1)
-    spark.createDataFrame([(version,)], "version int").write.mode("overwrite").json(note)
-    return version, False
+def batch_run(checkpoint: str, batch_id: int) -> str:
+    """Name of the run of a stream's batch, the same whenever the batch is replayed."""
+    return f"{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}-{batch_id}"
 
 
 def sync_new_pages(
@@ -52,15 +32,15 @@ def sync_new_pages(
 ) -> StreamingQuery:
     """Sync every page that arrived since the last call, then stop.
 
-    Each batch is one run with the next free version of the workspace. The
-    checkpoint holds which pages were seen; if a batch is replayed after a loss,
-    its run reads the snapshot before its version and replaces its own output.
+    Each batch is one run, which claims its version like any other run of the
+    workspace. The checkpoint holds which pages were seen; if a batch is replayed
+    after a loss, its run has the same name, goes on from the newest snapshot and
+    replaces its own output only.
     """
 
     def sync_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        version, replay = claimed_version(spark, workspace, checkpoint, batch_id)
-        run(spark, to_articles(batch), workspace, options, version, replay=replay)
+        name = batch_run(checkpoint, batch_id)
+        run(batch.sparkSession, to_articles(batch), workspace, options, run_id=name)
 
     return (
         pages.writeStream.foreachBatch(sync_batch)
