@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import blocks, retrieval
+from tidemark.operators import blocks, postings, retrieval
 
 TEXTS = [
     "how to add a video to a screen",
@@ -50,7 +50,7 @@ def questions(spark):
 
 
 def test_lexical_scores_equal_brute_force(items, questions, monkeypatch):
-    monkeypatch.setattr(retrieval, "BLOCK_ROWS", 2)
+    monkeypatch.setattr(postings, "BLOCK_ROWS", 2)
     monkeypatch.setattr(retrieval, "CHUNK_ROWS", 1)
     rows = retrieval.lexical_top_k(items, questions, 100).collect()
     assert {(r.question_id, r.doc_id): r.score for r in rows} == brute_force(TEXTS, QUESTIONS)

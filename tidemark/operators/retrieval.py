@@ -9,10 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.words import distinct_words, word_counts
+from tidemark.functions.words import distinct_words, words
 from tidemark.operators.blocks import (
-    BLOCK_ROWS,
-    CELLS,
     CHUNK_ROWS,
     best_of_blocks,
     every_pair,
@@ -20,16 +18,20 @@ from tidemark.operators.blocks import (
     packed,
     usable,
 )
+from tidemark.operators.postings import (
+    SCORE_DIGITS,
+    Postings,
+    best_in_block,
+    first_of_block,
+    index_parts,
+    ragged_slices,
+)
 from tidemark.schemas import RESPONSE
 from tidemark.session import staged
 
 # Fixed value: sources a reply may cite.
 MAX_CITATIONS = 3
 
-# Scores are compared after rounding, so that ties fall to the lower id
-# whatever order the terms were added in.
-SCORE_DIGITS = 6
-
 # Queries that are multiplied with a block at once.
 SIDE_BY_SIDE = 64
 
@@ -45,27 +47,54 @@ def top_k(rows: DataFrame, by: str, order: list[Column], k: int) -> DataFrame:
     return rows.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def _bags(items: DataFrame) -> DataFrame:
-    """Items as hashed words and their counts; each text is read once, in its row."""
-    counted = items.select("doc_id", "item_id", word_counts(F.col("text")).alias("words"))
-    return counted.select(
+def _index(items: DataFrame) -> DataFrame:
+    """Items as blocks of an inverted index; each text is read once, in its row."""
+    hashed = items.select(
         F.col("doc_id").cast("long"),
         F.col("item_id").cast("long"),
-        F.transform("words", lambda w: F.xxhash64(w["term"])).alias("terms"),
-        F.transform("words", lambda w: w["tf"].cast("long")).alias("counts"),
+        F.transform(words(F.coalesce("text", F.lit(""))), lambda w: F.xxhash64(w)).alias("terms"),
     )
+    return staged(packed(hashed, index_parts), "postings")
+
+
+def _vocabulary(blocks: DataFrame) -> DataFrame:
+    """(term, df) of each block, and its number of items under no term."""
+
+    def work(batches):
+        for batch in batches:
+            for data in batch.column(0):
+                block = Postings(data.as_py())
+                terms, df = block.vocabulary()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.concat_arrays([pa.array(terms), pa.array([None], pa.int64())]),
+                        pa.array(np.r_[df, len(block.docs)].astype(np.int64)),
+                    ],
+                    names=["term", "df"],
+                )
 
+    return blocks.select("packed").mapInArrow(work, "term long, df long")
 
-def _weights(bags: DataFrame, questions: DataFrame) -> DataFrame:
+
+def _weights(blocks: DataFrame, questions: DataFrame) -> DataFrame:
     """Words of each question with their weight. Words that all items hold weigh
-    nothing and are left out."""
+    nothing and are left out.
+
+    A block hands on one row for each of its words, and only those that are asked
+    for are counted.
+    """
     asked = questions.select(
         F.col("question_id").cast("long"), F.explode(distinct_words(F.col("text"))).alias("word")
     ).select("question_id", F.xxhash64("word").alias("term"))
+    asked = staged(asked, "asked-words")
+    vocabulary = staged(_vocabulary(blocks), "block-words")
+    n_items = vocabulary.where("term IS NULL").agg(F.sum("df")).first()[0] or 0
     frequency = (
-        bags.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+        vocabulary.join(asked.select("term").distinct(), "term", "left_semi")
+        .groupBy("term")
+        .agg(F.sum("df").alias("df"))
     )
-    idf = F.ln((F.lit(bags.count()) + 1) / (F.col("df") + 1))
+    idf = F.ln((F.lit(n_items) + 1) / (F.col("df") + 1))
     weighed = asked.join(frequency, "term").withColumn("idf", idf).filter(F.col("idf") > 0)
     listed = F.array_sort(F.collect_list(F.struct("term", "idf")))
     return weighed.groupBy("question_id").agg(listed.alias("words")).select(
@@ -75,69 +104,45 @@ def _weights(bags: DataFrame, questions: DataFrame) -> DataFrame:
     )
 
 
-def _ragged(batches, most: int, n_keys: int, value: str) -> Iterator[tuple[int, bytes]]:
-    """Packed key columns, list sizes, terms and values of up to `most` rows."""
-    for batch in batches:
-        sizes = np.diff(batch.column(n_keys).offsets.to_numpy())
-        low = 0
-        while low < len(sizes):
-            fits = int(np.searchsorted(np.cumsum(sizes[low:]), CELLS, side="right"))
-            rows = max(1, min(most, fits))
-            part = batch.slice(low, rows)
-            low += rows
-            columns = [part.column(i).to_numpy().astype("<i8") for i in range(n_keys)]
-            columns.append(sizes[low - rows : low].astype("<i8")[: part.num_rows])
-            terms, values = (part.column(n_keys + i).flatten().to_numpy() for i in range(2))
-            head = np.array([part.num_rows, len(terms)], dtype="<i8")
-            arrays = [head, *columns, terms.astype("<i8"), values.astype(value)]
-            yield 0, b"".join(a.tobytes() for a in arrays)
-
-
-def _unpacked(data: bytes, n_keys: int, value: str) -> tuple:
+def _question_chunks(batches) -> Iterator[tuple[int, bytes]]:
+    """Packed ids, numbers of words, words and weights of up to `CHUNK_ROWS` questions."""
+    for part, sizes in ragged_slices(batches, CHUNK_ROWS, 1):
+        terms, weights = (part.column(i).flatten().to_numpy() for i in (1, 2))
+        head = np.array([part.num_rows, len(terms)], dtype="<i8")
+        numbers = [head, part.column(0).to_numpy(), sizes, terms]
+        packed_ = b"".join(a.astype("<i8").tobytes() for a in numbers)
+        yield 0, packed_ + weights.astype("<f8").tobytes()
+
+
+def _questions(data: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     n, n_terms = np.frombuffer(data, "<i8", 2).tolist()
-    keys = np.frombuffer(data, "<i8", n * (n_keys + 1), 16).reshape(n_keys + 1, n)
-    at = 16 + 8 * n * (n_keys + 1)
-    terms = np.frombuffer(data, "<i8", n_terms, at)
-    return keys, terms, np.frombuffer(data, value, n_terms, at + 8 * n_terms)
+    ids, sizes = np.frombuffer(data, "<i8", 2 * n, 16).reshape(2, n)
+    terms = np.frombuffer(data, "<i8", n_terms, 16 + 16 * n)
+    weights = np.frombuffer(data, "<f8", n_terms, 16 + 16 * n + 8 * n_terms)
+    ends = np.cumsum(sizes)
+    for question, low, high in zip(ids.tolist(), ends - sizes, ends, strict=True):
+        yield question, terms[low:high], weights[low:high]
 
 
 def _best_items(items: DataFrame, questions: DataFrame, k: int, per_doc: bool) -> DataFrame:
     """The `k` best items of every block for each question, by tf-idf; with
     `per_doc` the best item of each of the `k` best documents.
 
-    Neither words nor scores are shuffled: items are packed into blocks where
-    they are read, and a task scores one block against one chunk of questions.
+    Neither words nor scores are shuffled: items are indexed in blocks where they
+    are read, and a task searches one block for one chunk of questions.
     """
-    bags = staged(_bags(items), "bags")
-    blocks = staged(packed(bags, lambda b: _ragged(b, BLOCK_ROWS, 2, "<i8")), "bag-blocks")
-    weights = staged(_weights(bags, questions), "question-words")
-    chunks = packed(in_chunks(weights), lambda b: _ragged(b, CHUNK_ROWS, 1, "<f8"))
-
-    def search(block: bytes, chunk: bytes) -> pa.RecordBatch:
-        (docs, ids, sizes), terms, counts = _unpacked(block, 2, "<i8")
-        (asked, asked_sizes), wanted, idf = _unpacked(chunk, 1, "<f8")
-        owner = np.repeat(np.arange(len(docs)), sizes)
-        order = np.argsort(terms, kind="stable")
-        terms, owner, counts = terms[order], owner[order], counts[order]
-        low, high = np.searchsorted(terms, wanted), np.searchsorted(terms, wanted, side="right")
-        ends = np.cumsum(asked_sizes)
-        rows = []
-        for question, start, end in zip(asked, ends - asked_sizes, ends, strict=True):
-            spans = [slice(a, b) for a, b in zip(low[start:end], high[start:end], strict=True)]
-            where = np.concatenate([owner[s] for s in spans])
-            if not len(where):
-                continue
-            parts = [counts[s] * w for s, w in zip(spans, idf[start:end], strict=True)]
-            score = np.bincount(where, np.concatenate(parts), minlength=len(docs))
-            hits = np.flatnonzero(np.bincount(where, minlength=len(docs)))
-            score = np.round(score[hits], SCORE_DIGITS)
-            first = np.lexsort((docs[hits] if per_doc else ids[hits], -score))
-            if per_doc:
-                first = np.lexsort((ids[hits], docs[hits], -score))
-                _, once = np.unique(docs[hits][first], return_index=True)
-                first = first[np.sort(once)]
-            first = first[:k]
-            rows.append((np.full(len(first), question), docs[hits][first], ids[hits][first], score[first]))
+    blocks = _index(items)
+    weights = staged(_weights(blocks, questions), "question-words")
+    chunks = packed(in_chunks(weights), _question_chunks)
+
+    def search(data: bytes, chunk: bytes) -> pa.RecordBatch:
+        block, rows = Postings(data), []
+        score = np.zeros(len(block.docs))
+        for question, wanted, idf in _questions(chunk):
+            kept, points, _, _ = best_in_block(block, wanted, idf, k, per_doc, score)
+            first = first_of_block(block, kept, points, k, per_doc)
+            kept, points = kept[first], points[first]
+            rows.append((np.full(len(kept), question), block.docs[kept], block.ids[kept], points))
         columns = [np.concatenate(c) for c in zip(*rows, strict=True)] or [[]] * 4
         types = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
         return pa.RecordBatch.from_arrays(
