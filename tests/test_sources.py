@@ -190,3 +190,57 @@ def test_run_log(spark, tmp_path):
 def test_log_fields_may_not_replace_base_keys():
     with pytest.raises(ValueError, match="level"):
         runlog.log_line("m", fields=["level", "added"])
+
+
+def linked(spark, *rows):
+    """Pages (crawl, address, next_page, page_no), each with an article of its own."""
+    pages_ = [([(i, f"A{i}", "b", "u", "t", "en", False)], *row) for i, row in enumerate(rows)]
+    kind = "array<struct<id:long,title:string,body:string,html_url:string,updated_at:string,locale:string,draft:boolean>>"
+    return spark.createDataFrame(
+        pages_, f"articles {kind}, crawl string, address string, next_page string, page_no long"
+    )
+
+
+def test_a_chain_follows_links_and_not_numbers(spark):
+    found = linked(
+        spark,
+        ("a", "a2", "a3", None),
+        ("a", "a1", "a2", None),
+        ("a", "a3", "a1", None),  # back to the start: no page without a link to it
+        ("b", "b9", None, 1),
+        ("b", "b1", "b5", 9),
+        ("b", "b5", "b9", 4),
+        ("b", "gone", "b9", 30),  # leads into the chain, but starts later
+        ("c", "c1", "c2", 1),
+        ("c", "c2", "c3", 2),
+        ("c", "c3", "c2", 3),  # a loop behind the start
+        ("d", "d1", "not captured", None),
+        ("d", "d1", "not captured", None),  # captured twice
+    )
+    chain = pages.page_chain(found).collect()
+    assert sorted((r.address, r.place) for r in chain) == [
+        ("a1", 0), ("a2", 1), ("a3", 2),
+        ("b1", 0), ("b5", 1), ("b9", 2),
+        ("c1", 0), ("c2", 1), ("c3", 2),
+        ("d1", 0),
+    ]
+    assert pages.page_chain(found.limit(0)).count() == 0
+    first = pages.followed_pages(found.where("crawl <> 'd'"), 2)
+    assert {r.address for r in first.collect()} == {"a1", "a2", "b1", "b5", "c1", "c2"}
+
+
+def test_long_chains_need_few_rounds(spark):
+    rows = [("x", f"p{i}", f"p{i + 1}", None) for i in range(37)]
+    chain = pages.page_chain(linked(spark, *reversed(rows)))
+    assert sorted((r.place, r.address) for r in chain.collect()) == [(i, f"p{i}") for i in range(37)]
+
+
+def test_crawls_with_the_same_numbers_follow_one_another(spark):
+    both = linked(spark, ("b", None, None, 1), ("a", None, "x", 1), ("a", None, None, 2), ("b", None, "x", 0))
+    found = pages.ordered_pages(both).orderBy("page_no").collect()
+    assert [r.articles[0].id for r in found] == [1, 2, 3, 0]
+    assert pages.articles_of(both).count() == 4
+    lost = linked(spark, ("a", "a1", None, None), ("a", "zz", None, None))
+    with pytest.raises(ValueError, match="1 pages have no order"):
+        pages.articles_of(lost)
+    assert pages.articles_of(lost, follow=True).count() == 1

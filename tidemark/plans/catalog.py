@@ -66,6 +66,25 @@ def page_articles(spark, sf_dir):
     )
 
 
+@query
+def page_chain(spark, sf_dir):
+    """Articles in the order of their crawls' links, where numbers tell none."""
+    path = scratch_path(spark, "pages")
+    inputs.unnumbered_dumps(spark, sf_dir).write.json(path)
+    found = pages.articles_of(pages.read_page_dumps(spark, path), follow=True)
+    return found.select("id", "title", "page_no", "pos")
+
+
+@query
+def chain_limit(spark, sf_dir):
+    """The first three pages that each crawl reaches by its links."""
+    path = scratch_path(spark, "pages")
+    inputs.unnumbered_dumps(spark, sf_dir).write.json(path)
+    found = pages.followed_pages(pages.read_page_dumps(spark, path), 3)
+    n_articles = F.size(F.coalesce("articles", F.array())).cast("long")
+    return found.select("crawl", "address", n_articles.alias("n_articles"))
+
+
 @query
 def corpus_sink(spark, sf_dir):
     root = scratch_path(spark, "corpus")
@@ -806,6 +825,21 @@ def incremental_after_lost_batch(spark, sf_dir):
     return after.join(counts, "file_id").select("id", "hash", "file_id", "n_chunks")
 
 
+@query
+def incremental_two_crawls(spark, sf_dir):
+    """Two crawls that both number from 1 arrive in one batch of a stream; of an
+    article in both, the later crawl's form stays."""
+    root = scratch_path(spark, "crawls")
+    now = inputs.articles(spark, sf_dir)
+    again = now.filter(inputs.every(2, "id")).withColumn("title", F.concat("title", F.lit(" (later)")))
+    for crawl, rows in (("2024-06-02", again), ("2024-06-01", now)):
+        _as_pages(rows).withColumn("crawl", F.lit(crawl)).write.json(f"{root}/pages/{crawl}")
+    workspace = Workspace.under(f"{root}/sync")
+    stream = page_dump_stream(spark, f"{root}/pages/*")
+    sync_new_pages(stream, workspace, f"{root}/checkpoint", RunOptions(renderer="flat")).awaitTermination()
+    return snapshot.read_snapshot(spark, workspace.snapshot).select("id", "hash", "slug", "file_id")
+
+
 @query
 def incremental_sync(spark, sf_dir):
     """The snapshot after streaming page dumps in, twice over one checkpoint."""

@@ -173,6 +173,13 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
             FROM pages""",
     ),
     "docs": (("articles",), _documents("articles")),
+    # pages of unnumbered dumps that are in a chain
+    "numbered": ((), "SELECT count(DISTINCT page_id // 10) AS n FROM pages"),
+    "later_articles": (
+        ("articles",),
+        """SELECT * REPLACE (CASE WHEN id % 2 = 0 THEN title || ' (later)' ELSE title END AS title)
+           FROM articles""",
+    ),
     "repeated_articles": (
         ("articles",),
         """SELECT * FROM articles
@@ -379,6 +386,15 @@ ORACLES: dict[str, str] = {
         f"""SELECT id, title, html_url, updated_at, locale, page_no, {_TEXT_KEY}
             FROM (SELECT *, body_html AS text FROM normal WHERE NOT coalesce(draft, false))""",
     ),
+    "page_chain": _sql(
+        "normal numbered",
+        """SELECT id, title, id // 10 % 3 * (SELECT max(n) + 1 FROM numbered) + id // 30 AS page_no,
+                  CAST(row_number() OVER (PARTITION BY id // 10 ORDER BY id) - 1 AS INTEGER) AS pos
+           FROM normal QUALIFY NOT coalesce(any_value(draft) OVER (PARTITION BY id), false)""",
+    ),
+    "chain_limit": """SELECT 'crawl-' || (page_id // 10 % 3) AS crawl, '/articles?after=' || (page_id // 10) AS address,
+                             count(*) AS n_articles
+                      FROM pages WHERE page_id // 30 < 3 GROUP BY page_id // 10""",
     "corpus_sink": _sql("docs", "SELECT filename, id, hash FROM docs"),
     "corpus_source": _sql(
         "docs articles", "SELECT id, title, html_url AS url, hash FROM docs JOIN articles USING (id)"
@@ -705,6 +721,11 @@ ORACLES: dict[str, str] = {
            FROM docs JOIN pieces USING (id) WHERE id % 2 = 0 OR id % 3 <> 0""",
         f"pieces AS (SELECT id, count(*) AS n_chunks FROM ({_chunks('docs', 'id')}) GROUP BY id)",
     ),
+    "incremental_two_crawls": _sql(
+        "later_articles",
+        "SELECT id, hash, slug, 'file_0_' || id AS file_id FROM crawled",
+        f"crawled AS ({_documents('later_articles')})",
+    ),
     "incremental_sync": _sql(
         "normal",
         "SELECT id, hash, slug, 'file_0_' || id AS file_id FROM streamed",

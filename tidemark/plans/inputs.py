@@ -102,6 +102,34 @@ def page_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.unionByName(after)
 
 
+def unnumbered_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page responses of ten articles in three crawls whose numbers tell no order: the
+    first crawl has none, the second counts down, the third starts at 1 like the
+    second. Links lead from page to page; each crawl ends with a page that was
+    captured but belongs to no chain, which holds its articles again."""
+    raw = raw_articles(spark, sf_dir).withColumn("n", F.floor(F.col("id") / 10))
+    fields = [c for c in raw.columns if c not in ("page_no", "pos", "n")]
+    in_order = F.array_sort(F.collect_list(F.struct("id", *[f for f in fields if f != "id"])))
+    listed = F.transform(in_order, lambda a: F.struct(*[a[f].alias(f) for f in fields]))
+    pages = raw.groupBy("n").agg(listed.alias("articles"))
+    top = pages.agg(F.max("n")).scalar()
+    place, crawl = F.floor(F.col("n") / 3), F.col("n") % 3
+    address = F.concat(F.lit("/articles?after="), F.col("n").cast("string"))
+    after = F.concat(F.lit("/articles?after="), (F.col("n") + 3).cast("string"))
+    chain = pages.select(
+        "articles",
+        F.when(F.col("n") + 3 <= top, after).alias("next_page"),
+        F.when(crawl == 1, 1000000 - place).when(crawl == 2, place + 1).alias("page_no"),
+        F.concat(F.lit("crawl-"), crawl.cast("string")).alias("crawl"),
+        address.alias("address"),
+    )
+    stray = chain.where(F.col("address").isin(*[f"/articles?after={n}" for n in range(3)])).select(
+        "articles", F.lit("/articles?after=none").alias("next_page"), F.lit(2000000).cast("long").alias("page_no"),
+        "crawl", F.lit("/stray").alias("address"),
+    )
+    return chain.unionByName(stray)
+
+
 def hinted_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with hinted elements in several quotings, and ordered lists, tables
     and entities added to some."""

@@ -13,9 +13,12 @@ RAW_ARTICLE = _struct(
     id=_LONG, title=_STR, body=_STR, html_url=_STR, updated_at=_STR, locale=_STR, draft=_BOOL
 )
 
-# One captured page response. `page_no` and `crawl` are written by the capture;
-# dumps without them get the number from their file name, the crawl from its folder.
-PAGE = _struct(articles=T.ArrayType(RAW_ARTICLE), next_page=_STR, page_no=_LONG, crawl=_STR)
+# One captured page response. `page_no`, `crawl` and `address` are written by the
+# capture; dumps without them get the number from their file name, the crawl from its
+# folder. `address` is the page's own, which another one's `next_page` names.
+PAGE = _struct(
+    articles=T.ArrayType(RAW_ARTICLE), next_page=_STR, page_no=_LONG, crawl=_STR, address=_STR
+)
 
 # `(page_no, pos)` is the source order: it decides which of several rows with
 # one id is the earlier one.

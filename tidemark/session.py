@@ -84,6 +84,9 @@ class Scratch:
         return self
 
     def __exit__(self, *_: object) -> None:
+        self.close()
+
+    def close(self) -> None:
         for path in self.paths:
             delete_path(self.spark, path)
 
