@@ -178,3 +178,28 @@ def test_auto_takes_the_renderer_that_the_markup_needs(spark):
     )
     texts = {r.id: r.md_text.split("\n\n", 2)[2] for r in render_documents(articles).collect()}
     assert texts == {0: "x\n", 1: "*   a\n    *   b\n", 2: "\n"}
+
+
+def test_markup_is_stripped_once_in_the_plan(spark):
+    """`auto` asks several things of the stripped markup, which is computed once."""
+    columns = "id long, page_no long, pos int, title string, html_url string, updated_at string, body_html string"
+    rows = spark.createDataFrame([], columns)
+    documents = render_documents(rows, "auto").select("hash")
+    plan = documents._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"<noscript\b") == 1
+
+
+@pytest.mark.parametrize(
+    "markup,text",
+    [
+        ("caf&eacute; &#8217;s &#x2014; &copy;", "café ’s — ©"),
+        ("&#150;&#146;", "–’"),
+        ("&nope; &amp;lt; & &;", "&nope; &lt; & &;"),
+        ("&#0;&#xD800;&#x110000;", "���"),
+        ("&#128512;&#x1F600;", "\U0001f600\U0001f600"),
+        ("", ""),
+    ],
+)
+def test_character_references(spark, markup, text):
+    found = spark.createDataFrame([(markup,)], "t string").select(hx.decode_references(F.col("t")))
+    assert found.first()[0] == text

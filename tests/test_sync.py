@@ -261,7 +261,7 @@ def test_one_id_with_a_third_of_all_rows(spark, workspace):
 
 def test_renderer_version_is_recorded(spark, workspace):
     run(spark, articles(spark, (1, "a")), workspace)
-    assert state(spark, workspace)[1].renderer_version == "auto-2"
+    assert state(spark, workspace)[1].renderer_version == "auto-3"
 
 
 def stream(spark, path, workspace, tmp_path):

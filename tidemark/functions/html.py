@@ -8,9 +8,14 @@ goes through `operators.render`, which reads the markup element by element;
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.words import bind
+
 # Elements dropped with all they hold.
 STRIP_TAGS = ("nav", "script", "style", "noscript", "iframe", "form", "header", "footer")
 
@@ -74,15 +79,17 @@ FLAT_RULES = (
     (r"<[^>]+>", ""),
 )
 
-# Decoded last; the ampersand after all others.
-ENTITIES = (
-    ("&nbsp;", "\u00a0"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&amp;", "&"),
-)
+# References to characters by number or by name. Decoded last, in one pass, so that
+# what they make is not read as a reference again.
+REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+# What HTML reads numbers from 128 to 159 as: Windows-1252, where it has a character.
+_WINDOWS = {
+    f"&#{n};": bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (129, 141, 143, 144, 157)
+}
+_NAMED = {f"&{name}": text for name, text in html5.items() if name.endswith(";")}
+_FREQUENT = {f"&{name};": _NAMED[f"&{name};"] for name in ("amp", "nbsp", "quot", "lt", "gt")}
+_UNKNOWN = "\ufffd"
 
 
 def _segments(html: Column, pattern: str, outside, inside) -> Column:
@@ -104,13 +111,48 @@ def _numbered(ordered: Column) -> Column:
     return F.concat(F.lit("\n\n"), F.array_join(lines, ""), F.lit("\n\n"))
 
 
+def _numbered_character(reference: Column) -> Column:
+    """The character of `&#...;`, the replacement character where there is none."""
+    digits = F.substring(reference, 3, 7)
+    code = F.when(
+        F.lower(F.substring(reference, 3, 1)) == "x",
+        F.conv(F.regexp_extract(reference, "^&#[xX]([0-9a-fA-F]+)", 1), 16, 10),
+    ).otherwise(F.regexp_extract(digits, "^([0-9]+)", 1)).cast("long")
+
+    def character(n: Column) -> Column:
+        valid = ((n > 0) & (n < 0xD800)) | ((n > 0xDFFF) & (n < 0x110000))
+        known = F.element_at(_table(_WINDOWS), F.concat(F.lit("&#"), n.cast("string"), F.lit(";")))
+        decoded = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        return F.when(n.between(128, 159) & known.isNotNull(), known).when(valid, decoded).otherwise(_UNKNOWN)
+
+    return bind(code, character)
+
+
+def _table(texts: dict[str, str]) -> Column:
+    """A map from one literal, which the planner reads once."""
+    return F.from_json(F.lit(json.dumps(texts)), "map<string,string>")
+
+
+def decode_references(text: Column) -> Column:
+    """All numbered and named character references; unknown names stay as they are."""
+
+    def character(reference: Column) -> Column:
+        # a map is searched from its start: the frequent names have one of their own
+        tables = (F.element_at(_table(names), reference) for names in (_FREQUENT, _NAMED))
+        named = F.coalesce(*tables, reference)
+        return F.when(reference.startswith("&#"), _numbered_character(reference)).otherwise(named)
+
+    def decoded(own: Column) -> Column:
+        return F.when(own.contains("&"), _segments(own, REFERENCE, lambda t: t, character)).otherwise(own)
+
+    return bind(text, decoded)
+
+
 def _flat_text(html: Column) -> Column:
-    html = _segments(html, ORDERED_LIST, lambda text: text, _numbered)
+    html = bind(html, lambda own: _segments(own, ORDERED_LIST, lambda text: text, _numbered))
     for pattern, replacement in FLAT_RULES:
         html = F.regexp_replace(html, pattern, replacement)
-    for entity, char in ENTITIES:
-        html = F.replace(html, F.lit(entity), F.lit(char))
-    return html
+    return decode_references(html)
 
 
 def flat_markdown(html: Column) -> Column:
@@ -119,7 +161,21 @@ def flat_markdown(html: Column) -> Column:
     def kept(table: Column) -> Column:
         return F.concat(F.lit("\n\n"), table, F.lit("\n\n"))
 
-    return _segments(html, TABLE, _flat_text, kept)
+    return bind(html, lambda own: _segments(own, TABLE, _flat_text, kept))
+
+
+def plain_or_needed(html: Column) -> Column:
+    """Struct of `needed`, whether the element renderer is, and else `plain`, the flat
+    Markdown. The markup is stripped once, whatever is asked of it."""
+
+    def struct(stripped: Column) -> Column:
+        def chosen(needed: Column) -> Column:
+            plain = F.when(~needed, flat_markdown(strip_class_hints(stripped)))
+            return F.struct(needed.alias("needed"), plain.alias("plain"))
+
+        return bind(needs_element_renderer(stripped), chosen)
+
+    return bind(strip_elements(html), struct)
 
 
 def needs_element_renderer(html: Column) -> Column:

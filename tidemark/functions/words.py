@@ -16,7 +16,7 @@ def distinct_words(text: Column) -> Column:
     return F.array_distinct(words(text))
 
 
-def _bind(value: Column, use) -> Column:
+def bind(value: Column, use) -> Column:
     """`use(value)` with `value` computed once however often it is named."""
     return F.element_at(F.transform(F.array(value), use), 1)
 
@@ -46,6 +46,6 @@ def word_counts(text: Column) -> Column:
                 ),
             )
 
-        return F.when(n > 0, _bind(starts, measure))
+        return F.when(n > 0, bind(starts, measure))
 
-    return _bind(F.sort_array(words(text)), runs)
+    return bind(F.sort_array(words(text)), runs)

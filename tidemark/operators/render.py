@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -23,7 +23,7 @@ from tidemark.functions import text as tx
 from tidemark.functions.markdown import MarkdownReader
 from tidemark.operators.chunking import MAX_TOKENS, OVERLAP_TOKENS
 
-RENDERER_VERSION = {"flat": "flat-2", "full": "full-2", "auto": "auto-2"}
+RENDERER_VERSION = {"flat": "flat-3", "full": "full-2", "auto": "auto-3"}
 
 
 @F.pandas_udf(StringType())
@@ -34,17 +34,20 @@ def full_markdown(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield html.map(lambda text: None if text is None else reader.render(text))
 
 
-def markdown_body(html: Column, renderer: str) -> Column:
+def with_body(articles: DataFrame, renderer: str) -> DataFrame:
+    """`articles` with `_body`, the rendered `body_html`."""
+    html = F.col("body_html")
     if renderer == "full":
-        return full_markdown(F.coalesce(html, F.lit("")))
+        return articles.withColumn("_body", full_markdown(F.coalesce(html, F.lit(""))))
+    if renderer == "flat":
+        return articles.withColumn("_body", flat.flat_markdown(flat.clean_html(html)))
     if renderer == "auto":
-        stripped = flat.strip_elements(html)
-        needed = flat.needs_element_renderer(stripped)
-        plain = flat.flat_markdown(flat.strip_class_hints(stripped))
+        # a column of its own, which is computed once for all its uses
+        read = articles.withColumn("_read", flat.plain_or_needed(html))
+        needed = F.col("_read.needed")
         # a UDF inside `when` runs for all rows, so it is given only what it is for
-        return F.when(needed, full_markdown(F.when(needed, html))).otherwise(plain)
-    if renderer == "flat":
-        return flat.flat_markdown(flat.clean_html(html))
+        body = F.when(needed, full_markdown(F.when(needed, html))).otherwise(F.col("_read.plain"))
+        return read.withColumn("_body", body)
     raise ValueError(f"unknown renderer: {renderer}")
 
 
@@ -55,7 +58,7 @@ def render_documents(
     overlap: int = OVERLAP_TOKENS,
 ) -> DataFrame:
     """One document per article, with what the later steps need of it."""
-    body = tx.tidy_body(markdown_body(F.col("body_html"), renderer))
+    articles, body = with_body(articles, renderer), tx.tidy_body(F.col("_body"))
     rendered = articles.select(
         "id",
         "page_no",

@@ -6,7 +6,7 @@ Common inputs are views written as CTEs; each query lists those it needs.
 from __future__ import annotations
 
 from tidemark.functions.text import JS_WHITESPACE
-from tidemark.plans.inputs import HINTED, ORDERED, TABLE
+from tidemark.plans.inputs import HINTED, ORDERED, REFERENCES, TABLE
 
 
 def _literal(text: str) -> str:
@@ -28,6 +28,8 @@ _HINTS = "nav|breadcrumb|share|social|advert|ad-|cookie|subscribe"
 #: Elements that carry a class in the given and planted markup.
 _CLASSED = "div section li".split()
 _ENTITIES = (
+    ("&eacute;", "é"), ("&#8217;", "’"), ("&#x2014;", "—"), ("&copy;", "©"), ("&#150;", "–"),
+    ("&middot;", "·"), ("&#0;", "�"), ("&#128512;", "😀"),
     ("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"),
 )
 
@@ -169,6 +171,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                      CASE WHEN page_id % 3 = 0 THEN {_literal(ORDERED)} ELSE '' END
                      || CASE WHEN page_id % 4 = 0 THEN {_literal(TABLE)} ELSE '' END
                      || CASE WHEN page_id % 5 = 0 THEN {_literal(HINTED)} ELSE '' END
+                     || CASE WHEN page_id % 2 = 0 THEN {_literal(REFERENCES)} ELSE '' END
                      || '</article>') AS html
             FROM pages""",
     ),

@@ -18,6 +18,7 @@ from tidemark.sources.pages import PER_PAGE
 # Markup planted into pages.
 ORDERED = "<ol><li>first of <b>two</b></li><li>second</li></ol>"
 TABLE = "<table><tr><td>R&amp;D</td><td><b>3</b></td></tr></table>"
+REFERENCES = "<p>caf&eacute; it&#8217;s &#x2014; &copy; &#150; &nope; &amp;lt; &#0; &#128512;</p>"
 HINTED = "<li class=nav-item>go</li><section class='share'>gone</section>"
 
 CRAWL_TIME = "2024-01-01T00:00:00Z"
@@ -138,6 +139,7 @@ def hinted_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(every(3, "page_id"), F.lit(ORDERED)).otherwise(""),
         F.when(every(4, "page_id"), F.lit(TABLE)).otherwise(""),
         F.when(every(5, "page_id"), F.lit(HINTED)).otherwise(""),
+        F.when(every(2, "page_id"), F.lit(REFERENCES)).otherwise(""),
         F.lit("</article>"),
     )
     html = F.replace(F.col("html"), F.lit('class="ad"'), slot)
