@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +40,8 @@ DIGEST = 32
 BLOCK_NODES = FANOUT**HEIGHT
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
-LEAVES = "tree string, pos long, doc_id long, lang string, leaf binary, tampered binary"
-BLOCKS = "tree string, block long, height int, n long, nodes binary, root binary"
+LEAVES = "tree string, pos long, total long, doc_id long, lang string, leaf binary, tampered binary"
+BLOCKS = "tree string, block long, total long, height int, n long, nodes binary, root binary"
 PATHS = "tree string, block long, path binary"
 
 
@@ -179,7 +179,8 @@ def leaf_rows(docs: DataFrame) -> DataFrame:
 
 
 def numbered(rows: DataFrame, order: list[str], scratch: Scratch) -> DataFrame:
-    """`rows` with `pos`: their rank from 0 within their `tree`, by `order`.
+    """`rows` with `pos`, their rank from 0 within their `tree` by `order`, and `total`,
+    the rows of the tree.
 
     Rows are dealt by ranges of (tree, order), so that a tree of any size is
     spread; a rank is the rows before it in its task and those of its tree in the
@@ -196,10 +197,13 @@ def numbered(rows: DataFrame, order: list[str], scratch: Scratch) -> DataFrame:
     runs = dealt.groupBy("tree", "part").agg(F.min("row").alias("first"), F.count("*").alias("n"))
     earlier = Window.partitionBy("tree").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = runs.select(
-        "tree", "part", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("base")
+        "tree",
+        "part",
+        (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("base"),
+        F.sum("n").over(Window.partitionBy("tree")).alias("total"),
     )
     pos = (F.col("row") + F.col("base")).alias("pos")
-    return dealt.join(starts, ["tree", "part"]).select(*rows.columns, pos)
+    return dealt.join(starts, ["tree", "part"]).select(*rows.columns, pos, "total")
 
 
 # Blocks
@@ -226,17 +230,17 @@ def _block_row(key: tuple, rows: pa.Table) -> pa.Table:
     rows = rows.sort_by("pos")
     n = rows.num_rows
     # a block beside others stands for `HEIGHT` levels, however few nodes it has
-    height = HEIGHT if rows.column("wide")[0].as_py() else height_of(n)
+    total = rows.column("total")[0].as_py()
+    height = HEIGHT if total > BLOCK_NODES else height_of(n)
     nodes = built([digest.hex() for digest in rows.column("digest").to_pylist()], height)
     tree, block = (k.as_py() for k in key)
-    return _table(BLOCKS, [(tree, block, height, n, nodes, nodes[:DIGEST])])
+    return _table(BLOCKS, [(tree, block, total, height, n, nodes, nodes[:DIGEST])])
 
 
 def _blocks(lowest: DataFrame) -> DataFrame:
-    """Blocks over rows of (tree, pos, digest)."""
+    """Blocks over rows of (tree, pos, total, digest)."""
     block = F.floor(F.col("pos") / BLOCK_NODES).alias("block")
-    several = lowest.groupBy("tree").agg((F.max("pos") >= BLOCK_NODES).alias("wide"))
-    rows = lowest.join(several, "tree").select("tree", block, "pos", "digest", "wide")
+    rows = lowest.select("tree", block, "pos", "total", "digest")
     return rows.groupBy("tree", "block").applyInArrow(_block_row, BLOCKS)
 
 
@@ -248,11 +252,14 @@ def _stages(lowest: DataFrame, folder: str) -> list[DataFrame]:
         path = f"{folder}-{len(stages)}"
         _blocks(lowest).write.parquet(path)
         stages.append(spark.read.schema(BLOCKS).parquet(path))
-        open_trees = stages[-1].where("block > 0").select("tree").distinct()
-        if stages[-1].where("block > 0").isEmpty():
+        unfinished = stages[-1].where(F.col("total") > BLOCK_NODES)
+        if unfinished.isEmpty():
             return stages
-        lowest = stages[-1].join(open_trees, "tree", "left_semi").select(
-            "tree", F.col("block").alias("pos"), F.col("root").alias("digest")
+        lowest = unfinished.select(
+            "tree",
+            F.col("block").alias("pos"),
+            F.ceil(F.col("total") / BLOCK_NODES).alias("total"),
+            F.col("root").alias("digest"),
         )
 
 
@@ -274,14 +281,8 @@ class Manifest:
 
 def _tree_roots(stages: list[DataFrame]) -> DataFrame:
     """(tree, digest) of each tree, from the stage at which it is one block."""
-    found = None
-    for stage in stages:
-        single = stage.groupBy("tree").agg(
-            F.max("block").alias("last"), F.min_by("root", "block").alias("digest")
-        )
-        single = single.where("last = 0").select("tree", "digest")
-        found = single if found is None else found.unionByName(single)
-    return found
+    whole = [stage.where(F.col("total") <= BLOCK_NODES) for stage in stages]
+    return reduce(DataFrame.unionByName, whole).select("tree", F.col("root").alias("digest"))
 
 
 def write_manifest(docs: DataFrame, folder: str) -> Manifest:
@@ -298,14 +299,14 @@ def write_manifest(docs: DataFrame, folder: str) -> Manifest:
         placed = numbered(rows, ["doc_id", "leaf"], scratch)
         placed.select([c.split()[0] for c in LEAVES.split(", ")]).write.parquet(f"{folder}/leaves")
         leaves = spark.read.schema(LEAVES).parquet(f"{folder}/leaves")
-        stages = _stages(leaves.select("tree", "pos", F.col("leaf").alias("digest")), f"{folder}/stage")
+        stages = _stages(leaves.select("tree", "pos", "total", F.col("leaf").alias("digest")), f"{folder}/stage")
         roots = scratch.staged(_tree_roots(stages), "merkle-roots")
         one_tree = roots.select(F.lit("").alias("tree"), F.col("tree").alias("name"), "digest")
         numbered(one_tree, ["name"], scratch).write.parquet(f"{folder}/subroots")
         subroots = spark.read.schema(
-            "tree string, name string, digest binary, pos long"
+            "tree string, name string, digest binary, pos long, total long"
         ).parquet(f"{folder}/subroots")
-        top = _stages(subroots.select("tree", "pos", "digest"), f"{folder}/top")
+        top = _stages(subroots.select("tree", "pos", "total", "digest"), f"{folder}/top")
     return Manifest(leaves, stages, subroots, top)
 
 
