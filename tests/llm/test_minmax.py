@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tests.llm.conftest import ODD, SAME
-from tidemark.llm import links, minmax_join
+from tidemark.llm import links, minmax_join, parity_join
 from tidemark.llm.shingles import linked, shared, shingle_sets
 
 
@@ -75,6 +75,22 @@ def test_links_that_the_pivot_does_not_have_are_found(spark):
     assert {tuple(r) for r in found.collect()} == plain(rows)
 
 
+def test_texts_just_below_the_threshold_are_hardly_read():
+    """Sketches rule out pairs that are alike but do not link."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 63, 300).astype(np.uint64) * np.uint64(2)
+    sets = []
+    for _ in range(200):
+        kept = rng.permutation(base)[:268]
+        sets.append(np.unique(np.r_[kept, rng.integers(0, 1 << 63, 32).astype(np.uint64)]))
+    sizes = np.array([len(s) for s in sets])
+    found = parity_join.near(
+        np.arange(200), np.zeros(200), sizes, [parity_join.bit_sketch(s) for s in sets], True, 85
+    )
+    linking = sum(linked(a, b, 85) for a, b in itertools.combinations(sets, 2))
+    assert linking <= len(found[0]) <= linking + 100
+
+
 def test_signatures_estimate_similarity_without_bias():
     rng = np.random.default_rng(1)
     for kept, total in ((85, 100), (30, 100), (450, 500)):
@@ -98,8 +114,9 @@ def test_pairs_at_the_threshold_share_a_band_and_pass():
         x, y = minmax_join.signatures([a, b])
         keys = minmax_join.band_keys(np.stack([x, y]))
         assert (keys[0] == keys[1]).any()
-        sketch = [s.tobytes() for s in minmax_join.sketches(np.stack([x, y]))]
-        assert minmax_join.may_link(*sketch, len(a), len(b))
+        if linked(a, b, 85):
+            sketch = parity_join.bit_sketch(a), parity_join.bit_sketch(b)
+            assert parity_join.may_link(*sketch, len(a), len(b), 85)
 
 
 def test_unrelated_sets_share_no_band():

@@ -9,7 +9,7 @@ import pytest
 import corpus_pipeline
 from tests.compare import differences, oracle_connection
 from tests.llm.conftest import ODD, SAME
-from tidemark.llm import languages, line_templates, parity_join, pii
+from tidemark.llm import languages, line_templates, links, parity_join, pii
 from tidemark.llm.components import components
 from tidemark.llm.oracle import ORACLES
 from tidemark.llm.queries import QUERIES
@@ -281,8 +281,8 @@ def near_copies(seed, groups=12, most=14):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components_equal_all_pairs(spark, seed, monkeypatch):
     monkeypatch.setattr(parity_join, "GATHERED", 500)
-    monkeypatch.setattr(parity_join, "BLOCK", 8)
-    monkeypatch.setattr(parity_join, "CHECKED", 4)
+    monkeypatch.setattr(links, "BLOCK", 8)
+    monkeypatch.setattr(links, "CHECKED", 4)
     rows = near_copies(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     found = parity_join.linked_documents(df).collect()
@@ -306,6 +306,21 @@ def test_linked_sets_share_a_key_and_pass_the_sketches():
     assert checked > 200
 
 
+def test_parts_leave_some_untouched_and_empty_ones_are_seldom_keys():
+    """Exact where a difference leaves a used part untouched; unrelated sets share no key."""
+    for d in parity_join.GRID[parity_join.GRID < parity_join.MOST_PARTS].tolist():
+        parts, used, untouched = parity_join.parts_of(d)
+        assert untouched >= 1 and used <= parts and untouched == used - d
+    rng = np.random.default_rng(3)
+    shared = {}
+    for n in (1000, 4000):
+        sets = [np.unique(rng.integers(1, 1 << 63, 120).astype(np.uint64) * np.uint64(2)) for _ in range(n)]
+        keys, counts = np.unique(np.concatenate([parity_join.part_keys(s) for s in sets]), return_counts=True)
+        shared[n] = int((counts * (counts - 1) // 2).sum())
+        assert counts.max() <= 3
+    assert shared[4000] <= 4 * shared[1000] + 40
+
+
 def test_near_copies_of_odd_rows(odd, none):
     rows = {tuple(r) for r in parity_join.linked_documents(odd).collect()}
     empty = {(1, 0, 1), (2, 0, 2), (6, 0, 6)}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.session import Scratch
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """`node`, `label`: the smallest node reachable, for every node but those labels.
 
     `edges` has long columns `a` and `b`. Each round hangs the larger neighbours
@@ -16,7 +16,8 @@ def components(edges: DataFrame) -> DataFrame:
     (small star), until only stars around the smallest nodes are left. Rounds
     grow with the logarithm of the longest path; each is written to the shared
     folder, so that a lost executor costs one round. Neighbourhoods are never
-    gathered: minima are aggregates and go back to the edges by a join.
+    gathered: minima are aggregates and go back to the edges by a join. The result
+    is the last round's table, which `scratch` deletes in the end.
     """
     high, low = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     held = Scratch(edges.sparkSession)
@@ -29,6 +30,8 @@ def components(edges: DataFrame) -> DataFrame:
         held, mark = written, _mark(now)
         if mark == before:
             break
+    if scratch:
+        scratch.paths += held.paths
     return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 

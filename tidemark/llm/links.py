@@ -238,19 +238,45 @@ def linked_components(
         .select("a", "b")
     )
     pairs = scratch.staged(ordered(pairs), "link-pairs")
-    allowed = scratch.staged(passing(pairs, nodes, may), "link-allowed")
-    links = scratch.staged(verified(allowed, docs, percent, scratch), "links")
+
+    def links_of(some: DataFrame, name: str) -> DataFrame:
+        allowed = scratch.staged(passing(some, nodes, may), f"{name}-allowed")
+        return scratch.staged(verified(allowed, docs, percent, scratch), f"{name}-links")
+
+    # each document with the smallest it is paired with, then what is still apart
+    first = scratch.staged(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
+    links = links_of(first, "first")
     # the sets of a repeated id belong together
     same_id = reps.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"))
     same_id = reps.join(same_id.where("a < z"), "doc_id").select("a", F.col("rep").alias("b"))
-    labels = components(links.union(same_id))
-    failed = pairs.join(links, ["a", "b"], "left_anti")
-    rest = ordered(left_over(shared, failed, reps, nodes, labels, near))
-    rest = scratch.staged(rest, "links-left-over")
-    more = scratch.staged(verified(rest, docs, percent, scratch), "more-links")
+    labels = components(links.union(same_id), scratch)
+    second = _apart(pairs, labels).join(first, ["a", "b"], "left_anti")
+    labels = _merged(labels, links_of(scratch.staged(second, "second-pairs"), "second"), scratch)
+    # a pair of a key's other documents is left to find only where one of them is
+    # apart from the pivot
+    rest = left_over(shared, _apart(pairs, labels), reps, nodes, labels, near)
+    rest = scratch.staged(ordered(rest), "links-left-over")
+    labels = _merged(labels, verified(rest, docs, percent, scratch), scratch)
     named = labelled(reps.toDF("doc_id", "node"), "node", labels)
-    if not more.isEmpty():
-        # what links components is a small graph over their labels
-        between = labelled(labelled(more, "a", labels), "b", labels)
-        named = labelled(named, "node", components(between))
     return named.groupBy("doc_id").agg(F.min("node").alias("component_id"))
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs whose documents are in different components."""
+    one, two = labels.toDF("a", "one"), labels.toDF("b", "two")
+    joined = pairs.join(one, "a", "left").join(two, "b", "left")
+    return joined.where(F.coalesce("one", "a") != F.coalesce("two", "b")).select("a", "b")
+
+
+def _merged(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """`labels` after some more links. What joins components is a small graph over
+    their labels."""
+    between = labelled(labelled(links, "a", labels), "b", labels)
+    between = scratch.staged(between.where("a <> b").distinct(), "links-between")
+    if between.isEmpty():
+        return labels
+    joined = components(between, scratch)
+    moved = labels.join(joined.toDF("label", "to"), "label", "left")
+    moved = moved.select("node", F.coalesce("to", "label").alias("label"))
+    # labels that moved are nodes themselves from now on
+    return scratch.staged(moved.unionByName(joined), "links-labels")

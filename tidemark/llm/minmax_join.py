@@ -12,9 +12,9 @@ with a chance of about s**6, so a pair at the threshold of 0.85 shares none of t
 32 with a chance of about 3e-7, one of similarity 0.9 with 1e-11. This is the only
 place where the join can miss a link; all that follows is exact.
 
-Sketch. One byte of each value estimates the similarity of two sets. Pairs whose
-estimate is more than `SLACK` = 0.25 below the threshold are ruled out, which goes
-wrong for a linked pair with a chance below 1e-10 (Hoeffding over 192 values).
+Pairs are first held to their parity sketches, whose Hamming distance is at most
+the symmetric difference (`parity_join.bit_sketch`): among thousands of texts that
+are alike but below the threshold, hardly a pair is left to read again.
 
 Pairs with a key's smallest document are checked first, then what is still in
 different components, all on the full sets (`links`). Equal sets are one node from
@@ -30,12 +30,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import SLICE_CHARS, mix64, seeded, text_slices
 from tidemark.llm.links import copies_of_sets, linked_components
+from tidemark.llm.parity_join import bit_sketch, may_link, near
 from tidemark.llm.shingles import digest, shingle_sets
 from tidemark.session import Scratch, scratch_path
 
 #: Similarity in percent from which documents link.
 PERCENT = 85
-PERMUTATIONS, BANDS, SLACK = 96, 32, 0.25
+PERMUTATIONS, BANDS = 96, 32
 VALUES = 2 * PERMUTATIONS
 _FLIP, _ODD = seeded("min-max flip", PERMUTATIONS), seeded("min-max odd", PERMUTATIONS) | np.uint64(1)
 _BAND = seeded("min-max band", BANDS)
@@ -67,44 +68,6 @@ def band_keys(made: np.ndarray) -> np.ndarray:
     return key
 
 
-def sketches(made: np.ndarray) -> np.ndarray:
-    """One byte of each value: sets x `VALUES`."""
-    return (mix64(made) >> np.uint64(56)).astype(np.uint8)
-
-
-def least_equal(percent: int) -> float:
-    """Equal bytes that a sketch needs. Unequal values agree in one of 256 bytes."""
-    s = percent / 100 - SLACK
-    return VALUES * (s + (1 - s) / 256)
-
-
-def may_link(a: bytes, b: bytes, size_a: int, size_b: int, percent: int = PERCENT) -> bool:
-    if 100 * min(size_a, size_b) < percent * max(size_a, size_b):
-        return False
-    equal = np.frombuffer(a, np.uint8) == np.frombuffer(b, np.uint8)
-    return int(equal.sum()) >= least_equal(percent)
-
-
-def near(labels, blocks, sizes, held, inner, percent: int = PERCENT):
-    """Places of pairs from two components (and blocks, unless `inner`) that may link."""
-    matrix = np.stack([np.frombuffer(s, np.uint8) for s in held])
-    least = least_equal(percent)
-    out_x, out_y = [], []
-    for at in range(len(matrix) - 1):
-        rest = slice(at + 1, None)
-        open_ = labels[rest] != labels[at]
-        if not inner:
-            open_ &= blocks[rest] != blocks[at]
-        small, large = np.minimum(sizes[rest], sizes[at]), np.maximum(sizes[rest], sizes[at])
-        to = at + 1 + np.flatnonzero(open_ & (100 * small >= percent * large))
-        if len(to):
-            to = to[(matrix[to] == matrix[at]).sum(axis=1) >= least]
-            out_x.append(np.full(len(to), at))
-            out_y.append(to)
-    none = np.empty(0, dtype=np.int64)
-    return np.concatenate([none, *out_x]), np.concatenate([none, *out_y])
-
-
 def described(docs: DataFrame) -> DataFrame:
     """`doc_id`, `n_shingles`, digests `da`, `db`, `sketch` and `keys` of every row."""
 
@@ -117,10 +80,8 @@ def described(docs: DataFrame) -> DataFrame:
             keys: list[np.ndarray | None] = [None] * len(sets)
             if len(full):
                 made = signatures([sets[i] for i in full])
-                for i, sketch, key in zip(
-                    full.tolist(), sketches(made), band_keys(made).view(np.int64), strict=True
-                ):
-                    held[i], keys[i] = sketch.tobytes(), key
+                for i, key in zip(full.tolist(), band_keys(made).view(np.int64), strict=True):
+                    held[i], keys[i] = bit_sketch(sets[i]), key
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column(0),

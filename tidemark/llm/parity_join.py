@@ -4,58 +4,50 @@ Two sets link when 100 * intersection >= 80 * union. Then their sizes a, b are
 within a factor of 0.8, and their symmetric difference is at most D = (a + b) / 9.
 
 Pigeonhole. A size band covers the pairs whose D lies between two grid values;
-d is the higher. Shingle hashes are cut into P = d + 1 ranges, the parts. The
-XOR of the hashes in each part is the set's parity there. A difference of at most
-d shingles leaves at least one part untouched, so linked sets of a band agree on
-the parity of a part, and (band, part, parity) is the join key. A set is in every
-band that its possible partners lead to, mostly two.
-
-A pair at the very threshold is missed by one part with a chance of at most
-1 - 1/e, so `MOST_PARTS` = 96 parts of a larger P miss it with a chance of about
-2**-62, counting that the part needs a member. Empty parts, which any two sets may
-share, are keys only where P is below `SPARSE` = 48; there the pigeonhole is
-exact. The grid's P of 52, 64 and 79 find a pair at the threshold only by an
-untouched part with a member, and miss it with a chance of about 2**-34, 2**-42
-and 2**-51.
+d is the higher. Shingle hashes are cut into P ranges, the parts. The XOR of the
+hashes in each part is the set's parity there. A difference of at most d shingles
+leaves at least one part untouched, so linked sets of a band agree on the parity
+of a part, and (band, part, parity) is the join key. A set is in every band that
+its possible partners lead to, mostly two.
+
+Empty parts. Any two sets may share an empty part, so such a part would be a key
+that joins unrelated sets. P is therefore larger than d + 1: P - d parts are
+untouched, about a third of d + 1. If one set of a linked pair has fewer empty
+parts than that, one of the untouched parts has a member in it, and so in both.
+Only sets with P - d empty parts or more have keys for empty parts as well.
+
+Odds. Of a larger P, the first `MOST_PARTS` = 96 are used. Up to d = 95 (sets of
+about 430 shingles) at least 96 - d of those are untouched, and the pigeonhole is
+exact. Beyond that, a part is touched by a pair at the very threshold with a
+chance of about 1 - exp(-1/1.3) = 0.54, or empty, so all 96 are with one of 2**-82.
 
 Candidates. A key's smallest document is paired with each of the others, first
 within a task, so that a key that very many documents share leaves a task as one
 row, then among tasks. Pairs are checked against one-bit parity sketches, whose
 Hamming distance is at most the symmetric difference, then exactly on the sets.
 
-Whole results. A pair of a key's other documents could still link. So for keys
-with a pair that failed, all documents that are not in one component by then are
-compared sketch against sketch, in blocks of at most `BLOCK` documents, and what
-the sketches allow is checked exactly.
-
-Equal sets are one node from the start, whose document is the smallest.
+Equal sets are one node from the start, whose document is the smallest. From the
+candidates on, the work is that of `links`.
 """
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SLICE_CHARS, mix64, seeded, text_slices
-from tidemark.llm.components import components
-from tidemark.llm.shingles import digest, linked, shingle_sets
-from tidemark.session import Scratch, staged
+from tidemark.llm.links import copies_of_sets, linked_components
+from tidemark.llm.shingles import digest, shingle_sets
+from tidemark.session import Scratch, scratch_path
 
-MOST_PARTS, SPARSE = 96, 48
+PERCENT = 80
+MOST_PARTS = 96
 #: Keys that a task gathers before it pairs them and hands them on.
 GATHERED = 500_000
-#: Documents of a key that are compared in one block.
-BLOCK = 512
-#: Members of a hot document's pairs that one task checks.
-CHECKED = 128
 #: A sketch has 2**11 cells or more.
 LEAST_BITS = 11
-#: Ids (8 bytes each) that are broadcast to pick out texts; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
 
 
 def _grid() -> np.ndarray:
@@ -75,22 +67,30 @@ def bands(size: int) -> range:
     return range(int(low), int(high) + 1)
 
 
+def parts_of(d: int) -> tuple[int, int, int]:
+    """Parts for a difference of `d`, those used, and how many of these it leaves
+    untouched at least."""
+    parts = d + 1 + max(2, -(-3 * (d + 1) // 10))
+    used = min(parts, MOST_PARTS)
+    return parts, used, used - d
+
+
 def part_keys(hashes: np.ndarray) -> np.ndarray:
     """The join keys of a set's parts in all its bands."""
     out = []
     for band in bands(len(hashes)):
-        parts = int(GRID[band]) + 1
+        parts, used, untouched = parts_of(int(GRID[band]))
         part = (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
-        first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-        parity = np.bitwise_xor.reduceat(hashes, first)
-        part = part[first]
-        if parts < SPARSE:
-            full = np.zeros(parts, dtype=np.uint64)
+        part = part[: np.searchsorted(part, used)]
+        if len(part):
+            first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+            parity, part = np.bitwise_xor.reduceat(hashes[: len(part)], first), part[first]
+        else:
+            parity = np.empty(0, dtype=np.uint64)
+        if 0 < untouched <= used - len(part):
+            full = np.zeros(used, dtype=np.uint64)
             full[part] = parity
-            part, parity = np.arange(parts), full
-        elif parts > MOST_PARTS:
-            used = part < MOST_PARTS
-            part, parity = part[used], parity[used]
+            part, parity = np.arange(used), full
         out.append(mix64(mix64(parity) ^ (_BAND[band] + part.astype(np.uint64) * _STEP)))
     return np.concatenate(out)
 
@@ -115,14 +115,19 @@ def folded(sketch: np.ndarray, words: int) -> np.ndarray:
     return sketch
 
 
-def may_link(a: bytes, b: bytes, size_a: int, size_b: int) -> bool:
+def most_apart(sizes, percent: int):
+    """The symmetric difference that two linked sets of `sizes` members have at most."""
+    return sizes * (100 - percent) // (100 + percent)
+
+
+def may_link(a: bytes, b: bytes, size_a: int, size_b: int, percent: int = PERCENT) -> bool:
     """False only if the sizes or the sketches rule a link out."""
-    if 5 * min(size_a, size_b) < 4 * max(size_a, size_b):
+    if 100 * min(size_a, size_b) < percent * max(size_a, size_b):
         return False
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
     words = min(len(x), len(y))
     apart = int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum())
-    return apart <= (size_a + size_b) // 9
+    return apart <= most_apart(size_a + size_b, percent)
 
 
 def described(docs: DataFrame) -> DataFrame:
@@ -208,172 +213,9 @@ def candidate_rows(keys: DataFrame) -> DataFrame:
     )
 
 
-def _passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs `a`, `b` that sizes and sketches do not rule out."""
-    plain = nodes.select("doc_id", "n_shingles", "sketch")
-    one, two = plain.toDF("a", "na", "sa"), plain.toDF("b", "nb", "sb")
-    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb")
-
-    def work(batches):
-        for batch in batches:
-            _, _, na, nb, sa, sb = (c.to_pylist() for c in batch.columns)
-            passed = [may_link(*x) for x in zip(sa, sb, na, nb, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
-
-    return joined.mapInArrow(work, "a long, b long")
-
-
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs `a`, `b` that link, from the sets of their texts.
-
-    A document's text is sent to each document it is paired with; the texts of
-    documents with very many partners go to several tasks, each with its share.
-    """
-    parts = F.ceil(F.count(F.lit(1)) / CHECKED).cast("int")
-    sizes = pairs.groupBy("a").agg(parts.alias("parts"))
-    split = pairs.join(sizes, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
-    partners = split.select("a", "part", F.col("b").alias("doc_id"))
-    centres = sizes.select(
-        "a",
-        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.col("a").alias("doc_id"),
-    )
-    wanted = partners.union(centres)
-    wanted = wanted.join(_texts(wanted.select("doc_id").distinct(), docs), "doc_id")
-    dealt = wanted.repartition("a", "part").sortWithinPartitions(
-        "a", "part", F.col("doc_id") != F.col("a")
-    )
-
-    def work(batches):
-        at, centres = None, []
-        for piece, texts in text_slices(batches, chars=SLICE_CHARS // 2):
-            columns = [piece.column(i).to_pylist() for i in range(3)]
-            found = []
-            for a, part, doc_id, own in zip(*columns, shingle_sets(texts), strict=True):
-                if (a, part) != at:
-                    at, centres = (a, part), []
-                if doc_id == a:
-                    centres.append(own)
-                elif any(linked(centre, own) for centre in centres):
-                    found.append((a, doc_id))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[i] for x in found], pa.int64()) for i in range(2)], names=["a", "b"]
-            )
-
-    chosen = dealt.select("a", "part", "doc_id", "text")
-    return chosen.mapInArrow(work, "a long, b long").distinct()
-
-
-def _texts(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """Texts of the documents named; those of others stay out of the shuffle if ids are few."""
-    if ids.count() > BROADCAST_IDS:
-        return docs
-    return docs.join(F.broadcast(ids), "doc_id", "left_semi")
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    return pairs.where("a <> b").select(low, high).distinct()
-
-
-def _left_over(
-    rows: DataFrame, failed: DataFrame, reps: DataFrame, nodes: DataFrame, labels: DataFrame
-) -> DataFrame:
-    """Pairs in different components that share a key of a failed pair, as sketches allow."""
-    named = (
-        rows.join(reps.toDF("pivot", "a"), "pivot")
-        .join(reps.toDF("doc", "b"), "doc")
-        .select("key", "a", "b")
-    )
-    marked = failed.select("a", "b").union(failed.select("b", "a"))
-    keys = named.join(marked, ["a", "b"]).select("key").distinct()
-    open_rows = named.join(keys, "key")
-    members = open_rows.select("key", F.col("a").alias("doc_id")).union(
-        open_rows.select("key", F.col("b").alias("doc_id"))
-    ).distinct()
-    members = (
-        members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .withColumn("label", F.coalesce("label", "doc_id"))
-    )
-    sizes = (
-        members.groupBy("key")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("label").alias("low"),
-            F.max("label").alias("high"),
-        )
-        .where("low <> high")
-        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
-    # a document's row takes the list of its keys along, of which there are at most
-    # 2 * MOST_PARTS a band or so: a pair is handed on by the smallest key it shares
-    keys = (
-        members.join(sizes, "key")
-        .groupBy("doc_id", "label")
-        .agg(
-            F.collect_list(F.struct("key", "blocks")).alias("open"),
-            F.collect_list("key").alias("keys"),
-        )
-        .join(nodes.select("doc_id", "n_shingles", "sketch"), "doc_id")
-        .withColumn("open", F.explode("open"))
-        .select("*", "open.key", "open.blocks")
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    )
-    dealt = keys.withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    ).select(
-        "*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
-    )
-    order = ["key", "i", "j", "doc_id"]
-    sorted_rows = (
-        dealt.select(*order, "label", "block", "n_shingles", "sketch", "keys")
-        .repartition("key", "i", "j")
-        .sortWithinPartitions(*order)
-    )
-    return sorted_rows.mapInArrow(_compare_blocks, "a long, b long").distinct()
-
-
-def _compare_blocks(batches):
-    """Pairs that sketches allow, among the rows of each (key, i, j), which lie together."""
-    left = None
-    for batch in itertools.chain(batches, [None]):
-        if batch is None and left is None:
-            return
-        table = left if batch is None else pa.Table.from_batches([batch])
-        if batch is not None and left is not None:
-            table = pa.concat_tables([left, table])
-        if not table.num_rows:
-            continue
-        group = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
-        starts = np.flatnonzero(np.r_[True, (group[:, 1:] != group[:, :-1]).any(axis=0)])
-        # the last group may go on in the next batch
-        whole = table.num_rows if batch is None else int(starts[-1])
-        left = None if batch is None else table.slice(whole)
-        ids, labels, blocks, sizes = (
-            table.column(c).to_numpy() for c in ("doc_id", "label", "block", "n_shingles")
-        )
-        sketches, keys = (table.column(c).to_pylist() for c in ("sketch", "keys"))
-        inner = group[1] == group[2]
-        found: list[np.ndarray] = []
-        for low, high in zip(starts, np.r_[starts[1:], table.num_rows], strict=True):
-            if high > whole:
-                break
-            part = slice(low, high)
-            if (labels[part] != labels[low]).any():
-                x, y = _near(labels[part], blocks[part], sizes[part], sketches[part], inner[low])
-                own = int(group[0, low])
-                first = [
-                    min(set(keys[low + i]).intersection(keys[low + j])) == own
-                    for i, j in zip(x.tolist(), y.tolist(), strict=True)
-                ]
-                x, y = x[np.array(first, dtype=bool)], y[np.array(first, dtype=bool)]
-                found.append(np.stack([ids[part][x], ids[part][y]]))
-        pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), dtype=np.int64)
-        pairs = np.unique(pairs, axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
-
-def _near(labels, blocks, sizes, sketches, inner) -> tuple[np.ndarray, np.ndarray]:
+def near(
+    labels, blocks, sizes, sketches, inner, percent: int = PERCENT
+) -> tuple[np.ndarray, np.ndarray]:
     """Places of pairs from two components (and blocks, if there are two) that may link."""
     out_x, out_y = [], []
     lengths = np.array([len(s) // 8 for s in sketches])
@@ -389,11 +231,12 @@ def _near(labels, blocks, sizes, sketches, inner) -> tuple[np.ndarray, np.ndarra
             open_ &= (wide[rest] == words) | (wide[at] == words)
             if not inner:
                 open_ &= blocks[fits[rest]] != blocks[fits[at]]
-            open_ &= 5 * np.minimum(size[rest], size[at]) >= 4 * np.maximum(size[rest], size[at])
+            small, large = np.minimum(size[rest], size[at]), np.maximum(size[rest], size[at])
+            open_ &= 100 * small >= percent * large
             to = at + 1 + np.flatnonzero(open_)
             if len(to):
                 apart = np.bitwise_count(matrix[to] ^ matrix[at]).sum(axis=1)
-                to = to[apart <= (size[to] + size[at]) // 9]
+                to = to[apart <= most_apart(size[to] + size[at], percent)]
                 out_x.append(np.full(len(to), fits[at]))
                 out_y.append(fits[to])
     if not out_x:
@@ -401,12 +244,6 @@ def _near(labels, blocks, sizes, sketches, inner) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(out_x), np.concatenate(out_y)
 
 
-def _labelled(rows: DataFrame, column: str, labels: DataFrame) -> DataFrame:
-    """`rows` with the labels of the nodes in `column`, where they have one."""
-    joined = rows.join(labels.toDF(column, "label"), column, "left")
-    return joined.withColumn(column, F.coalesce("label", column)).select(rows.columns)
-
-
 def linked_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """`doc_id`, `n_shingles`, `component_id` of every row.
 
@@ -415,43 +252,18 @@ def linked_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     document that has the links of each; rows without an id link with nothing and
     have no component. Other columns are not read. An empty table stays empty.
     """
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = staged(described(docs), "parity-sets")
-    usable = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    same = ["n_shingles", "da", "db"]
-    first = usable.groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    reps = staged(usable.join(first, same).select("doc_id", "rep").distinct(), "parity-copies")
-    nodes = usable.join(
-        reps.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi"
-    ).dropDuplicates(["doc_id", *same])
-
-    with Scratch(docs.sparkSession) as scratch:
+    path = scratch_path(spark, "parity-components")
+    with Scratch(spark) as scratch:
+        rows = scratch.staged(described(docs), "parity-sets")
+        usable = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+        reps = scratch.staged(copies_of_sets(usable), "parity-copies")
         keys = keyed(docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()))
         shared = scratch.staged(candidate_rows(keys), "parity-candidates")
-        pairs = (
-            shared.select("pivot", "doc").distinct()
-            .join(reps.toDF("pivot", "a"), "pivot")
-            .join(reps.toDF("doc", "b"), "doc")
-            .select("a", "b")
+        whole = linked_components(docs, rows, reps, shared, may_link, near, PERCENT, scratch)
+        found = rows.join(whole, "doc_id", "left").select(
+            "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
         )
-        pairs = scratch.staged(_ordered(pairs), "parity-pairs")
-        passing = scratch.staged(_passing(pairs, nodes), "parity-passing")
-        links = scratch.staged(_verified(passing, docs), "parity-links")
-        # the sets of a repeated id belong together
-        same_id = reps.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"))
-        same_id = reps.join(same_id.where("a < z"), "doc_id").select("a", F.col("rep").alias("b"))
-        edges = links.union(same_id)
-        labels = components(edges)
-        failed = pairs.join(links, ["a", "b"], "left_anti")
-        left_over = _ordered(_left_over(shared, failed, reps, nodes, labels))
-        left_over = scratch.staged(left_over, "parity-left-over")
-        more = scratch.staged(_verified(left_over, docs), "parity-more-links")
-        named = _labelled(reps.toDF("doc_id", "node"), "node", labels)
-        if not more.isEmpty():
-            # what links components is a small graph over their labels
-            between = _labelled(_labelled(more, "a", labels), "b", labels)
-            named = _labelled(named, "node", components(between))
-    whole = named.groupBy("doc_id").agg(F.min("node").alias("component_id"))
-    return rows.join(whole, "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+        found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
