@@ -3,13 +3,14 @@
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 
 import corpus_pipeline
 from tests.compare import differences, oracle_connection
 from tests.llm.conftest import ODD, SAME
-from tidemark.llm import languages, line_templates, links, parity_join, pii
+from tidemark.llm import languages, line_templates, links, oracle, parity_join, pii
 from tidemark.llm.components import components
 from tidemark.llm.oracle import ORACLES
 from tidemark.llm.queries import QUERIES
@@ -189,6 +190,42 @@ def staged_lines(spark, texts):
     return {r.doc_id: r.text for r in corpus_pipeline.stage_lines(spark, docs, SF_DIR).collect()}
 
 
+@pytest.mark.parametrize("hot", [1, 5, 1000])
+def test_all_line_rules_equal_their_sql(spark, monkeypatch, hot):
+    """Planted lines of every rule, with all, some and no keys sent to the lines."""
+    monkeypatch.setattr(line_templates, "HOT", hot)
+    rng = np.random.default_rng(8)
+    names = ["Alice", "Bob", "Carol", "Dan", "Eve", "Frank"]
+    lines = ["Yes.", "All rights reserved.", "", " \t\u3000", "1 2 3 4", "a 1 2 3", "x@y z"]
+    lines += ["<*> <*>", "one\ttwo  three\u00a0four 5", "the very same line again", "12", "99"]
+    rows = []
+    for i in range(160):
+        own = [lines[j] for j in rng.integers(0, len(lines), rng.integers(0, 5))]
+        if i % 3:
+            a, b = rng.choice(names, 2).tolist()
+            own.append(f"Posted by {a} in the {b} section today {rng.integers(100)}")
+        if i % 4 == 0:
+            own.append(" ".join(map(str, rng.integers(0, 6, rng.integers(3, 6)))))
+        if i % 5 == 0:
+            own.append(f"text {i} of its " + " ".join(rng.choice(names, 6)))
+        rows.append((i + 1, "\n".join(own)))
+    rows += [(500, None), (501, ""), (502, rows[6][1]), (502, rows[6][1]), (503, rows[6][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = line_templates.drop_recurring_lines(docs, counts=True, whole=True)
+    ours = [(r.doc_id, r.n_lines, r.n_dropped, r.text or "") for r in found.collect()]
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    theirs = connection.execute(
+        f"WITH {oracle.LINE_TEMPLATES.format(source='documents')}"
+        "SELECT d.doc_id, coalesce(n_lines, 0), coalesce(n_dropped, 0), coalesce(k.text, '')"
+        " FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id AND k.whole = d.text"
+    ).fetchall()
+    assert sorted(ours) == sorted(theirs)
+    posted = sum("Posted" in text for *_, text in ours)
+    assert posted == 1 and len(ours) == len(rows)
+
+
 def test_copies_parted_by_blank_lines_leave_no_husk(spark):
     text = "first paragraph of the text\n\n \t\n\u3000\nsecond paragraph of the text"
     assert staged_lines(spark, [text, text, text]) == {1: text}

@@ -6,10 +6,10 @@ of fields, then by the two leading fields; its leaves are the templates. A
 template met in two or more documents recurs: its lines stay in the document
 with the smallest id and are dropped from all others.
 
-That is the rule of operator 8's query, as its SQL states it: there the tree path
-follows from the masked line, and lines of few fields are left alone. With
-`whole`, as the pipeline asks, all lines that are not blank take part, fields are
-what any white space parts, and
+That is the plain rule, in which the tree path follows from the masked line and
+lines of few fields are left alone. With `whole`, as operator 8's query and the
+pipeline ask, all lines that are not blank take part, fields are what any white
+space parts, and
 
     letter fields   the lines of a tree node (number of fields, two leading
                     fields) are counted by place and word. Places where one word
@@ -27,7 +27,9 @@ what any white space parts, and
 
 Only functions of Spark SQL are used. Per template the smallest and the largest
 document id are kept, which each task aggregates before the shuffle, so a line
-that a third of all documents share is one row per task.
+that a third of all documents share is one row per task. Lines meet the templates
+and nodes of a `HOT`-th of all lines or more, which cannot be more than `HOT`, where
+they are read; only the others are shuffled by their key.
 """
 
 from __future__ import annotations
@@ -47,6 +49,9 @@ CONSTANT, SIMILAR = 0.9, 0.6
 VARIABLE = r"(?<![^ \t\r])[^ \t\r0-9@]*+[0-9@][^ \t\r]*+"
 WHITE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LEADING = 2
+#: Templates or nodes with a larger part of the lines than one in this many are sent
+#: to the lines.
+HOT = 1000
 PATH = ["fields", "lead", "leaf"]
 
 
@@ -73,11 +78,25 @@ def parsed_lines(docs: DataFrame) -> DataFrame:
     ).where(F.col("fields") >= MIN_FIELDS)
 
 
+def meet(lines: DataFrame, keyed: DataFrame, keys: list[str], n_lines: int) -> DataFrame:
+    """Inner join of `lines` with `keyed`, which has one row and `n_rows`, the number of
+    its lines, for each key; no more than `n_lines` in all."""
+    is_hot = F.col("n_rows") * HOT >= n_lines
+    hot = F.broadcast(keyed.where(is_hot).drop("n_rows"))
+    rest = lines.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    rest = rest.join(keyed.where(~is_hot).drop("n_rows"), keys)
+    return lines.join(hot, keys).unionByName(rest)
+
+
 def recurring(parsed: DataFrame) -> DataFrame:
-    """Tree path and `first_doc` of every template met in two documents or more."""
+    """Tree path, `first_doc` and `n_rows` of every template met in two documents or more."""
     return (
         parsed.groupBy("fields", "lead", "leaf")
-        .agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+        .agg(
+            F.min("doc_id").alias("first_doc"),
+            F.max("doc_id").alias("last_doc"),
+            F.count("*").alias("n_rows"),
+        )
         .where(F.col("first_doc") < F.col("last_doc"))
         .drop("last_doc")
     )
@@ -120,9 +139,13 @@ def recurring_guarded(parsed: DataFrame) -> DataFrame:
     """`recurring` of guarded lines; `strong` if in documents enough."""
     return (
         parsed.groupBy(*PATH)
-        .agg(F.min("doc_id").alias("first_doc"), F.count_distinct("doc_id").alias("n_docs"))
+        .agg(
+            F.min("doc_id").alias("first_doc"),
+            F.count_distinct("doc_id").alias("n_docs"),
+            F.count("*").alias("n_rows"),
+        )
         .where(F.col("n_docs") > 1)
-        .select(*PATH, "first_doc", (F.col("n_docs") >= GUARDED_DOCS).alias("strong"))
+        .select(*PATH, "first_doc", "n_rows", (F.col("n_docs") >= GUARDED_DOCS).alias("strong"))
     )
 
 
@@ -136,11 +159,14 @@ def generalised(parsed: DataFrame) -> DataFrame:
             F.min("leaf").alias("low"),
             F.max("leaf").alias("high"),
             F.count_distinct("doc_id").alias("n_docs"),
+            F.count("*").alias("n_rows"),
         )
         .where((F.col("low") < F.col("high")) & (F.col("n_docs") >= GUARDED_DOCS))
-        .select(*node)
+        .select(*node, "n_rows")
     )
-    lines = staged(lines.join(open_nodes, node, "left_semi"), "line-nodes")
+    open_nodes = staged(open_nodes, "line-open-nodes")
+    lines = staged(meet(lines, open_nodes, node, parsed.count()), "line-nodes")
+    n_lines = lines.count()
     leaves = lines.groupBy(*PATH).agg(F.any_value("template").alias("template"))
     constant = (
         leaves.select(*node, F.posexplode(F.split("template", " ")).alias("place", "word"))
@@ -159,17 +185,23 @@ def generalised(parsed: DataFrame) -> DataFrame:
         .agg(F.collect_list(F.struct("place", "word")).alias("constant"))
         .where(F.size("constant") >= SIMILAR * F.col("fields"))
     )
+    templates = staged(templates.join(open_nodes, node), "line-node-templates")
     words = F.split("template", " ")
     agrees = F.forall("constant", lambda c: F.get(words, c["place"]) == c["word"])
-    matched = lines.join(templates, node).where(agrees).select("doc_id", "text_hash", "pos", *node)
+    matched = meet(lines, templates, node, n_lines).where(agrees)
+    matched = staged(matched.select("doc_id", "text_hash", "pos", *node), "line-matches")
     first = (
         matched.groupBy(*node)
-        .agg(F.min("doc_id").alias("first_doc"), F.count_distinct("doc_id").alias("n_docs"))
+        .agg(
+            F.min("doc_id").alias("first_doc"),
+            F.count_distinct("doc_id").alias("n_docs"),
+            F.count("*").alias("n_rows"),
+        )
         .where(F.col("n_docs") >= GUARDED_DOCS)
         .drop("n_docs")
     )
     return (
-        matched.join(first, node)
+        meet(matched, staged(first, "line-first"), node, matched.count())
         .where(F.col("doc_id") > F.col("first_doc"))
         .select("doc_id", "text_hash", "pos")
     )
@@ -193,8 +225,9 @@ def drop_recurring_lines(docs: DataFrame, counts: bool = False, whole: bool = Fa
         known = known.unionByName(recurring_guarded(parsed.where("guarded")))
     else:
         known = recurring(parsed).withColumn("strong", F.lit(True))
+    known = staged(known, "line-recurring")
     places = (
-        parsed.join(known, PATH)
+        meet(parsed, known, PATH, parsed.count())
         .where(F.col("doc_id") > F.col("first_doc"))
         .select("doc_id", "text_hash", "pos", "strong")
     )

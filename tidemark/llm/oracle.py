@@ -4,41 +4,108 @@ from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
 
-#: Lines and templates of `source` (a table with doc_id and text), as CTEs.
-LINE_TEMPLATES = """
+#: Operator 8 over `source` (a table with doc_id and text), as CTEs: recurring lines,
+#: plain and guarded, then the template of each node (number of fields, two leading fields).
+LINE_TEMPLATES = r"""
 lines AS (
   SELECT doc_id, text, generate_subscripts(string_split(text, chr(10)), 1) AS pos,
          unnest(string_split(text, chr(10))) AS line
   FROM {source}
 ),
-templates AS (
-  SELECT doc_id, text, pos, line,
-         regexp_replace(line, '[^ \\t\\r]*[0-9@][^ \\t\\r]*', '<*>', 'g') AS template
+single AS (
+  SELECT *, trim(regexp_replace(line, '[\t-\r\x1c- \x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+', ' ', 'g')) AS one
   FROM lines
 ),
+masked AS (
+  SELECT *, regexp_replace(one, '[^ ]*[0-9@][^ ]*', '<*>', 'g') AS template FROM single WHERE one <> ''
+),
+measured AS (
+  SELECT *, len(string_split(template, ' ')) AS fields,
+         len(list_filter(string_split(template, ' '), lambda w: w = '<*>')) AS variable
+  FROM masked
+),
+keyed AS (
+  SELECT *, CASE WHEN variable = fields THEN one ELSE template END AS key FROM measured
+),
+parsed AS (
+  SELECT *, array_to_string(string_split(key, ' ')[1:2], ' ') AS lead,
+         (fields < 4 AND length(key) < 20) OR (variable < fields AND 2 * variable > fields) AS guarded
+  FROM keyed
+),
 recurring AS (
-  SELECT template, min(doc_id) AS first_doc
-  FROM templates
-  WHERE len(string_split(template, ' ')) >= 4
-  GROUP BY template
-  HAVING count(DISTINCT doc_id) >= 2
+  SELECT fields, lead, key, min(doc_id) AS first_doc,
+         NOT guarded OR count(DISTINCT doc_id) >= 10 AS strong
+  FROM parsed GROUP BY fields, lead, key, guarded HAVING count(DISTINCT doc_id) >= 2
+),
+inner_lines AS (
+  SELECT * FROM parsed WHERE fields >= 4 AND variable < fields
+),
+open_nodes AS (
+  SELECT fields, lead FROM inner_lines
+  GROUP BY fields, lead HAVING count(DISTINCT key) >= 2 AND count(DISTINCT doc_id) >= 10
+),
+leaves AS (
+  SELECT DISTINCT fields, lead, key FROM inner_lines SEMI JOIN open_nodes USING (fields, lead)
+),
+words AS (
+  SELECT fields, lead, generate_subscripts(string_split(key, ' '), 1) AS place,
+         unnest(string_split(key, ' ')) AS word
+  FROM leaves
+),
+counted AS (
+  SELECT fields, lead, place, word, count(*) AS n,
+         sum(count(*)) OVER (PARTITION BY fields, lead, place) AS of_all
+  FROM words GROUP BY fields, lead, place, word
+),
+constant AS (
+  SELECT fields, lead, place, word FROM counted WHERE n >= 0.9::DOUBLE * of_all AND word <> '<*>'
+),
+node_templates AS (
+  SELECT fields, lead, list({{'place': place, 'word': word}}) AS constant
+  FROM constant GROUP BY fields, lead HAVING count(*) >= 0.6::DOUBLE * fields
+),
+matched AS (
+  SELECT DISTINCT l.doc_id, l.text, l.pos, fields, lead
+  FROM inner_lines l JOIN node_templates t USING (fields, lead)
+  WHERE len(list_filter(t.constant, lambda c: string_split(l.key, ' ')[c.place] = c.word)) = len(t.constant)
+),
+node_first AS (
+  SELECT fields, lead, min(doc_id) AS first_doc FROM matched
+  GROUP BY fields, lead HAVING count(DISTINCT doc_id) >= 10
+),
+places AS (
+  SELECT p.doc_id, p.text, p.pos, r.strong FROM parsed p JOIN recurring r USING (fields, lead, key)
+  WHERE p.doc_id > r.first_doc
+  UNION ALL
+  SELECT m.doc_id, m.text, m.pos, true FROM matched m JOIN node_first f USING (fields, lead)
+  WHERE m.doc_id > f.first_doc
+),
+marked AS (
+  SELECT doc_id, text, pos, bool_or(strong) AS strong FROM places GROUP BY doc_id, text, pos
+),
+judged AS (
+  SELECT DISTINCT s.doc_id, s.text, s.pos, s.line, m.pos IS NOT NULL AS found,
+         coalesce(m.strong, false) AS strong, s.one = '' AS blank
+  FROM single s LEFT JOIN marked m ON m.doc_id = s.doc_id AND m.text = s.text AND m.pos = s.pos
 ),
-kept_lines AS (
-  SELECT t.doc_id, t.text, t.pos, t.line,
-         r.template IS NOT NULL AND t.doc_id > r.first_doc AS dropped
-  FROM templates t LEFT JOIN recurring r USING (template)
+husks AS (
+  SELECT doc_id, text, bool_or(strong) AND bool_and(found OR blank) AS husk
+  FROM judged GROUP BY doc_id, text
 ),
 kept AS (
-  SELECT doc_id, text AS whole, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
-         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '') AS text
-  FROM kept_lines GROUP BY doc_id, text
+  SELECT doc_id, j.text AS whole, count(*) AS n_lines,
+         count(*) FILTER (strong OR (husk AND found)) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY pos)
+                  FILTER (NOT (strong OR (husk AND found))), '') AS text
+  FROM judged j JOIN husks h USING (doc_id, text) GROUP BY doc_id, j.text
 )
 """
 
 ORACLES["op8_line_templates"] = f"""
 WITH {LINE_TEMPLATES.format(source="documents")}
-SELECT doc_id, n_lines, n_dropped, length(text)::BIGINT AS n_chars, md5(text) AS text_md5
-FROM kept
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
+       coalesce(length(k.text), 0)::BIGINT AS n_chars, md5(coalesce(k.text, '')) AS text_md5
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id AND k.whole = d.text
 """
 
 #: Levels of a manifest's tree that the SQL below spells out: enough for 8**8 leaves.

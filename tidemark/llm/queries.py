@@ -89,7 +89,7 @@ def op7_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    kept = line_templates.drop_recurring_lines(docs, counts=True)
+    kept = line_templates.drop_recurring_lines(docs, counts=True, whole=True)
     text = F.coalesce("text", F.lit(""))
     return kept.select(
         "doc_id",
