@@ -37,6 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.words import bind
 from tidemark.session import staged
 
 #: Lines of fewer fields than this are left alone, or guarded.
@@ -105,34 +106,49 @@ def recurring(parsed: DataFrame) -> DataFrame:
 def guarded_lines(docs: DataFrame) -> DataFrame:
     """`parsed_lines` of all lines that are not blank, with `guarded` and the
     `template`, which is null for lines without a constant field."""
-    lines = docs.where(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id"),
-        F.xxhash64("text").alias("text_hash"),
-        F.posexplode(F.split("text", "\n")).alias("pos", "line"),
-    )
-    single = F.trim(F.regexp_replace("line", f"[{WHITE}]+", " "))
-    lines = lines.withColumn("line", single).where(F.col("line") != "")
-    fields = F.size(F.split("template", " "))
-    variable = F.size(F.split(F.concat(F.lit(" "), "template", F.lit(" ")), r" <\*>(?= )")) - 1
-    key = F.when(F.col("variable") == F.col("fields"), F.col("line")).otherwise(F.col("template"))
-    short = (F.col("fields") < MIN_FIELDS) & (F.length("key") < MIN_CHARS)
-    few = (F.col("variable") < F.col("fields")) & (2 * F.col("variable") > F.col("fields"))
-    return (
-        lines.withColumn("template", template(F.col("line")))
-        .withColumns({"fields": fields, "variable": variable})
-        .withColumn("key", key)
-        .select(
-            "doc_id",
-            "text_hash",
-            "pos",
-            "fields",
-            F.xxhash64(F.substring_index("key", " ", LEADING)).alias("lead"),
-            F.xxhash64("key").alias("leaf"),
+
+    def single(line: Column) -> Column:
+        # most lines have no other white space than single spaces
+        odd = line.rlike("[^!-~ ]|  ")
+        return F.trim(F.when(odd, F.regexp_replace(line, f"[{WHITE}]+", " ")).otherwise(line))
+
+    def path(words: Column, variable: Column, key: Column) -> Column:
+        fields = F.size(words)
+        short = (fields < MIN_FIELDS) & (F.length(key) < MIN_CHARS)
+        few = (variable < fields) & (2 * variable > fields)
+        return F.struct(
+            fields.alias("fields"),
+            F.xxhash64(F.substring_index(key, " ", LEADING)).alias("lead"),
+            F.xxhash64(key).alias("leaf"),
             (short | few).alias("guarded"),
             # data lines are never generalised
-            F.when(F.col("variable") < F.col("fields"), F.col("key")).alias("template"),
+            F.when(variable < fields, key).alias("template"),
         )
+
+    def parsed(one: Column, masked: Column, words: Column) -> Column:
+        def counted(variable: Column) -> Column:
+            key = F.when(variable == F.size(words), one).otherwise(masked)
+            return bind(key, lambda own: path(words, variable, own))
+
+        return bind(F.size(F.filter(words, lambda word: word == "<*>")), counted)
+
+    def read(line: Column) -> Column:
+        def masked(one: Column, own: Column) -> Column:
+            return bind(F.split(own, " "), lambda words: parsed(one, own, words))
+
+        def known(one: Column) -> Column:
+            return F.when(one != "", bind(template(one), lambda own: masked(one, own)))
+
+        return bind(single(line), known)
+
+    # text is read once a document, not once for each column of its lines
+    lines = docs.where(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id"),
+        F.xxhash64("text").alias("text_hash"),
+        F.transform(F.split("text", "\n"), read).alias("lines"),
     )
+    lines = lines.select("doc_id", "text_hash", F.posexplode_outer("lines").alias("pos", "line"))
+    return lines.where(F.col("line").isNotNull()).select("doc_id", "text_hash", "pos", "line.*")
 
 
 def recurring_guarded(parsed: DataFrame) -> DataFrame:
