@@ -234,6 +234,60 @@ def test_two_writers_at_one_time_leave_both_results(spark, workspace):
     }
 
 
+def test_confirmed_parts_are_not_handed_over_again(spark, workspace, monkeypatch):
+    """Lost in a part, the run goes on with the open parts; lost before its commit,
+    it hands over nothing at all."""
+    bodies = [(i, f"b{i}") for i in range(40)]
+    options = RunOptions(hand_overs=3)
+    run(spark, articles(spark, (1, "old")), workspace)
+    handed, old, fail = [], [], [2]
+
+    def sink(documents, replaced):
+        rows = documents.select("id", "tried", "intent").collect()
+        handed.append({r.id: (r.tried, r.intent) for r in rows})
+        old.extend(tuple(r) for r in replaced.collect())
+        if len(handed) in fail:
+            raise KeyboardInterrupt
+        return documents.select("id", "page_no", "pos", F.concat(F.lit("x_"), "slug").alias("file_id"))
+
+    with pytest.raises(KeyboardInterrupt):
+        run(spark, articles(spark, *bodies), workspace, options, sink=sink, run_id="r")
+    assert state(spark, workspace)[1].file_id == "file_0_1"
+    with monkeypatch.context() as m, pytest.raises(KeyboardInterrupt):
+        m.setattr("tidemark.plans.sync.commit", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt()))
+        run(spark, articles(spark, *bodies), workspace, options, sink=sink, run_id="r")
+    closed, lost, again, last = handed
+    assert not set(closed) & (set(again) | set(last))
+    assert len(closed) + len(again) + len(last) == 40
+    # the part that was open comes again, under the same keys, and is told apart
+    assert {i: key for i, (_, key) in lost.items()} == {
+        i: key for i, (tried, key) in (again | last).items() if tried
+    }
+    done = run(spark, articles(spark, *bodies), workspace, options, sink=sink, run_id="r")
+    assert counts(done) == (39, 1, 0, 40) and len(handed) == 4
+    assert {r.file_id[:2] for r in state(spark, workspace).values()} == {"x_"}
+    assert set(old) == {(1, "file_0_1")}
+
+
+def test_a_failed_part_leaves_the_parts_before_it(spark, workspace):
+    bodies, calls = [(i, f"b{i}") for i in range(40)], []
+
+    def sink(documents, replaced):
+        calls.append([r.id for r in documents.select("id").collect()])
+        if len(calls) == 2:
+            raise OSError("store is away")
+        return documents.select("id", "page_no", "pos", F.lit("f").alias("file_id"))
+
+    options = RunOptions(hand_overs=3)
+    row = run(spark, articles(spark, *bodies), workspace, options, sink=sink).first()
+    assert (row.added, row.files_embedded) == (40, len(calls[0]))
+    assert row.failures == [{"error": "store is away"}]
+    assert set(state(spark, workspace)) == set(calls[0])
+    # the next run tries the rest, and tells what was tried before
+    run(spark, articles(spark, *bodies), workspace, options, sink=sink)
+    assert sorted(i for call in [calls[0], *calls[2:]] for i in call) == list(range(40))
+
+
 def test_compact_drops_replaced_chunks(spark, workspace, tmp_path):
     run(spark, articles(spark, (1, "a"), (2, "b")), workspace)
     run(spark, articles(spark, (1, "c"), (2, "b")), workspace)

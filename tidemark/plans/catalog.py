@@ -715,6 +715,10 @@ def render_full(spark, sf_dir):
     return source.select("page_id", body.alias("text")).select("page_id", *_text_key("text"))
 
 
+class RunLost(BaseException):
+    """Stands for the loss of a run, which no run can catch."""
+
+
 def _workspace(spark, sf_dir) -> Workspace:
     """A workspace whose last run left the baseline snapshot."""
     workspace = Workspace.under(scratch_path(spark, "sync"))
@@ -774,6 +778,32 @@ def sync_custom_sink(spark, sf_dir):
     return snapshot.read_snapshot(spark, workspace.snapshot).select("id", "file_id")
 
 
+@query
+def sync_lost_hand_over(spark, sf_dir):
+    """An upload run lost after its sink stored two of four parts, and done again:
+    how often the sink stored each document, and the file that the snapshot names."""
+    workspace, calls = _workspace(spark, sf_dir), []
+    outside = scratch_path(spark, "outside")
+
+    def sink(documents: DataFrame, replaced: DataFrame) -> DataFrame:
+        calls.append(None)
+        if len(calls) == 3:
+            raise RunLost("before the third part is stored")
+        stored = documents.select("id", "page_no", "pos", F.concat(F.lit("ext_"), "slug").alias("file_id"))
+        stored.write.mode("append").parquet(outside)
+        return stored
+
+    articles = inputs.articles(spark, sf_dir)
+    options = RunOptions(renderer="flat", hand_overs=4)
+    try:
+        run(spark, articles, workspace, options, sink=sink, run_id="lost")
+    except RunLost:
+        run(spark, articles, workspace, options, sink=sink, run_id="lost")
+    times = spark.read.parquet(outside).groupBy("id").agg(F.count("*").alias("n_stored"))
+    named = snapshot.read_snapshot(spark, workspace.snapshot).select("id", "file_id")
+    return named.join(times, "id", "left")
+
+
 @query
 def incremental_over_snapshot(spark, sf_dir):
     """A batch run, a stream of changed pages, a batch run: snapshot and live chunks.

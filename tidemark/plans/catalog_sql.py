@@ -710,6 +710,14 @@ ORACLES: dict[str, str] = {
            SELECT id, file_id FROM base
            WHERE id NOT IN (SELECT id FROM classified WHERE status <> 'SKIPPED')""",
     ),
+    "sync_lost_hand_over": _sql(
+        "classified base",
+        """SELECT id, 'ext_' || slug AS file_id, count(*) AS n_stored
+           FROM classified WHERE status <> 'SKIPPED' GROUP BY id, slug
+           UNION ALL
+           SELECT id, file_id, NULL FROM base
+           WHERE id NOT IN (SELECT id FROM classified WHERE status <> 'SKIPPED')""",
+    ),
     "incremental_over_snapshot": _sql(
         "docs",
         """SELECT id, hash, 'file_' || CASE WHEN id % 3 = 0 THEN 1 WHEN id % 2 = 0 THEN 2 ELSE 0 END

@@ -17,6 +17,7 @@ from tidemark.operators.delta import (
     replaced_file_id,
     upsert_snapshot,
 )
+from tidemark.operators.handover import forget, hand_over
 from tidemark.operators.render import render_documents
 from tidemark.operators.skew import hot_keys, last_by, rows_with_keys
 from tidemark.operators.summary import delta_totals, run_summary
@@ -52,6 +53,11 @@ class Workspace:
         """Where all writers of the workspace claim their versions."""
         return f"{self.log}-claims"
 
+    @property
+    def hand_overs(self) -> str:
+        """Where runs note what they give to a sink of the caller's own."""
+        return f"{self.log}-hand-overs"
+
     @classmethod
     def under(cls, root: str) -> Workspace:
         root = root.rstrip("/")
@@ -67,6 +73,10 @@ class RunOptions:
     overlap: int = OVERLAP_TOKENS
     # Off by default: a scrape-only run then hides its changes from later uploads.
     track_embedded: bool = False
+    # In how many parts a sink of the caller's own gets the documents. Each part it
+    # has confirmed is noted, and none of its documents is handed over again. With 0
+    # nothing is noted, and every try of a run hands over all.
+    hand_overs: int = 0
 
     @property
     def upload(self) -> bool:
@@ -107,8 +117,9 @@ def run(
     The snapshot is written last, and committing it ends the run. If another run
     has committed in the meantime, this one compares its documents with the new
     snapshot and stores them anew, so that both results stand. `sink` stores the
-    changed documents and is called once for each such try; unless given, their
-    chunks go to the workspace's chunk table.
+    changed documents and is called once for each such try, or for each part that
+    is still open if `options.hand_overs` asks for parts; unless given, their chunks
+    go to the workspace's chunk table.
     """
     if options.dry_run:
         return preview(articles, read_snapshot(spark, workspace.snapshot), options)
@@ -128,6 +139,7 @@ def run(
                 scratch, staged, hot, base.version, workspace, options, own.version, sink, replace
             )
             if commit(spark, workspace.snapshot, own.version, base):
+                forget(spark, f"{workspace.hand_overs}/{own.version}")
                 return summary
             replace = True
 
@@ -165,7 +177,13 @@ def _written(
                 workspace.chunks, version, options.max_tokens, options.overlap, replace
             )
             try:
-                results = _store_changed(scratch, staged, classified, store)
+                if sink and options.hand_overs:
+                    pending = scratch.staged(_last_changed(classified, "hash"), "changed-keys")
+                    results, error = hand_over(
+                        scratch, staged, pending, sink, workspace.hand_overs, version, options.hand_overs
+                    )
+                else:
+                    results = _store_changed(scratch, staged, classified, store)
                 recorded = align_results(changed(classified), results)
                 recorded = recorded.withColumn("embedded_hash", F.col("hash"))
                 stored = results.agg(F.count("file_id")).first()[0]
@@ -186,16 +204,20 @@ def _written(
         classified.unpersist()
 
 
+def _last_changed(classified, *columns) -> DataFrame:
+    """Places of the changed documents and the files they replace. Of a repeated id
+    the last change wins."""
+    pending = changed(classified).withColumn("replaced", replaced_file_id())
+    return last_by(pending.select(*PLACE, *columns, "replaced"), "id", F.struct("page_no", "pos"))
+
+
 def _store_changed(scratch, staged, classified, store) -> DataFrame:
     """Hand the changed documents to the sink; gives what it stored.
 
     The sink's result is written down at once, so that reading it again never
     uploads again.
     """
-    pending = changed(classified).withColumn("replaced", replaced_file_id())
-    # Of a repeated id the last change wins.
-    last = last_by(pending.select(*PLACE, "replaced"), "id", F.struct("page_no", "pos"))
-    last = scratch.staged(last, "changed-keys")
+    last = scratch.staged(_last_changed(classified), "changed-keys")
     documents = rows_with_keys(staged, last, PLACE)
     replaced = last.filter(F.col("replaced").isNotNull())
     stored = store(documents, replaced.select("id", F.col("replaced").alias("file_id")))

@@ -90,9 +90,11 @@ class Scratch:
         for path in self.paths:
             delete_path(self.spark, path)
 
-    def staged(self, df: DataFrame, name: str) -> DataFrame:
+    def staged(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """`df` written and read back; with `by`, in one folder for each of its values."""
         self.paths.append(scratch_path(self.spark, name))
-        df.write.parquet(self.paths[-1])
+        writer = df.write.partitionBy(by) if by else df.write
+        writer.parquet(self.paths[-1])
         return self.spark.read.schema(df.schema).parquet(self.paths[-1])
 
 

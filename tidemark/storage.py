@@ -52,6 +52,19 @@ def _version_folders(spark: SparkSession, root: str) -> list:
     return [path for path in found if path.getName().startswith("version=")]
 
 
+def folder_names(spark: SparkSession, root: str) -> list[str]:
+    """Names of the folders directly below `root`, in order; none if it is missing."""
+    fs, hadoop_path = _hadoop_path(spark, root)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
+
+
+def written_folders(spark: SparkSession, root: str) -> list[str]:
+    """Those whose writer left `_SUCCESS`."""
+    return [name for name in folder_names(spark, root) if path_exists(spark, f"{root}/{name}/_SUCCESS")]
+
+
 def _number(path) -> int:
     return int(path.getName().removeprefix("version="))
 
