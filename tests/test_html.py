@@ -2,7 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import html as hx
+from tidemark.functions import text as tx
 from tidemark.functions.markdown import MarkdownReader
+from tidemark.functions.nested import drop_hinted, nested_markdown
 from tidemark.operators.render import render_documents
 
 
@@ -203,3 +205,70 @@ def test_markup_is_stripped_once_in_the_plan(spark):
 def test_character_references(spark, markup, text):
     found = spark.createDataFrame([(markup,)], "t string").select(hx.decode_references(F.col("t")))
     assert found.first()[0] == text
+
+
+# Hinted elements, and what is left around them.
+HINTED = [
+    ('<div class="social-row">a<div>b</div>c</div><p>d</p>', "<p>d</p>"),
+    ('x<div class="share">a<div class="nav">b</div>c</div>y<div class=\'nav\'>z</div>w', "xyw"),
+    ('<p class="share">x<p>the other bank', "<p>the other bank"),
+    ('<div><p class="share">x</div><p>y', "<div></div><p>y"),
+    ('<ul><li class="nav">x<ul><li>y</li></ul><li>z</ul>', "<ul><li>z</ul>"),
+    ('<ul><li class="nav">a<li class="nav">b<li>c</ul>', "<ul><li>c</ul>"),
+    ('<table><tr><td class="ad-x">a<td>b</tr></table>', "<table><tr><td>b</tr></table>"),
+    ('<table><tr><td class="ad-x"><table><tr><td>a</table></td><td>b</tr></table>', "<table><tr><td>b</tr></table>"),
+    ('<dl><dt class="ad-x">a<dd>b</dl>', "<dl><dd>b</dl>"),
+    ('<select><option class="nav">a<option>b</select>', "<select><option>b</select>"),
+    ('<img class="nav-icon" src="a.png"><br class="share">x', '<img class="nav-icon" src="a.png"><br class="share">x'),
+    ('a<section class="share">b<p>c', "a"),
+    ('<!-- <div class="nav"> -->a < b', '<!-- <div class="nav"> -->a < b'),
+    ("", ""),
+]
+
+NESTED = [
+    ("<ul><li>one</li><li>two<ul><li>in <b>a</b></li></ul></li></ul>", "*   one\n*   two\n    *   in **a**"),
+    ('<ol start="3"><li>x</li><li>y<br>z</li></ol>', "3.  x\n4.  y  \n    z"),
+    ("<ul><li>a<li>b<ol><li>c<ul><li>d</ul><li>e</ol></ul><p>f</p>",
+     "*   a\n*   b\n    1.  c\n        *   d\n    2.  e\n\nf"),
+    ("<blockquote><p>q1</p><p>q2</p></blockquote>", "> q1\n> \n> q2"),
+    ("<blockquote>a<blockquote>b</blockquote></blockquote>c", "> a\n> \n> > b\n\nc"),
+    ("<ul><li><blockquote>a</blockquote></li></ul>", "*   > a"),
+    ("<blockquote><ul><li>a<li>b</ul></blockquote>", "> *   a\n> *   b"),
+    ("<ul><li>R&amp;D &lt;ul&gt;</li></ul>", "*   R&D <ul>"),
+    ("<ul><li>a<table><tr><td><ul><li>q</li></ul></td></tr></table></li></ul>b",
+     "*   a\n\n<table><tr><td><ul><li>q</li></ul></td></tr></table>\n\nb"),
+    ("<ul><li>a<ul><li>b</li></ul>", "*   a\n    *   b"),
+    ("</ul><li>a</blockquote>", "a"),
+    ("<ul></ul><blockquote> </blockquote>x", "x"),
+    ("<UL>\n<LI>a\n</LI>\n</UL>", "*   a"),
+    ("a\ue000b", "a\ufffdb"),
+    ("<ul><li>" + "word <b>x</b> " * 20_000 + "</ul>", "*   " + ("word **x** " * 20_000).strip()),
+    ("<ul><li>x" * 40 + "</ul>" * 40, "\n".join("    " * i + "*   x" for i in range(40))),
+    (None, ""),
+]
+
+
+def test_hinted_elements_go_with_all_they_hold(compiled_spark):
+    rows = compiled_spark.createDataFrame(HINTED, "html string, want string")
+    for row in rows.withColumn("got", drop_hinted(F.col("html"))).collect():
+        assert row.got == row.want, row.html
+
+
+def test_nested_markup_in_columns(compiled_spark):
+    rows = compiled_spark.createDataFrame(NESTED, "html string, want string")
+    found = rows.withColumn("got", tx.tidy_body(nested_markdown(F.col("html"))))
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+    for row in found.collect():
+        assert row.got == row.want, (row.html or "")[:200]
+
+
+def test_nested_renderer_needs_no_python_worker(compiled_spark):
+    row = (1, "T", "<ul><li>a<ul><li>b</ul></ul>", "https://e.com/1", "t", "en-us", 1, 0)
+    schema = (
+        "id long, title string, body_html string, html_url string, updated_at string,"
+        "locale string, page_no long, pos int"
+    )
+    found = render_documents(compiled_spark.createDataFrame([row], schema), "nested")
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+    got = found.first()
+    assert got.md_text.endswith("\n*   a\n    *   b\n") and got.renderer_version == "nested-1"

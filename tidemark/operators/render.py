@@ -1,8 +1,10 @@
 """Documents from articles: Markdown body, header, slug, hash.
 
-Three renderers give the body:
+Four renderers give the body:
 
 `flat`  regular-expression columns (`functions.html`), all inside the JVM;
+`nested`  columns for nested lists, quotes and hinted elements as well
+        (`functions.nested`), all inside the JVM;
 `full`  an Arrow UDF that reads the markup element by element and so handles
         nesting. Only the HTML column goes to Python;
 `auto`  `flat`, but `full` for the documents whose markup needs it. The others
@@ -21,9 +23,10 @@ from pyspark.sql.types import StringType
 from tidemark.functions import html as flat
 from tidemark.functions import text as tx
 from tidemark.functions.markdown import MarkdownReader
+from tidemark.functions.nested import nested_markdown
 from tidemark.operators.chunking import MAX_TOKENS, OVERLAP_TOKENS
 
-RENDERER_VERSION = {"flat": "flat-3", "full": "full-2", "auto": "auto-3"}
+RENDERER_VERSION = {"flat": "flat-3", "nested": "nested-1", "full": "full-2", "auto": "auto-3"}
 
 
 @F.pandas_udf(StringType())
@@ -41,6 +44,8 @@ def with_body(articles: DataFrame, renderer: str) -> DataFrame:
         return articles.withColumn("_body", full_markdown(F.coalesce(html, F.lit(""))))
     if renderer == "flat":
         return articles.withColumn("_body", flat.flat_markdown(flat.clean_html(html)))
+    if renderer == "nested":
+        return articles.withColumn("_body", nested_markdown(html))
     if renderer == "auto":
         # a column of its own, which is computed once for all its uses
         read = articles.withColumn("_read", flat.plain_or_needed(html))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import html as hx
 from tidemark.functions import text as tx
+from tidemark.functions.nested import nested_markdown
 from tidemark.operators import audit, chunking, delta, retrieval, summary
 from tidemark.operators.render import full_markdown, render_documents
 from tidemark.operators.skew import hot_keys
@@ -244,6 +245,14 @@ def markdown_flat(spark, sf_dir):
     return source.select("page_id", text.alias("text")).select("page_id", *_text_key("text"))
 
 
+@query
+def nested_markup(spark, sf_dir):
+    """Nested lists, quotes, open items and hinted elements, read in columns."""
+    source = inputs.nested_pages(spark, sf_dir)
+    text = tx.tidy_body(nested_markdown(F.col("html")))
+    return source.select("page_id", text.alias("text")).select("page_id", *_text_key("text"))
+
+
 @query
 def markdown_links(spark, sf_dir):
     """The flat rules on the link lists that cleaning would drop."""

@@ -450,6 +450,16 @@ ORACLES: dict[str, str] = {
     "markdown_flat": _sql(
         "hinted", _keyed("hinted", "page_id", _flat(_strip_hints(_strip("html"))))
     ),
+    "nested_markup": f"""
+        WITH plain AS (
+            SELECT page_id, 't ' || trim(regexp_replace(html, '(<[^>]*>|&|[ \\t\\r\\n])+', ' ', 'g')) AS own
+            FROM pages),
+        lines AS (
+            SELECT page_id, [
+                '## Page ' || page_id, '', '*   one ' || own, '    3.  x', '        *   deep', '    4.  y',
+                '*   two', '*   three', '', '> ' || own, '> ', '> *   q', '', '*   kept', '', 'end'
+            ] AS line FROM plain)
+        SELECT page_id, {_TEXT_KEY} FROM (SELECT page_id, array_to_string(line, chr(10)) AS text FROM lines)""",
     "markdown_links": _keyed("pages", "page_id", _tidy(_flat("html"))),
     "trim_body": _keyed(
         "documents",

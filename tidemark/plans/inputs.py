@@ -252,3 +252,22 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("question_id"), "text"
     )
+
+
+# Markup whose lists, quotes and hinted elements nest, around the text of a page.
+NESTED = (
+    '<div class="social-share">a<div>{text}</div>b</div><h2>Page {id}</h2>',
+    '<ul><li>one {text}<ol start="3"><li>x<ul><li>deep</li></ul></li><li>y</li></ol></li>',
+    "<li>two<li>three</ul><blockquote><p>{text}</p><ul><li>q</ul></blockquote>",
+    '<ul><li class="nav-item">gone<ul><li>gone too</li></ul><li>kept</ul><p>end</p>',
+)
+
+
+def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's text, without its own markup, in nested markup."""
+    text = F.trim(F.regexp_replace("html", r"(<[^>]*>|&|[ \t\r\n])+", " "))
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("t "), text).alias("text"))
+    html = F.lit("".join(NESTED))
+    for mark, value in (("{id}", F.col("page_id").cast("string")), ("{text}", F.col("text"))):
+        html = F.replace(html, F.lit(mark), value)
+    return pages.select("page_id", html.alias("html"))
