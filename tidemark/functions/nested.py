@@ -60,7 +60,7 @@ def _tag(token: Column) -> Column:
     """Name, empty for text; whether it is an end tag; whether it opens a hinted element."""
     is_tag = token.rlike("^</?[A-Za-z]")
     name = F.when(is_tag, F.lower(F.regexp_extract(token, _NAME, 1))).otherwise("")
-    opens = token.rlike("(?is)^" + _HINTED_OPEN) & ~name.isin(*_VOID) & ~token.endswith("/>")
+    opens = is_tag & token.rlike("(?is)^" + _HINTED_OPEN) & ~name.isin(*_VOID) & ~token.endswith("/>")
     return F.struct(name.alias("name"), token.startswith("</").alias("end"), opens.alias("hinted"))
 
 
@@ -91,7 +91,7 @@ def _walk(state: Column, tag: Column) -> Column:
         F.when(opening, F.array(here)).otherwise(F.array().cast("array<int>")),
         F.when(closed, F.array(here + 1)).otherwise(F.array().cast("array<int>")),
     )
-    return F.struct(
+    further = F.struct(
         (here + 1).alias("at"),
         F.when(opening, tag["name"]).when(implied | closed, "").otherwise(name).alias("name"),
         F.when(opening, 1)
@@ -104,6 +104,10 @@ def _walk(state: Column, tag: Column) -> Column:
         .alias("inner"),
         F.when(implied | opening | closed, new_cuts).otherwise(state["cuts"]).alias("cuts"),
     )
+    # Most of a text is kept, or is text: nothing to decide.
+    same_state = [state[field].alias(field) for field in ("name", "depth", "inner", "cuts")]
+    quiet = F.when(name == "", ~tag["hinted"]).otherwise(tag["name"] == "")
+    return F.when(quiet, F.struct((here + 1).alias("at"), *same_state)).otherwise(further)
 
 
 def drop_hinted(html: Column) -> Column:
@@ -159,11 +163,14 @@ def _list(element: Column, body: Column) -> Column:
         text = F.regexp_replace(_inline(item), r"\n{2,}(?=(?:\*| *[0-9]+\.) {2,3}\S)", "\n")
         return F.concat(mark, F.regexp_replace(text, r"\n(?=[^\n])", "\n    "), F.lit("\n"))
 
-    pieces = F.split(body, r"(?i)<li\b[^>]*>")
-    items = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
-    before = bind(F.get(pieces, F.lit(0)), _inline)
-    lines = F.array_join(F.transform(items, line), "")
-    return F.concat(F.when(before == "", "").otherwise(F.concat(before, F.lit("\n\n"))), lines)
+    def joined(pieces: Column) -> Column:
+        items = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+        lines = F.array_join(F.transform(items, line), "")
+        before = _inline(F.get(pieces, F.lit(0)))
+        lead = bind(before, lambda own: F.when(own == "", "").otherwise(F.concat(own, F.lit("\n\n"))))
+        return F.concat(lead, lines)
+
+    return bind(F.split(body, r"(?i)<li\b[^>]*>"), joined)
 
 
 def _holder(element: Column) -> Column:
