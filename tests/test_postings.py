@@ -2,10 +2,13 @@
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import postings
 from tidemark.operators.postings import Postings, best_in_block, first_of_block, index_parts
+from tidemark.session import staged
 
 
 def block_of(rows, monkeypatch=None):
@@ -95,3 +98,30 @@ def test_blocks_are_bounded_and_hold_every_word(monkeypatch):
     assert [int(b.counts.sum()) for b in blocks] == [30, 30, 120, 5]
     terms, df = blocks[0].vocabulary()
     assert terms.tolist() == list(range(20)) and df.tolist() == [2] * 10 + [1] * 10
+
+
+def test_blocks_stay_small_whatever_the_batch():
+    """A batch of four million words is cut; block and rows are of some megabytes."""
+    n, words = 8_000, 500
+    rng = np.random.default_rng(3)
+    ids = pa.array(np.arange(n), pa.int64())
+    terms = pa.ListArray.from_arrays(
+        np.arange(0, n * words + 1, words, dtype=np.int32), pa.array(rng.integers(0, 50_000, n * words))
+    )
+    batch = pa.RecordBatch.from_arrays([ids, ids, terms], names=["doc_id", "item_id", "terms"])
+    found = [data for _, data in index_parts([batch])]
+    assert max(map(len, found)) < 16 << 20
+    assert np.concatenate([Postings(data).docs for data in found]).tolist() == list(range(n))
+    assert sum(int(Postings(data).counts.sum()) for data in found) == n * words
+
+
+def test_large_rows_are_written_in_small_row_groups(spark):
+    """A task that writes twelve rows of 6 MB holds no more than a few of them."""
+    digits = "transform(sequence(1, 50000), i -> sha2(cast(id * 100000 + i as string), 512))"
+    packed = F.expr(f"cast(array_join({digits}, '') as binary)").alias("packed")
+    table = staged(spark.range(12, numPartitions=1).select(packed), "large", large_rows=True)
+    [path] = table.inputFiles()
+    groups = pq.ParquetFile(path.removeprefix("file://")).metadata
+    rows = [groups.row_group(i).num_rows for i in range(groups.num_row_groups)]
+    assert sum(rows) == 12 and max(rows) <= 6
+    assert table.agg(F.sum(F.length("packed"))).first()[0] == 12 * 6_400_000

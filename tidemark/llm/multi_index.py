@@ -364,7 +364,8 @@ def hard_negatives(
         return _record(rows, ["anchor_id", "slot", "negative_id", "negative_score"])
 
     with Scratch(vectors.sparkSession) as scratch:
-        blocks = scratch.staged(packed(by_cell(labelled, books), parts), "multi-index")
+        made = packed(by_cell(labelled, books), parts)
+        blocks = scratch.staged(made, "multi-index", large_rows=True)
         asked = scratch.staged(asked, "multi-anchors")
         found = every_pair(
             blocks, _chunks(asked, 0), best, "anchor_id long, positive_id long, positive_score long"

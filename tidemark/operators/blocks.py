@@ -63,22 +63,32 @@ def matrices(batches, rows: int):
         yield closed(dim)
 
 
-def packed(rows: DataFrame, parts: Callable[[Iterator], Iterator[tuple[int, bytes]]]) -> DataFrame:
-    """Rows of `PACKED`: what `parts` makes of a task's Arrow batches, numbered."""
+def packed(
+    rows: DataFrame,
+    parts: Callable[[Iterator], Iterator[tuple[int, bytes]]],
+    described: Callable[[bytes], dict[str, pa.Array]] | None = None,
+    columns: str = "",
+) -> DataFrame:
+    """Rows of `PACKED`: what `parts` makes of a task's Arrow batches, numbered.
+
+    `described` gives more `columns` of a block, which can be read without it.
+    """
 
     def work(batches):
         task = TaskContext.get().partitionId()
         for n, (dim, data) in enumerate(parts(batches)):
+            more = described(data) if described else {}
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([task << 32 | n], pa.int64()),
                     pa.array([dim], pa.int32()),
                     pa.array([data], pa.binary()),
+                    *more.values(),
                 ],
-                names=["block", "dim", "packed"],
+                names=["block", "dim", "packed", *more],
             )
 
-    return rows.mapInArrow(work, PACKED)
+    return rows.mapInArrow(work, f"{PACKED}, {columns}" if columns else PACKED)
 
 
 def packed_vectors(
@@ -102,7 +112,8 @@ def every_pair(blocks: DataFrame, chunks: DataFrame, search: Callable, schema: s
     buckets = max(1, blocks.count())
     copies = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket")
     chunks = chunks.select("dim", F.col("packed").alias("chunk"), copies)
-    bucketed = blocks.withColumn("bucket", F.pmod(F.xxhash64("block"), F.lit(buckets)).cast("int"))
+    bucket = F.pmod(F.xxhash64("block"), F.lit(buckets)).cast("int")
+    bucketed = blocks.select("dim", "packed", bucket.alias("bucket"))
     pairs = (
         bucketed.repartition(2 * buckets, "bucket")
         .join(chunks.repartition(2 * buckets, "bucket"), ["bucket", "dim"])
@@ -136,7 +147,7 @@ def best_of_blocks(
     returns arrays of query ids, vector ids and scores, at most `k` per query.
     A query meets only vectors of its own length. Ties go to the smaller id.
     """
-    blocks = staged(packed_vectors(vectors, BLOCK_ROWS, index), "vector-blocks")
+    blocks = staged(packed_vectors(vectors, BLOCK_ROWS, index), "vector-blocks", large_rows=True)
 
     def as_chunk(ids, matrix):
         size = np.array(matrix.shape, dtype="<i8").tobytes()

@@ -1,6 +1,6 @@
 """Blocks of an inverted index, searched with exact pruning.
 
-A block holds up to `BLOCK_ROWS` items. For each of its terms it keeps the
+A block holds up to `BLOCK_ROWS` items and `CELLS` words, or one longer item. For each of its terms it keeps the
 postings (item, count) by item, cut into stretches of `STRETCH`, and the largest
 count of each stretch and of the whole term. A term of weight w adds at most w
 times that count to the score of an item in the stretch.
@@ -18,10 +18,13 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from tidemark.operators.blocks import BLOCK_ROWS, CELLS
+from tidemark.operators.blocks import BLOCK_ROWS
 
 STRETCH = 128
 
+#: Words of a block at most, which makes it some 8 MB.
+CELLS = 1 << 20
+
 # Scores are compared after rounding, so that ties fall to the lower id
 # whatever order the terms were added in. Bounds leave room for it.
 SCORE_DIGITS = 6
@@ -64,8 +67,10 @@ def index_parts(batches) -> Iterator[tuple[int, bytes]]:
         cuts = np.repeat(starts, stretches) + STRETCH * inner
         most = np.maximum.reduceat(counts, cuts) if len(cuts) else cuts
         head = np.array([len(docs), len(starts), len(words), len(cuts)], dtype="<i8")
-        arrays = [docs, ids, words[starts], starts, ends, cuts, most, owner, counts]
-        yield 0, head.tobytes() + b"".join(a.astype("<i8").tobytes() for a in arrays)
+        keys = [docs, ids, words[starts]]
+        places = [starts, ends, cuts, most, owner, counts]
+        packed = [a.astype("<i8").tobytes() for a in keys] + [a.astype("<i4").tobytes() for a in places]
+        yield 0, head.tobytes() + b"".join(packed)
 
 
 class Postings:
@@ -75,14 +80,14 @@ class Postings:
         n, terms, postings, stretches = np.frombuffer(data, "<i8", 4).tolist()
         at = 32
 
-        def take(size):
+        def take(size, kind="<i4"):
             nonlocal at
-            found = np.frombuffer(data, "<i8", size, at)
-            at += 8 * size
+            found = np.frombuffer(data, kind, size, at)
+            at += found.nbytes
             return found
 
-        self.docs, self.ids = take(n), take(n)
-        self.terms, self.starts, self.ends = take(terms), take(terms), take(terms)
+        self.docs, self.ids, self.terms = take(n, "<i8"), take(n, "<i8"), take(terms, "<i8")
+        self.starts, self.ends = take(terms), take(terms)
         self.cuts, self.most = take(stretches), take(stretches)
         self.owner, self.counts = take(postings), take(postings)
         _, self.doc = np.unique(self.docs, return_inverse=True)

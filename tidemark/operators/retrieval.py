@@ -54,46 +54,36 @@ def _index(items: DataFrame) -> DataFrame:
         F.col("item_id").cast("long"),
         F.transform(words(F.coalesce("text", F.lit(""))), lambda w: F.xxhash64(w)).alias("terms"),
     )
-    return staged(packed(hashed, index_parts), "postings")
+    columns = "items long, terms array<long>, df array<int>"
+    return staged(packed(hashed, index_parts, _vocabulary, columns), "postings", large_rows=True)
 
 
-def _vocabulary(blocks: DataFrame) -> DataFrame:
-    """(term, df) of each block, and its number of items under no term."""
-
-    def work(batches):
-        for batch in batches:
-            for data in batch.column(0):
-                block = Postings(data.as_py())
-                terms, df = block.vocabulary()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.concat_arrays([pa.array(terms), pa.array([None], pa.int64())]),
-                        pa.array(np.r_[df, len(block.docs)].astype(np.int64)),
-                    ],
-                    names=["term", "df"],
-                )
-
-    return blocks.select("packed").mapInArrow(work, "term long, df long")
+def _vocabulary(data: bytes) -> dict[str, pa.Array]:
+    """Number of items of a block, its terms, and in how many items each is."""
+    block = Postings(data)
+    terms, df = block.vocabulary()
+    return {
+        "items": pa.array([len(block.docs)], pa.int64()),
+        "terms": pa.ListArray.from_arrays(np.array([0, len(terms)], np.int32), pa.array(terms)),
+        "df": pa.ListArray.from_arrays(np.array([0, len(df)], np.int32), pa.array(df.astype(np.int32))),
+    }
 
 
 def _weights(blocks: DataFrame, questions: DataFrame) -> DataFrame:
     """Words of each question with their weight. Words that all items hold weigh
     nothing and are left out.
 
-    A block hands on one row for each of its words, and only those that are asked
-    for are counted.
+    Blocks name their words in columns of their own, so the postings are not read.
+    Only words that are asked for are counted.
     """
     asked = questions.select(
         F.col("question_id").cast("long"), F.explode(distinct_words(F.col("text"))).alias("word")
     ).select("question_id", F.xxhash64("word").alias("term"))
     asked = staged(asked, "asked-words")
-    vocabulary = staged(_vocabulary(blocks), "block-words")
-    n_items = vocabulary.where("term IS NULL").agg(F.sum("df")).first()[0] or 0
-    frequency = (
-        vocabulary.join(asked.select("term").distinct(), "term", "left_semi")
-        .groupBy("term")
-        .agg(F.sum("df").alias("df"))
-    )
+    n_items = blocks.agg(F.sum("items")).first()[0] or 0
+    vocabulary = blocks.select(F.inline(F.arrays_zip("terms", "df"))).toDF("term", "df")
+    found = vocabulary.join(asked.select("term"), "term", "left_semi")
+    frequency = staged(found.groupBy("term").agg(F.sum("df").alias("df")), "block-words")
     idf = F.ln((F.lit(n_items) + 1) / (F.col("df") + 1))
     weighed = asked.join(frequency, "term").withColumn("idf", idf).filter(F.col("idf") > 0)
     listed = F.array_sort(F.collect_list(F.struct("term", "idf")))
