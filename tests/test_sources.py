@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import storage
 from tidemark.operators.summary import delta_totals, is_failed, run_summary
@@ -244,3 +245,20 @@ def test_crawls_with_the_same_numbers_follow_one_another(spark):
     with pytest.raises(ValueError, match="1 pages have no order"):
         pages.articles_of(lost)
     assert pages.articles_of(lost, follow=True).count() == 1
+
+
+def test_pages_of_a_crawl_are_not_gathered(spark):
+    """A row per crawl is sent to the pages; dealt by crawl, two crawls would be two tasks."""
+    found = spark.range(8, numPartitions=4).select(
+        F.when(F.col("id") < 4, "a").otherwise("b").alias("crawl"),
+        (F.col("id") % 4 + 1).alias("page_no"),
+        F.array().cast("array<struct<id:bigint>>").alias("articles"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        ordered, followed = pages.ordered_pages(found), pages.followed_pages(found)
+        plans = [rows._jdf.queryExecution().executedPlan().toString() for rows in (ordered, followed)]
+        assert sorted(r.page_no for r in ordered.collect()) == [1, 2, 3, 4, 6, 7, 8, 9]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all("BroadcastHashJoin" in plan and "SortMergeJoin" not in plan for plan in plans)
