@@ -272,3 +272,20 @@ def test_nested_renderer_needs_no_python_worker(compiled_spark):
     assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
     got = found.first()
     assert got.md_text.endswith("\n*   a\n    *   b\n") and got.renderer_version == "nested-1"
+
+
+def test_rules_are_skipped_only_where_they_find_nothing(spark, monkeypatch):
+    """Tags in any case, tags that a rule before makes, and texts without any."""
+    parts = ["<H1>a</h1>", "<Pre> <CODE>x</cOde></pRE>", "<cOdE>y</CODE>", '<IMG alt="a" src="b">',
+             '<iMg src="b" alt="a">', '<A href="u">t</A>', "<sTRong>s</B>", "<EM>e</i>", "<HR>", "<bR/>",
+             "<LI>i</Li>", "</P><uL>", "<<!-- -->h2>made</h2>", "<oL><LI>one</LI></OL>",
+             "<TaBLE><tr></TABLE>", "<!--c-->", "<x>", "&AMP;&amp;", "plain \u212a \u0130", ""]
+    texts = parts + ["".join(parts), None] + [a + b for a, b in zip(parts, parts[5:])]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, html string")
+
+    def rendered():
+        return [r[0] for r in rows.orderBy("id").select(hx.flat_markdown(F.col("html"))).collect()]
+
+    skipping = rendered()
+    monkeypatch.setattr(hx, "_holds", lambda text, marks: F.lit(True))
+    assert skipping == rendered()
