@@ -6,6 +6,7 @@ import re
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.compare import differences, oracle_connection
@@ -409,3 +410,17 @@ def test_pipeline_equals_its_stages(compiled_spark):
     found = plain_components([(r.doc_id, r.text) for r in docs.collect()])
     assert all(i == label for i, _, label in found)
     assert len(left) > 0.85 * len({r.text for r in clean})
+
+
+def test_lines_meet_each_key_once_without_an_anti_join(spark, tmp_path):
+    """Hot and other keys, told apart by hashes; lines without a key go."""
+    rows = [(i, 4, 1 if i < 3000 else i % 700) for i in range(6000)]
+    lines = spark.createDataFrame(rows, "doc_id long, fields int, lead long")
+    keyed = lines.where("lead < 600").groupBy("fields", "lead").agg(F.count("*").alias("n_rows"))
+    keyed.withColumn("named", F.col("lead") * 2).write.parquet(str(tmp_path / "keyed"))
+    keyed = spark.read.parquet(str(tmp_path / "keyed"))
+    for n_lines in (len(rows), 200 * len(rows), 1):
+        met = line_templates.meet(lines, keyed, ["fields", "lead"], n_lines)
+        expected = sorted((d, f, k, 2 * k) for d, f, k in rows if k < 600)
+        assert sorted(map(tuple, met.select("doc_id", "fields", "lead", "named").collect())) == expected
+        assert "LeftAnti" not in met._jdf.queryExecution().optimizedPlan().toString()

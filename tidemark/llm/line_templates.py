@@ -80,13 +80,18 @@ def parsed_lines(docs: DataFrame) -> DataFrame:
 
 
 def meet(lines: DataFrame, keyed: DataFrame, keys: list[str], n_lines: int) -> DataFrame:
-    """Inner join of `lines` with `keyed`, which has one row and `n_rows`, the number of
-    its lines, for each key; no more than `n_lines` in all."""
-    is_hot = F.col("n_rows") * HOT >= n_lines
-    hot = F.broadcast(keyed.where(is_hot).drop("n_rows"))
-    rest = lines.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    rest = rest.join(keyed.where(~is_hot).drop("n_rows"), keys)
-    return lines.join(hot, keys).unionByName(rest)
+    """Inner join of `lines` with `keyed`, a written table that has one row and `n_rows`,
+    the number of its lines, for each key; no more than `n_lines` in all.
+
+    Lines are told apart by hashes of the hot keys, `HOT` at most: a key with the hash
+    of a hot one is sent to the lines as well.
+    """
+    name = F.xxhash64(*keys)
+    hashes = [r[0] for r in keyed.where(F.col("n_rows") * HOT >= n_lines).select(name).distinct().collect()]
+    is_hot = name.isin(hashes) if hashes else F.lit(False)
+    hot, cold = keyed.where(is_hot).drop("n_rows"), keyed.where(~is_hot).drop("n_rows")
+    rest = lines.where(~is_hot).join(cold, keys)
+    return lines.where(is_hot).join(F.broadcast(hot), keys).unionByName(rest)
 
 
 def recurring(parsed: DataFrame) -> DataFrame:
