@@ -327,6 +327,35 @@ def test_components_equal_all_pairs(spark, seed, monkeypatch):
     assert {tuple(r) for r in found} == plain_components(rows)
 
 
+def test_documents_paired_with_all_others_of_a_key_are_not_compared_again(spark):
+    rows = [
+        *((1, 1, 2), (1, 1, 1)),  # two documents
+        *((2, 1, 2), (2, 3, 1), (2, 1, 2)),  # around one, in any order and repeated
+        *((3, 1, 2), (3, 3, 4), (3, 1, 3)),  # pairs of two tasks
+        *((4, 1, 2), (4, 1, 3), (4, 2, 3)),  # all with all
+        (5, 1, 1),
+    ]
+    found = links.unmet(spark.createDataFrame(rows, "key long, a long, b long"))
+    assert sorted(tuple(r) for r in found.collect()) == [(2, 2), (2, 3), (3, 1), (3, 2), (3, 3), (3, 4)]
+
+
+def test_sketches_are_those_of_paired_documents_and_written_once(spark, monkeypatch):
+    seen = []
+
+    def passing(pairs, nodes, may, plain=links.passing):
+        assert nodes.columns == ["doc_id", "n_shingles", "sketch"] and nodes.inputFiles()
+        seen.append((sorted(nodes.inputFiles()), sorted(r.doc_id for r in nodes.collect())))
+        return plain(pairs, nodes, may)
+
+    monkeypatch.setattr(links, "passing", passing)
+    base = [f"w{i}" for i in range(40)]
+    alone = [(i, " ".join(f"d{i}x{j}" for j in range(40))) for i in range(10, 20)]
+    near = [(1, " ".join(base)), (2, " ".join([*base, "more"])), (3, " ".join(base))]
+    found = parity_join.linked_documents(spark.createDataFrame(alone + near, "doc_id long, text string"))
+    assert {r.doc_id for r in found.collect() if r.component_id == 1} == {1, 2, 3}
+    assert [ids for _, ids in seen] == [[1, 2]] * 2 and seen[0] == seen[1]
+
+
 def test_linked_sets_share_a_key_and_pass_the_sketches():
     rng = np.random.default_rng(0)
     checked = 0

@@ -4,9 +4,10 @@ A join hands in which documents share a key with the key's smallest document, th
 pivot. Its pairs are checked by what the join knows of a document (`sketch`), then
 exactly on the sets of their texts, and make a graph of documents. A pair of a
 key's other documents could still link: for keys with a pair that failed, all
-documents that are not in one component by then are compared sketch against
-sketch, in blocks of at most `BLOCK` documents, and what sketches allow is checked
-exactly. So no link between components is lost that shares any key.
+documents that are not in one component by then, nor paired with all others of the
+key, are compared sketch against sketch, in blocks of at most `BLOCK` documents, and
+what sketches allow is checked exactly. So no link between components is lost that
+shares any key.
 """
 
 from __future__ import annotations
@@ -44,8 +45,7 @@ def ordered(pairs: DataFrame) -> DataFrame:
 
 def passing(pairs: DataFrame, nodes: DataFrame, may: May) -> DataFrame:
     """Pairs `a`, `b` that sizes and sketches do not rule out."""
-    plain = nodes.select("doc_id", "n_shingles", "sketch")
-    one, two = plain.toDF("a", "na", "sa"), plain.toDF("b", "nb", "sb")
+    one, two = nodes.toDF("a", "na", "sa"), nodes.toDF("b", "nb", "sb")
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb")
 
     def work(batches):
@@ -101,21 +101,33 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int, scratch: Scratch)
     return chosen.mapInArrow(work, "a long, b long").distinct()
 
 
+def unmet(open_rows: DataFrame) -> DataFrame:
+    """`key`, `doc_id` of a key's documents that are not paired with all others of it.
+
+    `open_rows` has the pairs `a`, `b` of each key. What is paired with all others,
+    as both documents of a key of two, has been checked against all of them.
+    """
+    sides = open_rows.select("key", F.col("a").alias("doc_id"), F.col("b").alias("other"))
+    sides = sides.union(open_rows.select("key", "b", "a"))
+    other = F.when(F.col("other") != F.col("doc_id"), F.col("other"))
+    members = sides.groupBy("key", "doc_id").agg(F.count_distinct(other).alias("met"))
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return members.join(sizes, "key").where("met < n - 1").select("key", "doc_id")
+
+
 def left_over(
-    rows: DataFrame, failed: DataFrame, reps: DataFrame, nodes: DataFrame, labels: DataFrame, near: Near
+    named: DataFrame,
+    failed: DataFrame,
+    nodes: DataFrame,
+    labels: DataFrame,
+    near: Near,
+    scratch: Scratch,
 ) -> DataFrame:
-    """Pairs in different components that share a key of a failed pair, as sketches allow."""
-    named = (
-        rows.join(reps.toDF("pivot", "a"), "pivot")
-        .join(reps.toDF("doc", "b"), "doc")
-        .select("key", "a", "b")
-    )
+    """Pairs in different components that share a key of a failed pair, as sketches
+    allow; of pairs `a`, `b` of `named` not all, as they have been checked."""
     marked = failed.select("a", "b").union(failed.select("b", "a"))
     keys = named.join(marked, ["a", "b"]).select("key").distinct()
-    open_rows = named.join(keys, "key")
-    members = open_rows.select("key", F.col("a").alias("doc_id")).union(
-        open_rows.select("key", F.col("b").alias("doc_id"))
-    ).distinct()
+    members = scratch.staged(unmet(named.join(keys, "key")), "link-members")
     members = (
         members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .withColumn("label", F.coalesce("label", "doc_id"))
@@ -139,7 +151,7 @@ def left_over(
             F.collect_list(F.struct("key", "blocks")).alias("open"),
             F.collect_list("key").alias("keys"),
         )
-        .join(nodes.select("doc_id", "n_shingles", "sketch"), "doc_id")
+        .join(nodes, "doc_id")
         .withColumn("open", F.explode("open"))
         .select("*", "open.key", "open.blocks")
         .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
@@ -228,16 +240,19 @@ def linked_components(
     `docs` has doc_id and text, `rows` the sketches, `shared` (key, pivot, doc).
     """
     usable = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    nodes = usable.join(
-        reps.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi"
-    ).dropDuplicates(["doc_id", "n_shingles", "da", "db"])
-    pairs = (
-        shared.select("pivot", "doc").distinct()
-        .join(reps.toDF("pivot", "a"), "pivot")
+    named = scratch.staged(
+        shared.join(reps.toDF("pivot", "a"), "pivot")
         .join(reps.toDF("doc", "b"), "doc")
-        .select("a", "b")
+        .select("key", "a", "b"),
+        "link-keys",
     )
-    pairs = scratch.staged(ordered(pairs), "link-pairs")
+    pairs = scratch.staged(ordered(named), "link-pairs")
+    # sketches are shuffled for documents that are in a pair, and made ready once
+    paired = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    paired = scratch.staged(paired, "link-paired")
+    nodes = rows_with_keys(usable, paired, ["doc_id"])
+    nodes = nodes.dropDuplicates(["doc_id", "n_shingles", "da", "db"])
+    nodes = scratch.staged(nodes.select("doc_id", "n_shingles", "sketch"), "link-nodes")
 
     def links_of(some: DataFrame, name: str) -> DataFrame:
         allowed = scratch.staged(passing(some, nodes, may), f"{name}-allowed")
@@ -254,7 +269,7 @@ def linked_components(
     labels = _merged(labels, links_of(scratch.staged(second, "second-pairs"), "second"), scratch)
     # a pair of a key's other documents is left to find only where one of them is
     # apart from the pivot
-    rest = left_over(shared, _apart(pairs, labels), reps, nodes, labels, near)
+    rest = left_over(named, _apart(pairs, labels), nodes, labels, near, scratch)
     rest = scratch.staged(ordered(rest), "links-left-over")
     labels = _merged(labels, verified(rest, docs, percent, scratch), scratch)
     named = labelled(reps.toDF("doc_id", "node"), "node", labels)
