@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import languages, line_templates, packing, parity_join, pii
 from tidemark.llm.common import prepare, vocabulary
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, staged
 
 #: A text whose chosen languages have a smaller share than this together is rejected.
 LEAST_SHARE = 0.4
@@ -57,11 +57,13 @@ def stage_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Of each group of near copies, keep the document with the smallest id.
 
     Documents with an empty set or without an id stay. Rows that repeat an id are
-    one document and stay together.
+    one document and stay together. The ids that go are written first, so that Spark
+    knows how few they are and shuffles no texts to leave them out.
     """
     prepare(spark)
     found = parity_join.linked_documents(docs)
     others = found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
+    others = staged(others, "pipeline-others")
     return docs.join(others, "doc_id", "left_anti").select(docs.columns)
 
 

@@ -5,6 +5,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from tidemark.llm.components import components
 from tidemark.llm.oracle import ORACLES
 from tidemark.llm.queries import QUERIES
 from tidemark.llm.shingles import linked, shingle_sets
+from tidemark.session import Scratch
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -339,6 +341,62 @@ def test_documents_paired_with_all_others_of_a_key_are_not_compared_again(spark)
     assert sorted(tuple(r) for r in found.collect()) == [(2, 2), (2, 3), (3, 1), (3, 2), (3, 3), (3, 4)]
 
 
+def test_rows_of_a_comparison_take_few_keys_along(spark, monkeypatch):
+    def lengths(batches, near):
+        for batch in batches:
+            named = pa.array([len(k) for k in batch.column("keys").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([named, batch.column("doc_id")], names=["a", "b"])
+
+    monkeypatch.setattr(links, "compare_blocks", lengths)
+    named = [(key, 1, b) for key in range(3 * links.NAMED) for b in (2, 3)]
+    named = spark.createDataFrame(named, "key long, a long, b long")
+    nodes = spark.createDataFrame(
+        [(i, 5, b"") for i in (1, 2, 3)], "doc_id long, n_shingles long, sketch binary"
+    )
+    labels = spark.createDataFrame([], "node long, label long")
+    with Scratch(spark) as scratch:
+        found = links.left_over(named, named.select("a", "b"), nodes, labels, None, scratch)
+        assert {tuple(r) for r in found.collect()} == {(links.NAMED, 2), (links.NAMED, 3)}
+
+
+def test_a_pair_is_handed_on_by_a_key_that_no_row_names():
+    def rows(key, lists):
+        names = ["key", "i", "j", "doc_id", "label", "block", "n_shingles", "sketch", "keys"]
+        return [dict(zip(names, (key, 0, 0, i, i, 0, 5, b"", keys), strict=True)) for i, keys in lists]
+
+    def handed_on(key, lists):
+        batch = pa.RecordBatch.from_pylist(rows(key, lists))
+        near = lambda labels, *_: (np.array([0]), np.array([1]))
+        return [len(b) for b in links.compare_blocks([batch], near)]
+
+    assert sum(handed_on(9, [(1, [1, 2]), (2, [3, 4])])) == 1
+    assert sum(handed_on(2, [(1, [1, 2]), (2, [2, 4])])) == 1
+    assert sum(handed_on(9, [(1, [1, 2]), (2, [2, 4])])) == 0
+
+
+def test_components_equal_all_pairs_with_one_named_key(spark, monkeypatch):
+    monkeypatch.setattr(links, "NAMED", 1)
+    rows = near_copies(3)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = parity_join.linked_documents(df).collect()
+    assert {tuple(r) for r in found} == plain_components(rows)
+
+
+def test_few_copies_are_left_out_without_a_shuffle_of_texts(spark):
+    rows = [(i, f"text number{i}", len(f"text number{i}")) for i in range(4000)] + [(9999, "text number7", 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "4k")
+    try:
+        kept = corpus_pipeline.stage_copies(spark, docs, SF_DIR)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert {r.doc_id for r in kept.collect()} == set(range(4000))
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_sketches_are_those_of_paired_documents_and_written_once(spark, monkeypatch):
     seen = []
 

@@ -30,6 +30,8 @@ from tidemark.session import Scratch
 BLOCK = 512
 #: Members of a hot document's pairs that one task checks.
 CHECKED = 128
+#: Keys, the smallest, that a document's row of a comparison takes along.
+NAMED = 16
 
 #: may(sketch, sketch, size, size): False only if a link is ruled out.
 May = Callable[[bytes, bytes, int, int], bool]
@@ -142,14 +144,14 @@ def left_over(
         .where("low <> high")
         .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    # a document's row takes the list of its keys along, which is as long as a join's
-    # keys of a document: a pair is handed on by the smallest key it shares
+    # a document's rows take its smallest keys along, by which a pair that shares
+    # many keys is handed on once; all its keys in each row would grow with their square
     keys = (
         members.join(sizes, "key")
         .groupBy("doc_id", "label")
         .agg(
             F.collect_list(F.struct("key", "blocks")).alias("open"),
-            F.collect_list("key").alias("keys"),
+            F.slice(F.sort_array(F.collect_list("key")), 1, NAMED).alias("keys"),
         )
         .join(nodes, "doc_id")
         .withColumn("open", F.explode("open"))
@@ -201,8 +203,10 @@ def compare_blocks(batches, near: Near):
             if (labels[part] != labels[low]).any():
                 x, y = near(labels[part], blocks[part], sizes[part], sketches[part], inner[low])
                 own = int(group[0, low])
+                # the smallest keys of both name the smallest key the two share, or none
+                # of them: then each key they share hands the pair on
                 first = [
-                    min(set(keys[low + i]).intersection(keys[low + j])) == own
+                    min(set(keys[low + i]).intersection(keys[low + j]), default=own) == own
                     for i, j in zip(x.tolist(), y.tolist(), strict=True)
                 ]
                 x, y = x[np.array(first, dtype=bool)], y[np.array(first, dtype=bool)]
